@@ -13,3 +13,13 @@ def class_weight_table(df: DataFrame, label: str = "Class") -> DataFrame:
     k = len(g)
     rows = [(r[label], r["n"], total / (k * r["n"])) for r in g]
     return df.sparkSession.createDataFrame(rows, f"{label} int, n long, weight double")
+
+
+def knn_classify(train: DataFrame, test: DataFrame, features, label: str = "Class", k: int = 5,
+                 id_col: str = "row_id") -> DataFrame:
+    """k-nearest-neighbour vote: score = share of positive neighbours."""
+    from .knn import knn_join
+    nn = knn_join(test, train, features, k, id_col, ref_cols=[label])
+    votes = nn.groupBy(F.col("q_id").alias(id_col)).agg(F.avg(F.col(label).cast("double")).alias("score"))
+    return test.select(id_col, F.col(label).alias("label")).join(votes, on=id_col) \
+        .withColumn("prediction", (F.col("score") > F.lit(0.5)).cast("int"))

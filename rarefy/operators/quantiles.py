@@ -80,12 +80,42 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), n_buckets: int = 4096,
                 ids.append(rank_tid[rk])
             plan[key].append((ids[0], ids[1], frac))
 
+    _select(df.sparkSession, tall, keys, targets, n_buckets, max_bracket, max_passes)
+
+    out = {}
+    for key, lst in plan.items():
+        vals = []
+        for lo_t, hi_t, frac in lst:
+            lo, hi = targets[lo_t]["value"], targets[hi_t]["value"]
+            vals.append(lo + frac * (hi - lo))
+        out[key] = vals
+    # keys without rows
+    for_keys = {k[:-1] for k in out}
+    if not by:
+        for c in cols:
+            out.setdefault((c,), [None] * len(probs))
+    else:
+        for g in for_keys:
+            for c in cols:
+                out.setdefault((*g, c), [None] * len(probs))
+    return out
+
+
+def column_quantiles(df: DataFrame, col: str, probs, approx: bool = False) -> list:
+    """Quantiles of one column over the whole table."""
+    return exact_quantiles(df, [col], probs, approx=approx)[(col,)]
+
+
+def _select(spark, tall, keys, targets, n_buckets=4096, max_bracket=200_000, max_passes=24):
+    """Fill ``targets[tid]['value']`` with the exact order statistic of each target.
+
+    A target is ``dict(key=tuple, rank=int, L=min, U=max, below=0, cnt=n, value=None)``.
+    """
     def _resolve_equal():
         for t in targets.values():
             if t["value"] is None and t["L"] == t["U"]:
                 t["value"] = t["L"]
 
-    spark = df.sparkSession
     _resolve_equal()
     for _ in range(max_passes):
         open_t = [(i, t) for i, t in targets.items()
@@ -128,25 +158,27 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), n_buckets: int = 4096,
         for r in picked:
             targets[r["tid"]]["value"] = r["x"]
 
-    out = {}
-    for key, lst in plan.items():
-        vals = []
-        for lo_t, hi_t, frac in lst:
-            lo, hi = targets[lo_t]["value"], targets[hi_t]["value"]
-            vals.append(lo + frac * (hi - lo))
-        out[key] = vals
-    # keys without rows
-    for_keys = {k[:-1] for k in out}
-    if not by:
-        for c in cols:
-            out.setdefault((c,), [None] * len(probs))
-    else:
-        for g in for_keys:
-            for c in cols:
-                out.setdefault((*g, c), [None] * len(probs))
-    return out
 
 
-def column_quantiles(df: DataFrame, col: str, probs, approx: bool = False) -> list:
-    """Quantiles of one column over the whole table."""
-    return exact_quantiles(df, [col], probs, approx=approx)[(col,)]
+def order_statistics(df: DataFrame, col: str, ranks, by=(), **kw) -> dict:
+    """Exact values at 0-based ascending ranks: ``{(by..., col): [v(rank)...]}``."""
+    by = list(by)
+    keys = by + ["feature"]
+    tall = _tall(df, [col], by)
+    stats = tall.groupBy(*keys).agg(
+        F.count("x").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect()
+    targets, plan = {}, {}
+    tid = 0
+    for r in stats:
+        key = tuple(r[k] for k in keys)
+        plan[key] = []
+        for rk in ranks:
+            if 0 <= rk < r["n"]:
+                targets[tid] = dict(key=key, rank=int(rk), L=r["mn"], U=r["mx"], below=0,
+                                    cnt=r["n"], value=None)
+                plan[key].append(tid)
+                tid += 1
+            else:
+                plan[key].append(None)
+    _select(df.sparkSession, tall, keys, targets, **kw)
+    return {k: [targets[t]["value"] if t is not None else None for t in v] for k, v in plan.items()}
