@@ -31,11 +31,13 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import uniform_hash
+from ..session import cut_lineage
 
 
 def _fcols(d):
@@ -59,8 +61,8 @@ def _pivot_geometry(pivots: np.ndarray):
 
 def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
              id_col: str = "row_id", ref_cols=(), exclude_self: bool = False,
-             with_vectors: bool = False, cell_size: int = 2000, max_pivots: int = 1024,
-             chunk: int = 2048, seed: int = 7) -> DataFrame:
+             with_vectors: bool = False, cell_size: int = 256, max_pivots: int = 4096,
+             chunk: int = 2048, seed: int = 7, materialize: bool = True) -> DataFrame:
     """Return (q_id, r_id, dist, rank[, r_v], ref_cols...) with rank 1..k per query."""
     spark = query.sparkSession
     features = list(features)
@@ -72,6 +74,7 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
                            *[F.col(c) for c in ref_cols])
     qry = query.select(F.col(id_col).alias("q_id"),
                        *[F.col(c).cast("double").alias(f) for c, f in zip(features, fc)])
+    ref_h = ref.withColumn("_h", uniform_hash("r_id", seed, "pivot"))
     n_ref = ref.count()
     if n_ref == 0:
         return _empty(spark, reference, ref_cols, with_vectors, d)
@@ -79,8 +82,7 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
 
     # 1. pivots: smallest id hashes (a top-P, bounded)
     P = max(1, min(max_pivots, int(math.ceil(n_ref / cell_size))))
-    prow = (ref.withColumn("_h", uniform_hash("r_id", seed, "pivot"))
-            .orderBy("_h", "r_id").limit(P).select(*fc).collect())
+    prow = ref_h.orderBy("_h", "r_id").limit(P).select(*fc).collect()  # top-P, bounded
     pivots = np.unique(np.array([[r[f] for f in fc] for r in prow], dtype=float), axis=0)
     P, pp = _pivot_geometry(pivots)
     bc = spark.sparkContext.broadcast((pivots, pp))
@@ -99,7 +101,9 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
 
     ref_schema = T.StructType(ref.schema.fields + [T.StructField("cell", T.IntegerType()),
                                                    T.StructField("dp", T.DoubleType())])
-    ref_c = ref.mapInPandas(assign, ref_schema)
+    # intermediates are persisted (recomputable from lineage if an executor
+    # is lost) and released once the result is checkpointed
+    ref_c = ref.mapInPandas(assign, ref_schema).persist(StorageLevel.MEMORY_AND_DISK)
     stats = ref_c.groupBy("cell").agg(F.count("*").alias("n"), F.max("dp").alias("R")).collect()
     cnt = np.zeros(P, dtype=np.int64)
     rad = np.zeros(P)
@@ -119,18 +123,17 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
             ub[:, cn == 0] = np.inf
             order = np.argsort(ub, axis=1, kind="stable")
             csum = np.cumsum(cn[order], axis=1)
-            lists = []
-            for i in range(len(X)):
-                m = int(np.searchsorted(csum[i], need, side="left")) + 1
-                lists.append(order[i, :min(m, P)].astype("int32").tolist())
+            m = np.minimum((csum < need).sum(axis=1) + 1, P)
+            lists = [order[i, :m[i]].astype("int32").tolist() for i in range(len(X))]
             out = pdf[["q_id", *fc]].copy()
             out["cells"] = lists
             yield out
 
     va_schema = T.StructType(qry.schema.fields + [T.StructField("cells", T.ArrayType(T.IntegerType()))])
-    qa = qry.mapInPandas(visits_a, va_schema)
+    qa = qry.mapInPandas(visits_a, va_schema).persist(StorageLevel.MEMORY_AND_DISK)
+    rcnt = {int(c): int(n) for c, n in enumerate(cnt) if n > 0}
     cand_a = _visit(qa.select("q_id", *fc, F.explode("cells").alias("cell")), ref_c, fc, k,
-                    ref_cols, exclude_self, with_vectors, chunk, seed)
+                    ref_cols, exclude_self, with_vectors, chunk, seed, rcnt)
 
     # theta: k-th best distance of round A (inf when fewer than k found)
     w = Window.partitionBy("q_id").orderBy("dist", "r_id")
@@ -146,33 +149,38 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
         for pdf in it:
             X = pdf[fc].to_numpy(dtype=float)
             D = np.sqrt(np.maximum(_sqdist(X, pv), 0.0))
+            n = len(X)
             own = D.argmin(axis=1)
             th = pdf["theta"].to_numpy(dtype=float)
+            dc = D[np.arange(n), own]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                lb_plane = (D ** 2 - (dc ** 2)[:, None]) / (2.0 * ppd[own, :])
+            lb_plane[np.arange(n), own] = 0.0
+            lb_plane = np.where(np.isfinite(lb_plane), lb_plane, 0.0)
+            lb = np.maximum(np.maximum(D - rr[None, :], lb_plane), 0.0)
+            ok = (lb <= (th * (1 + 1e-9) + 1e-12)[:, None]) & (cn > 0)[None, :]
             lists = []
-            for i in range(len(X)):
-                c = own[i]
-                dc = D[i, c]
-                lb_ball = D[i] - rr
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    lb_plane = (D[i] ** 2 - dc ** 2) / (2.0 * ppd[c])
-                lb_plane[c] = 0.0
-                lb_plane = np.where(np.isfinite(lb_plane), lb_plane, 0.0)
-                lb = np.maximum(np.maximum(lb_ball, lb_plane), 0.0)
-                tol = th[i] * (1 + 1e-9) + 1e-12
-                ok = (lb <= tol) & (cn > 0)
+            for i in range(n):
                 seen = set(pdf["cells"].iloc[i])
-                lists.append([int(j) for j in np.nonzero(ok)[0] if int(j) not in seen])
+                lists.append([int(j) for j in np.flatnonzero(ok[i]) if int(j) not in seen])
             out = pdf[["q_id", *fc]].copy()
             out["cells"] = lists
             yield out
 
     qb = qa.join(theta, on="q_id", how="left").fillna({"theta": float("inf")})
-    qb = qb.mapInPandas(visits_b, va_schema)
+    qb = qb.mapInPandas(visits_b, va_schema).persist(StorageLevel.MEMORY_AND_DISK)
     cand_b = _visit(qb.select("q_id", *fc, F.explode("cells").alias("cell")), ref_c, fc, k,
-                    ref_cols, exclude_self, with_vectors, chunk, seed)
+                    ref_cols, exclude_self, with_vectors, chunk, seed, rcnt)
 
     allc = cand_a.unionByName(cand_b)
-    return allc.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    out = allc.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    if materialize:
+        out = cut_lineage(out)
+        for d_ in (qb, qa, ref_c):
+            d_.unpersist()
+        bc.unpersist()
+        bstats.unpersist()
+    return out
 
 
 def _empty(spark, reference, ref_cols, with_vectors, d):
@@ -185,11 +193,9 @@ def _empty(spark, reference, ref_cols, with_vectors, d):
 
 
 def _visit(visits: DataFrame, ref_c: DataFrame, fc, k, ref_cols, exclude_self, with_vectors,
-           chunk, seed) -> DataFrame:
+           chunk, seed, rcnt) -> DataFrame:
     """Top-k per query against the references of the visited cells."""
-    spark = visits.sparkSession
     vcnt = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    rcnt = {r["cell"]: r["n"] for r in ref_c.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     nq = {c: max(1, math.ceil(n / chunk)) for c, n in vcnt.items()}
     nr = {c: max(1, math.ceil(n / chunk)) for c, n in rcnt.items()}
 
@@ -225,21 +231,29 @@ def _visit(visits: DataFrame, ref_c: DataFrame, fc, k, ref_cols, exclude_self, w
         if exclude_self:
             D2[qid[:, None] == rid[None, :]] = np.inf
         kk = min(k, R.shape[0])
-        part = np.argpartition(D2, kk - 1, axis=1)[:, :kk] if kk < R.shape[0] else \
-            np.tile(np.arange(R.shape[0]), (Q.shape[0], 1))
-        kth = np.take_along_axis(D2, part, axis=1).max(axis=1)
-        qi, rj = [], []
-        for i in range(Q.shape[0]):
-            if not np.isfinite(kth[i]):
-                cand = np.nonzero(np.isfinite(D2[i]))[0]
-            else:
-                cand = np.nonzero(D2[i] <= kth[i])[0]
-            if cand.size == 0:
-                continue
-            o = np.lexsort((rid[cand], D2[i, cand]))[:kk]
-            sel = cand[o]
-            qi.extend([i] * len(sel))
-            rj.extend(sel.tolist())
+        nq = Q.shape[0]
+        if kk < R.shape[0]:
+            part = np.argpartition(D2, kk - 1, axis=1)[:, :kk]
+        else:
+            part = np.tile(np.arange(R.shape[0]), (nq, 1))
+        pd2 = np.take_along_axis(D2, part, axis=1)
+        kth = pd2.max(axis=1)
+        # exact (distance, id) order: rows whose k-th distance is tied with a
+        # row outside the partition take the slow path
+        n_le = (D2 <= kth[:, None]).sum(axis=1)
+        amb = (n_le > kk) & np.isfinite(kth)
+        rows = np.repeat(np.arange(nq), kk)
+        cols = part.reshape(-1)
+        dv = pd2.reshape(-1)
+        o = np.lexsort((rid[cols], dv, rows))
+        rows, cols, dv = rows[o], cols[o], dv[o]
+        keep = np.isfinite(dv) & ~amb[rows]
+        qi, rj = list(rows[keep]), list(cols[keep])
+        for i in np.flatnonzero(amb):
+            cand = np.flatnonzero(D2[i] <= kth[i])
+            oo = np.lexsort((rid[cand], D2[i, cand]))[:kk]
+            qi.extend([i] * len(oo))
+            rj.extend(cand[oo].tolist())
         qi, rj = np.asarray(qi, dtype=int), np.asarray(rj, dtype=int)
         res = {"q_id": qid[qi], "r_id": rid[rj], "dist": np.sqrt(D2[qi, rj])}
         if with_vectors:

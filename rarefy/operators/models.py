@@ -23,3 +23,277 @@ def knn_classify(train: DataFrame, test: DataFrame, features, label: str = "Clas
     votes = nn.groupBy(F.col("q_id").alias(id_col)).agg(F.avg(F.col(label).cast("double")).alias("score"))
     return test.select(id_col, F.col(label).alias("label")).join(votes, on=id_col) \
         .withColumn("prediction", (F.col("score") > F.lit(0.5)).cast("int"))
+
+
+# ---------------------------------------------------------------------------
+# Classifiers
+# ---------------------------------------------------------------------------
+
+import json  # noqa: E402
+import math  # noqa: E402
+import os  # noqa: E402
+from concurrent.futures import ThreadPoolExecutor  # noqa: E402
+from dataclasses import dataclass, field  # noqa: E402
+
+import numpy as np  # noqa: E402
+from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
+from pyspark.ml.classification import (GBTClassifier, LinearSVC,  # noqa: E402
+                                       LogisticRegression, RandomForestClassifier)
+from pyspark.ml.feature import SQLTransformer, VectorAssembler  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from .metrics import evaluate  # noqa: E402
+
+# Model presets. The four boosters map onto MLlib's GBT with
+# their usual defaults (rounds, depth, learning rate); imbalance handling as
+# in the original configuration ('balanced' weights or neg/pos on positives).
+PRESETS = {
+    "LogisticRegression": dict(kind="lr", maxIter=1000, C=1.0, weights="balanced"),
+    "RandomForest": dict(kind="rf", numTrees=100, maxDepth=16, weights="balanced", seed=42),
+    "XGBoost": dict(kind="gbt", maxIter=100, maxDepth=6, stepSize=0.3, weights="scale_pos", seed=42),
+    "LightGBM": dict(kind="gbt", maxIter=100, maxDepth=8, stepSize=0.1, weights="balanced", seed=42),
+    "CatBoost": dict(kind="gbt", maxIter=100, maxDepth=6, stepSize=0.05, weights=None, seed=42),
+    "GradientBoosting": dict(kind="gbt", maxIter=100, maxDepth=3, stepSize=0.1, weights=None, seed=42),
+    "KNN": dict(kind="knn", k=5),
+    "SVM": dict(kind="svm", n_components=100, weights="balanced", seed=42),
+}
+DEFAULT_MODELS = ["LogisticRegression", "RandomForest", "XGBoost", "LightGBM"]
+
+
+def weight_column(df: DataFrame, label: str, how) -> tuple:
+    """Return (df with ``_w``, class->weight map) for the imbalance rule."""
+    if how is None:
+        return df.withColumn("_w", F.lit(1.0)), {}
+    if isinstance(how, str) and how.startswith("col:"):
+        return df.withColumn("_w", F.col(how[4:]).cast("double")), {}
+    rows = df.groupBy(label).agg(F.count("*").alias("n")).collect()
+    counts = {r[label]: r["n"] for r in rows}
+    if how == "balanced":
+        total, k = sum(counts.values()), len(counts)
+        wmap = {c: total / (k * n) for c, n in counts.items()}
+    elif how == "scale_pos":
+        pos, neg = counts.get(1, 0), counts.get(0, 0)
+        wmap = {0: 1.0, 1: (neg / pos) if pos > 0 else 1.0}
+    else:
+        raise ValueError(how)
+    m = F.create_map(*sum([[F.lit(c), F.lit(float(w))] for c, w in wmap.items()], []))
+    return df.withColumn("_w", F.coalesce(F.element_at(m, F.col(label)), F.lit(1.0))), wmap
+
+
+@dataclass
+class FittedModel:
+    """A fitted classifier: MLlib PipelineModel plus score post-processing."""
+    name: str
+    kind: str
+    features: list
+    label: str
+    pipeline: PipelineModel | None
+    extra: dict = field(default_factory=dict)
+    knn_train: DataFrame | None = None
+
+    def transform(self, df: DataFrame, keep=("row_id",)) -> DataFrame:
+        """Add ``score`` (P(class 1), or decision value) and ``prediction``."""
+        if self.kind == "knn":
+            out = knn_classify(self.knn_train, df, self.features, self.label, self.extra["k"])
+            return out.drop("label").join(df, on="row_id")
+        t = self.pipeline.transform(df)
+        if self.kind == "svm":
+            m = vector_to_array("rawPrediction")[1]
+            a, b = self.extra["platt_a"], self.extra["platt_b"]
+            s = F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(a) * m + F.lit(b)))
+        else:
+            s = vector_to_array("probability")[1]
+        t = t.withColumn("score", s)
+        pred = (F.col("score") > F.lit(0.5)).cast("int") if self.kind == "svm" else \
+            F.col("prediction").cast("int")
+        t = t.withColumn("prediction", pred)
+        return t.drop("features", "rawPrediction", "probability", "_w",
+                      *[c for c in t.columns if c.startswith("_rff")])
+
+    @property
+    def feature_importances(self):
+        last = self.pipeline.stages[-1] if self.pipeline is not None else None
+        return getattr(last, "featureImportances", None)
+
+    def save(self, path: str):
+        """One artefact directory: the PipelineModel (scaler stage included) + metadata."""
+        meta = dict(name=self.name, kind=self.kind, features=self.features, label=self.label,
+                    extra=self.extra)
+        if self.pipeline is not None:
+            self.pipeline.write().overwrite().save(os.path.join(path, "pipeline"))
+        if self.knn_train is not None:
+            self.knn_train.write.mode("overwrite").parquet(os.path.join(path, "knn_train"))
+        spark = SparkSessionRef.get()
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
+            .write.mode("overwrite").text(os.path.join(path, "meta"))
+
+
+class SparkSessionRef:
+    @staticmethod
+    def get():
+        from pyspark.sql import SparkSession
+        return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
+def load_model(path: str) -> FittedModel:
+    """Restore a saved model; a missing path raises FileNotFoundError."""
+    spark = SparkSessionRef.get()
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jvm_path):
+        raise FileNotFoundError(f"Model file not found at: {path}")
+    meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])
+    pipe = None
+    if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "pipeline"))):
+        pipe = PipelineModel.load(os.path.join(path, "pipeline"))
+    knn = None
+    if meta["kind"] == "knn":
+        knn = spark.read.parquet(os.path.join(path, "knn_train"))
+    return FittedModel(meta["name"], meta["kind"], meta["features"], meta["label"], pipe,
+                       meta["extra"], knn)
+
+
+def _rff_stage(features, d_out: int, gamma: float, seed: int) -> SQLTransformer:
+    """Random Fourier features of an RBF kernel, one SQL projection (JVM-side)."""
+    rng = np.random.default_rng(seed)
+    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(d_out, len(features)))
+    b = rng.uniform(0.0, 2.0 * math.pi, size=d_out)
+    scale = math.sqrt(2.0 / d_out)
+    cols = []
+    for i in range(d_out):
+        lin = " + ".join(f"({W[i, j]!r}) * CAST(`{f}` AS DOUBLE)" for j, f in enumerate(features))
+        cols.append(f"{scale!r} * cos({lin} + ({b[i]!r})) AS _rff{i}")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
+
+
+def fit_model(name: str, train: DataFrame, features, label: str = "Class",
+              val: DataFrame | None = None, preset: dict | None = None,
+              scaler_stage=None, params: dict | None = None) -> FittedModel:
+    """Fit one preset (or explicit ``preset`` dict) on ``train``."""
+    cfg = dict(PRESETS[name] if preset is None else preset)
+    cfg.update(params or {})
+    kind = cfg.pop("kind")
+    features = list(features)
+    if kind == "knn":
+        return FittedModel(name, kind, features, label, None, {"k": cfg.get("k", 5)},
+                           train.select("row_id", *features, label))
+    how = cfg.pop("weights", None)
+    data, _ = weight_column(train, label, how)
+    if val is not None and kind == "gbt":
+        vdata = val.withColumn("_w", F.lit(1.0))
+        data = data.withColumn("_is_val", F.lit(False)).unionByName(vdata.withColumn("_is_val", F.lit(True)))
+    stages = [scaler_stage] if scaler_stage is not None else []
+    stages.append(VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"))
+    extra = {}
+    if kind == "lr":
+        n = data.count()
+        c = cfg.pop("C", 1.0)
+        est = LogisticRegression(featuresCol="features", labelCol=label, weightCol="_w",
+                                 maxIter=cfg.pop("maxIter", 100), regParam=1.0 / (c * max(n, 1)),
+                                 elasticNetParam=cfg.pop("elasticNetParam", 0.0))
+    elif kind == "rf":
+        est = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="_w", **cfg)
+    elif kind == "gbt":
+        if val is not None:
+            cfg["validationIndicatorCol"] = "_is_val"
+        est = GBTClassifier(featuresCol="features", labelCol=label, weightCol="_w", **cfg)
+    elif kind == "svm":
+        var = data.select(*[F.var_pop(F.col(f).cast("double")).alias(f) for f in features]).first()
+        xvar = float(np.mean([var[f] or 0.0 for f in features])) or 1.0
+        gamma = cfg.pop("gamma", None) or 1.0 / (len(features) * xvar)  # 'scale' rule
+        d_out = cfg.pop("n_components", 100)
+        stages = stages[:-1] + [_rff_stage(features, d_out, gamma, cfg.pop("seed", 42)),
+                                VectorAssembler(inputCols=[f"_rff{i}" for i in range(d_out)],
+                                                outputCol="features")]
+        est = LinearSVC(featuresCol="features", labelCol=label, weightCol="_w",
+                        maxIter=cfg.pop("maxIter", 100), regParam=cfg.pop("regParam", 0.0))
+        extra.update(gamma=gamma, n_components=d_out)
+    else:
+        raise ValueError(kind)
+    model = Pipeline(stages=stages + [est]).fit(data)
+    if kind == "svm":
+        # Platt scaling on the training margins (one-feature logistic regression)
+        m = model.transform(data).withColumn("_m", vector_to_array("rawPrediction")[1])
+        platt = LogisticRegression(featuresCol="_mv", labelCol=label, maxIter=100, regParam=0.0) \
+            .fit(VectorAssembler(inputCols=["_m"], outputCol="_mv").transform(m.select("_m", label)))
+        extra["platt_a"] = -float(platt.coefficients[0])
+        extra["platt_b"] = -float(platt.intercept)
+    return FittedModel(name, kind, features, label, model, extra)
+
+
+
+def with_scaler(model: FittedModel, scaler_stage) -> FittedModel:
+    """Prepend the fitted scaler so scaler and classifier are one artefact."""
+    if model.pipeline is None or scaler_stage is None:
+        return model
+    return FittedModel(model.name, model.kind, model.features, model.label,
+                       PipelineModel(stages=[scaler_stage] + list(model.pipeline.stages)),
+                       model.extra, model.knn_train)
+
+
+def score(model: FittedModel, df: DataFrame) -> DataFrame:
+    """Probability of class 1 (``score``) and decision (``prediction``)."""
+    return model.transform(df)
+
+
+def metrics_of(scored: DataFrame, label: str = "Class") -> dict:
+    src = scored.select(F.col(label).alias("label"), "score", "prediction")
+    return evaluate(src).first().asDict()
+
+
+@dataclass
+class TrainResult:
+    model: FittedModel
+    train_metrics: dict
+    test_metrics: dict
+
+
+def train_model(name: str, train: DataFrame, features, label: str = "Class",
+                test: DataFrame | None = None, val: DataFrame | None = None,
+                save_path: str | None = None, preset: dict | None = None,
+                params: dict | None = None, scaler_stage=None) -> TrainResult:
+    """Fit, evaluate on train and test, optionally save (scaler included)."""
+    m = fit_model(name, train, features, label, val=val, preset=preset, params=params)
+    trm = metrics_of(m.transform(train), label)
+    tem = metrics_of(m.transform(test), label) if test is not None else {}
+    m = with_scaler(m, scaler_stage)
+    if save_path:
+        m.save(save_path)
+    return TrainResult(m, trm, tem)
+
+
+COMPARISON_SCHEMA = "model string, roc_auc double, f1 double, precision double, recall double, accuracy double"
+
+
+def comparison_table(spark, results: dict) -> DataFrame:
+    rows = [(n, r.test_metrics.get("roc_auc"), r.test_metrics.get("f1"), r.test_metrics.get("precision"),
+             r.test_metrics.get("recall"), r.test_metrics.get("accuracy"))
+            for n, r in results.items() if r is not None]
+    return spark.createDataFrame(rows, COMPARISON_SCHEMA).orderBy(F.desc_nulls_last("roc_auc"), "model")
+
+
+def train_many(train: DataFrame, test: DataFrame, features, label: str = "Class",
+               names=None, val: DataFrame | None = None, save_dir: str | None = None,
+               parallelism: int = 4, scaler_stage=None):
+    """Fit several presets concurrently (Spark schedules the jobs); errors -> None.
+
+    Returns (results dict, comparison DataFrame sorted by ROC-AUC).
+    """
+    names = list(names or DEFAULT_MODELS)
+    train = train.persist()
+
+    def one(n):
+        try:
+            path = os.path.join(save_dir, f"{n}_model") if save_dir else None
+            return n, train_model(n, train, features, label, test, val, path, scaler_stage=scaler_stage)
+        except Exception as e:  # noqa: BLE001 - recorded like the original loop
+            print(f"Error training {n}: {e}")
+            return n, None
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        results = dict(ex.map(one, names))
+    table = comparison_table(train.sparkSession, results)
+    if save_dir:
+        table.coalesce(1).write.mode("overwrite").option("header", True) \
+            .csv(os.path.join(save_dir, "model_comparison"))
+    return results, table

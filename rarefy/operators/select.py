@@ -140,6 +140,44 @@ class PCAModel:
         return df.withColumns(exprs)
 
 
+def covariance(df: DataFrame, cols):
+    """Mean vector and sample covariance of complete rows.
+
+    Each partition sums its rows and their Gram matrix in numpy (data
+    shifted by a rough mean first, against cancellation) and emits
+    1 + d + d^2 keyed numbers; a keyed sum combines them map-side. Only
+    d^2 numbers reach the driver.
+    """
+    import pandas as pd
+    cols = list(cols)
+    d = len(cols)
+    shift_row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    shift = np.array([shift_row[c] or 0.0 for c in cols])
+
+    def part(it):
+        n, sx, g = 0.0, np.zeros(d), np.zeros((d, d))
+        for pdf in it:
+            X = pdf[cols].to_numpy(dtype=float) - shift
+            X = X[~np.isnan(X).any(axis=1)]
+            n += len(X)
+            sx += X.sum(axis=0)
+            g += X.T @ X
+        yield pd.DataFrame({"k": np.arange(1 + d + d * d, dtype="int64"),
+                            "v": np.concatenate([[n], sx, g.ravel()])})
+
+    tot = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
+        .mapInPandas(part, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
+    v = np.zeros(1 + d + d * d)
+    for r in tot:
+        v[r["k"]] = r["v"]
+    n, sx, g = v[0], v[1:1 + d], v[1 + d:].reshape(d, d)
+    if n < 2:
+        return shift, np.zeros((d, d))
+    mu = sx / n
+    cov = (g - n * np.outer(mu, mu)) / (n - 1)
+    return shift + mu, cov
+
+
 def fit_pca(df: DataFrame, cols, n_components: float | int = 0.95) -> PCAModel:
     """Centred PCA from the sample covariance (one aggregate pass).
 
@@ -149,17 +187,7 @@ def fit_pca(df: DataFrame, cols, n_components: float | int = 0.95) -> PCAModel:
     """
     cols = list(cols)
     d = len(cols)
-    aggs = [F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]
-    for i in range(d):
-        for j in range(i, d):
-            aggs.append(F.covar_samp(F.col(cols[i]).cast("double"),
-                                     F.col(cols[j]).cast("double")).alias(f"c{i}_{j}"))
-    row = df.agg(*aggs).first()
-    cov = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            v = row[f"c{i}_{j}"] or 0.0
-            cov[i, j] = cov[j, i] = v
+    mean, cov = covariance(df, cols)
     vals, vecs = np.linalg.eigh(cov)
     order = np.argsort(vals)[::-1]
     vals, vecs = np.clip(vals[order], 0.0, None), vecs[:, order].T
@@ -174,7 +202,7 @@ def fit_pca(df: DataFrame, cols, n_components: float | int = 0.95) -> PCAModel:
     for i in range(k):
         if comps[i][np.argmax(np.abs(comps[i]))] < 0:
             comps[i] = -comps[i]
-    return PCAModel(cols, [row[f"m{i}"] for i in range(d)], comps, ratio[:k].tolist())
+    return PCAModel(cols, list(mean), comps, ratio[:k].tolist())
 
 
 def pca_transform(df: DataFrame, model: PCAModel) -> DataFrame:

@@ -82,10 +82,14 @@ def _ntz_micros(col: str):
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})")
 
 
-def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+def fit_t0(ev: DataFrame) -> int:
+    """First event time in microseconds (one scalar, fitted once)."""
+    return ev.agg(F.min(_ntz_micros("ts")).alias("t0")).first()["t0"]
+
+
+def events_to_tx(ev: DataFrame, t0: int) -> DataFrame:
+    """Map raw events onto the transaction row (a projection; works on streams)."""
     us = _ntz_micros("ts")
-    t0 = ev.agg(F.min(us).alias("t0")).first()["t0"]  # one scalar, fitted once
     return ev.select(
         F.col("event_id").alias("row_id"),
         ((us - F.lit(t0)).cast("double") / F.lit(1000000.0)).alias("Time"),
@@ -94,6 +98,11 @@ def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    return events_to_tx(ev, fit_t0(ev))
+
+
 def tx_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
     return emb.select(
