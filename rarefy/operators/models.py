@@ -237,8 +237,12 @@ def score(model: FittedModel, df: DataFrame) -> DataFrame:
 
 
 def metrics_of(scored: DataFrame, label: str = "Class") -> dict:
-    src = scored.select(F.col(label).alias("label"), "score", "prediction")
-    return evaluate(src).first().asDict()
+    """All metrics of a scored table; scores are computed once (persisted)."""
+    src = scored.select(F.col(label).alias("label"), "score", "prediction").persist()
+    try:
+        return evaluate(src).first().asDict()
+    finally:
+        src.unpersist()
 
 
 @dataclass

@@ -110,13 +110,15 @@ def adasyn(df: DataFrame, features, label: str = "Class", k: int = 5, seed: int
         return base
     minority = base.where(F.col(label) == F.lit(mino))
     around = knn_join(minority, base, features, k, id_col, ref_cols=[label], exclude_self=True, **knn_kw)
-    ratio = around.groupBy("q_id").agg(
-        (F.count_if(F.col(label) != F.lit(mino)) / F.lit(float(k))).alias("_r"))
-    total = ratio.agg(F.sum("_r")).first()[0] or 0.0
-    if total == 0.0:
+    # majority share among the k neighbours, normalised over all minority rows:
+    # kept as integer counts so the normalisation is exact
+    cnt = around.groupBy("q_id").agg(F.count_if(F.col(label) != F.lit(mino)).alias("_c"))
+    total = cnt.agg(F.sum("_c")).first()[0] or 0
+    if total == 0:
         raise ValueError("No neighbours belong to the majority class; ADASYN cannot weight rows.")
-    gen = ratio.select(F.col("q_id").alias(id_col),
-                       F.rint(F.col("_r") / F.lit(total) * F.lit(float(n_new))).cast("long").alias("_m"))
+    gen = cnt.select(F.col("q_id").alias(id_col),
+                     F.rint(F.col("_c").cast("double") * F.lit(float(n_new)) / F.lit(float(total)))
+                     .cast("long").alias("_m"))
     ranked = hash_rank(minority.withColumn("_h", uniform_hash(id_col, seed, "adasyn")),
                        [], "_h", id_col, "_rank", n_rows=n_min).join(gen, on=id_col)
     draws = ranked.where(F.col("_m") > 0).select(

@@ -45,6 +45,17 @@ def engineer_with(stats):
     return f
 
 
+_MEMO = {}
+
+
+def model_data(spark, sf, resample="smote", val_size=0.0):
+    """ModelData is deterministic; queries of one session share it."""
+    key = (id(spark), spark.sparkContext.applicationId, sf, resample, val_size)
+    if key not in _MEMO:
+        _MEMO[key] = ModelData(spark, sf, resample, val_size)
+    return _MEMO[key]
+
+
 class ModelData:
     """Split, feature statistics and scaler fitted on the training rows only."""
 
@@ -80,65 +91,125 @@ def _metrics_row(spark, name, m: dict):
 
 def _fit_one(name):
     def q(spark, sf):
-        md = ModelData(spark, sf)
+        md = model_data(spark, sf)
         r = MD.train_model(name, md.train, md.features, "Class", md.test)
         return _metrics_row(spark, name, r.test_metrics)
     q.__name__ = f"q_{name}"
     return q
 
 
+GBT_PRESETS = ["XGBoost", "LightGBM", "CatBoost", "GradientBoosting"]
+
+
+def q_gbt(spark, sf):
+    """The four boosted-tree presets, fitted concurrently, as one metrics table."""
+    md = model_data(spark, sf)
+    res, _ = MD.train_many(md.train, md.test, md.features, "Class", names=GBT_PRESETS)
+    return spark.createDataFrame([], "model string").unionByName(
+        _metrics_rows(spark, {n: r.test_metrics for n, r in res.items() if r is not None}),
+        allowMissingColumns=True)
+
+
+def _metrics_rows(spark, by_name: dict):
+    out = None
+    for n, m in by_name.items():
+        r = _metrics_row(spark, n, m)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def q_gbt_validation(spark, sf):
-    md = ModelData(spark, sf, val_size=0.1)
+    md = model_data(spark, sf, val_size=0.1)
     r = MD.train_model("XGBoost", md.train, md.features, "Class", md.test, val=md.val)
     trees = r.model.pipeline.stages[-1].getNumTrees
     return _metrics_row(spark, "XGBoost+validation", r.test_metrics).withColumn("n_trees", F.lit(trees))
 
 
 def q_score(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     m = MD.fit_model("LogisticRegression", md.train, md.features)
     return MD.score(m, md.test).select("row_id", "Class", "score", "prediction")
 
 
 def q_train_model(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     r = MD.train_model("LogisticRegression", md.train, md.features, "Class", md.test)
     return _metrics_row(spark, "train", r.train_metrics).unionByName(
         _metrics_row(spark, "test", r.test_metrics)).withColumnRenamed("model", "split")
 
 
 def q_train_many(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     _, table = MD.train_many(md.train, md.test, md.features, "Class")
     return table
 
 
 def q_write_comparison(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     out = work_dir(spark, "comparison")
     MD.train_many(md.train, md.test, md.features, "Class", names=["LogisticRegression"], save_dir=out)
     return spark.read.option("header", True).option("inferSchema", True).csv(os.path.join(out, "model_comparison"))
 
 
 def q_feature_importance(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     m = MD.fit_model("RandomForest", md.train, md.features)
     return S.feature_importance(m.pipeline.stages[-1], md.features, spark)
 
 
 def _saved_model(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     path = work_dir(spark, "model")
     MD.train_model("LogisticRegression", md.train, md.features, "Class", None, save_path=path,
                    scaler_stage=md.scaler_stage)
     return md, MD.load_model(path)
 
 
-def q_save_load_model(spark, sf):
+def q_save_model(spark, sf):
+    """Fit and save (scaler stage + classifier in one PipelineModel); list the artefact."""
+    md = model_data(spark, sf)
+    path = work_dir(spark, "model")
+    r = MD.train_model("LogisticRegression", md.train, md.features, "Class", None, save_path=path,
+                       scaler_stage=md.scaler_stage)
+    stages = [type(s_).__name__ for s_ in r.model.pipeline.stages]
+    return spark.createDataFrame([(i, st) for i, st in enumerate(stages)], "position int, stage string")
+
+
+def q_load_model(spark, sf):
+    """Load the saved artefact and score raw (unscaled) test rows."""
     md, m = _saved_model(spark, sf)
     return m.transform(md.test_raw).select("row_id", "score", "prediction")
 
 
+def q_save_scaler(spark, sf):
+    """Persist the fitted scaler alone as an MLlib stage, reload and apply it."""
+    from pyspark.ml import PipelineModel
+    md = model_data(spark, sf)
+    path = work_dir(spark, "scaler")
+    PipelineModel(stages=[md.scaler_stage]).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(md.test_raw).select("row_id", *md.features)
+
+
+def q_save_weighted(spark, sf):
+    """Weighted ensemble saved as member models plus a weights table; read the weights back."""
+    md = model_data(spark, sf)
+    e = EF.weighted(ENSEMBLE_MEMBERS, md.train, md.features, "Class")
+    path = work_dir(spark, "weighted")
+    e.save(path)
+    return spark.read.json(os.path.join(path, "_weights"))
+
+
+def q_save_search(spark, sf):
+    """Best model of a grid search plus all search results, saved and read back."""
+    md = model_data(spark, sf)
+    best, res = TU.grid_search("LogisticRegression", LR_GRID, md.train, md.features)
+    path = work_dir(spark, "search")
+    best.save(os.path.join(path, "best_model"))
+    res.write.mode("overwrite").parquet(os.path.join(path, "results"))
+    MD.load_model(os.path.join(path, "best_model"))
+    return spark.read.parquet(os.path.join(path, "results"))
+
+
 def q_batch_score(spark, sf):
     md, m = _saved_model(spark, sf)
     rows = md.prepare_raw(T.tx_events(spark, sf)).select("row_id", *MODEL_FEATURES, "Class")
@@ -164,7 +235,7 @@ def q_stream_score(spark, sf):
 
 def _ens_query(kind):
     def q(spark, sf):
-        md = ModelData(spark, sf)
+        md = model_data(spark, sf)
         _, m = EF.train_ensemble(kind, ENSEMBLE_MEMBERS, md.train, md.test, md.features, "Class")
         return _metrics_row(spark, f"{kind} ensemble", m)
     q.__name__ = f"q_ens_{kind}"
@@ -172,7 +243,7 @@ def _ens_query(kind):
 
 
 def q_compare_ensembles(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     return EF.compare_ensembles(ENSEMBLE_MEMBERS, md.train, md.test, md.features, "Class")
 
 
@@ -187,25 +258,25 @@ LR_GRID = {"C": [0.01, 0.1, 1, 10, 100], "penalty": ["l1", "l2"]}
 
 
 def q_grid_search(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     _, res = TU.grid_search("LogisticRegression", LR_GRID, md.train, md.features)
     return res
 
 
 def q_random_search(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     _, res = TU.random_search("LogisticRegression", LR_GRID, md.train, md.features, n_iter=5)
     return res
 
 
 def q_adaptive_search(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     _, res = TU.adaptive_search("LogisticRegression", md.train, md.features, n_trials=8, batch=4)
     return res
 
 
 def q_compare_tuning(spark, sf):
-    md = ModelData(spark, sf)
+    md = model_data(spark, sf)
     return TU.compare_tuning("LogisticRegression", LR_GRID, md.train, md.features,
                              n_iter_random=5, n_trials_adaptive=8)
 
@@ -241,10 +312,7 @@ def q_run_job(spark, sf):
 QUERIES = {
     "lr": _fit_one("LogisticRegression"),
     "rf": _fit_one("RandomForest"),
-    "gbt_xgboost": _fit_one("XGBoost"),
-    "gbt_lightgbm": _fit_one("LightGBM"),
-    "gbt_catboost": _fit_one("CatBoost"),
-    "gbt_gradient_boosting": _fit_one("GradientBoosting"),
+    "gbt": q_gbt,
     "gbt_validation": q_gbt_validation,
     "svm": _fit_one("SVM"),
     "knn_model": _fit_one("KNN"),
@@ -253,10 +321,14 @@ QUERIES = {
     "train_many": q_train_many,
     "write_comparison": q_write_comparison,
     "feature_importance": q_feature_importance,
-    "save_load_model": q_save_load_model,
+    "save_model": q_save_model,
+    "load_model": q_load_model,
+    "save_scaler": q_save_scaler,
+    "save_weighted": q_save_weighted,
+    "save_search": q_save_search,
     "batch_score": q_batch_score,
     "stream_score": q_stream_score,
-    "vote_models": _ens_query("voting"),
+    "train_ensemble": _ens_query("voting"),
     "stacking": _ens_query("stacking"),
     "bagging": _ens_query("bagging"),
     "weighted_models": _ens_query("weighted"),

@@ -54,8 +54,53 @@ cc AS (SELECT "Class", count(*) AS n FROM tx GROUP BY "Class"),
 mn AS (SELECT "Class" AS cmin, n AS nmin FROM cc ORDER BY n, "Class" LIMIT 1),
 mx AS (SELECT max(n) AS nmax FROM cc),
 ru AS (SELECT "Class", count(*) AS n FROM r, mn WHERE rk < (CASE WHEN "Class" = cmin THEN n ELSE least(n, nmin) END) GROUP BY "Class")"""
-    s["resample_counts"] = with_(TX_EVENTS, TX, under, body=
+    s["resample"] = with_(TX_EVENTS, TX, under, body=
                                  "SELECT 'none' AS method, \"Class\", n AS n_before, n AS n_after FROM cc "
                                  "UNION ALL SELECT 'random_under', cc.\"Class\", cc.n, ru.n FROM cc JOIN ru USING (\"Class\") "
                                  "UNION ALL SELECT 'smote', \"Class\", n, CASE WHEN \"Class\" = cmin THEN nmax ELSE n END FROM cc, mn, mx")
+    s.update(build_resample())
+    return s
+
+
+def _key_hash(salt: str, seed=SPLIT_SEED) -> str:
+    return (f"('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':' || CAST(j AS VARCHAR) || ':{seed}{salt}'), 1, 15))::BIGINT")
+
+
+_PRM = """cc AS (SELECT "Class", count(*) AS n FROM tx GROUP BY "Class"),
+mn AS (SELECT "Class" AS cmin, n AS nmin FROM cc ORDER BY n, "Class" LIMIT 1),
+mx AS (SELECT max(n) AS nmax FROM cc),
+prm AS (SELECT cmin, nmin, nmax - nmin AS n_new, least(5, nmin - 1) AS keff FROM mn, mx),
+m AS (SELECT tx.* FROM tx, prm WHERE "Class" = cmin)"""
+
+
+def _nn_minority() -> str:
+    return (f"nn AS (SELECT a.row_id AS q, b.\"Time_Hours\" AS nh, b.\"Amount\" AS na, row_number() OVER "
+            f"(PARTITION BY a.row_id ORDER BY {dist('a', 'b')}, b.row_id) AS rnk FROM m a JOIN m b "
+            f"ON a.row_id <> b.row_id QUALIFY rnk <= (SELECT keff FROM prm))")
+
+
+def _synth(mult: str) -> str:
+    return f"""pk AS (SELECT dr.*, CAST(({_key_hash('nn')} % keff) + 1 AS BIGINT) AS pick,
+  CAST({_key_hash('gap')} AS DOUBLE) / {D(2 ** 60)} AS gap FROM dr, prm),
+syn AS (SELECT CAST(-(1 + r + {mult} * j) AS BIGINT) AS row_id,
+  "Time_Hours" + gap * (nh - "Time_Hours") AS "Time_Hours", "Amount" + gap * (na - "Amount") AS "Amount",
+  CAST(cmin AS INTEGER) AS "Class" FROM pk JOIN nn ON nn.q = pk.row_id AND nn.rnk = pk.pick, prm)"""
+
+
+def build_resample() -> dict:
+    s = {}
+    rk = lambda salt: (f"rk AS (SELECT *, row_number() OVER (ORDER BY {md5_hash('row_id', SPLIT_SEED, salt)}, row_id) - 1 AS r FROM m)")
+    s["smote"] = with_(TX_EVENTS, TX, _PRM, _nn_minority(), rk("smote"),
+                       "dr AS (SELECT rk.*, unnest(range(CAST(n_new // nmin + CASE WHEN r < n_new % nmin THEN 1 ELSE 0 END AS BIGINT))) AS j FROM rk, prm)",
+                       _synth("nmin"),
+                       body='SELECT row_id, "Time_Hours", "Amount", "Class" FROM tx UNION ALL SELECT * FROM syn')
+    s["adasyn"] = with_(TX_EVENTS, TX, _PRM, _nn_minority(), rk("adasyn"),
+                        f"ar AS (SELECT a.row_id AS q, b.\"Class\" AS nl, row_number() OVER (PARTITION BY a.row_id "
+                        f"ORDER BY {dist('a', 'b')}, b.row_id) AS k FROM m a JOIN tx b ON a.row_id <> b.row_id QUALIFY k <= 5)",
+                        "cn AS (SELECT q, count(*) FILTER (WHERE nl <> cmin) AS c FROM ar, prm GROUP BY q)",
+                        "tot AS (SELECT sum(c) AS t FROM cn)",
+                        "gen AS (SELECT q AS row_id, CAST(round_even(CAST(c AS DOUBLE) * CAST(n_new AS DOUBLE) / CAST(t AS DOUBLE), 0) AS BIGINT) AS g FROM cn, tot, prm)",
+                        "dr AS (SELECT rk.*, unnest(range(g)) AS j FROM rk JOIN gen USING (row_id) WHERE g > 0)",
+                        _synth("(n_new + nmin)"),
+                        body='SELECT row_id, "Time_Hours", "Amount", "Class" FROM tx UNION ALL SELECT * FROM syn')
     return s
