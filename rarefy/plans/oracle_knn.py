@@ -59,6 +59,7 @@ ru AS (SELECT "Class", count(*) AS n FROM r, mn WHERE rk < (CASE WHEN "Class" =
                                  "UNION ALL SELECT 'random_under', cc.\"Class\", cc.n, ru.n FROM cc JOIN ru USING (\"Class\") "
                                  "UNION ALL SELECT 'smote', \"Class\", n, CASE WHEN \"Class\" = cmin THEN nmax ELSE n END FROM cc, mn, mx")
     s.update(build_resample())
+    s.update(build_combined())
     return s
 
 
@@ -104,3 +105,22 @@ def build_resample() -> dict:
                         _synth("(n_new + nmin)"),
                         body='SELECT row_id, "Time_Hours", "Amount", "Class" FROM tx UNION ALL SELECT * FROM syn')
     return s
+
+
+def build_combined() -> dict:
+    """SMOTE followed by Tomek-link removal or ENN, both classes cleaned ('all')."""
+    s = {}
+    smote_body = build_resample()["smote"]
+    # reuse the SMOTE statement as a view
+    head, _, tail = smote_body.partition("\nSELECT row_id, \"Time_Hours\", \"Amount\", \"Class\" FROM tx UNION ALL SELECT * FROM syn")
+    rs = head + ",\nrs AS (SELECT row_id, \"Time_Hours\", \"Amount\", \"Class\" FROM tx UNION ALL SELECT * FROM syn)"
+    s["smote_tomek"] = rs + f""",
+nn1 AS (SELECT a.row_id AS q, a."Class" AS ql, arg_min(b.row_id, {dist('a', 'b')}) AS r,
+        arg_min(b."Class", {dist('a', 'b')}) AS rl FROM rs a JOIN rs b ON a.row_id <> b.row_id GROUP BY a.row_id, a."Class"),
+links AS (SELECT x.q FROM nn1 x JOIN nn1 y ON x.r = y.q AND y.r = x.q WHERE x.ql <> x.rl)
+SELECT * FROM rs WHERE row_id NOT IN (SELECT q FROM links)"""
+    s["smote_enn"] = rs + f""",
+nn3 AS (SELECT a.row_id, a."Class" AS c, min_by(b."Class", {dist('a', 'b')}, 3) AS labs
+        FROM rs a JOIN rs b ON a.row_id <> b.row_id GROUP BY a.row_id, a."Class")
+SELECT rs.* FROM rs JOIN nn3 USING (row_id) WHERE len(list_filter(labs, lambda v: v <> c)) = 0"""
+    return s
