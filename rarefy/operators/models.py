@@ -161,8 +161,8 @@ def _rff_stage(features, d_out: int, gamma: float, seed: int) -> SQLTransformer:
     scale = math.sqrt(2.0 / d_out)
     cols = []
     for i in range(d_out):
-        lin = " + ".join(f"({W[i, j]!r}) * CAST(`{f}` AS DOUBLE)" for j, f in enumerate(features))
-        cols.append(f"{scale!r} * cos({lin} + ({b[i]!r})) AS _rff{i}")
+        lin = " + ".join(f"({float(W[i, j])!r}) * CAST(`{f}` AS DOUBLE)" for j, f in enumerate(features))
+        cols.append(f"{float(scale)!r} * cos({lin} + ({float(b[i])!r})) AS _rff{i}")
     return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
 
 

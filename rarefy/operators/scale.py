@@ -30,7 +30,7 @@ class ScalerModel:
         parts = []
         for c in input_columns:
             if c in self.center:
-                parts.append(f"(CAST(`{c}` AS DOUBLE) - ({self.center[c]!r})) / ({self.scale[c]!r}) AS `{c}`")
+                parts.append(f"(CAST(`{c}` AS DOUBLE) - ({float(self.center[c])!r})) / ({float(self.scale[c])!r}) AS `{c}`")
             else:
                 parts.append(f"`{c}`")
         return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
