@@ -227,7 +227,9 @@ def _visit(visits: DataFrame, ref_c: DataFrame, fc, k, ref_cols, exclude_self, w
         R = right[fc].to_numpy(dtype=float)
         qid = left["q_id"].to_numpy()
         rid = right["r_id"].to_numpy()
-        D2 = _sqdist(Q, R)
+        # order is (distance, reference id) with distance = sqrt of the
+        # dimension-by-dimension sum of squares, the same order as the SQL oracle
+        D2 = np.sqrt(_sqdist(Q, R))
         if exclude_self:
             D2[qid[:, None] == rid[None, :]] = np.inf
         kk = min(k, R.shape[0])
@@ -255,7 +257,7 @@ def _visit(visits: DataFrame, ref_c: DataFrame, fc, k, ref_cols, exclude_self, w
             qi.extend([i] * len(oo))
             rj.extend(cand[oo].tolist())
         qi, rj = np.asarray(qi, dtype=int), np.asarray(rj, dtype=int)
-        res = {"q_id": qid[qi], "r_id": rid[rj], "dist": np.sqrt(D2[qi, rj])}
+        res = {"q_id": qid[qi], "r_id": rid[rj], "dist": D2[qi, rj]}
         if with_vectors:
             res["r_v"] = [row.tolist() for row in R[rj]]
         for c in ref_cols:
