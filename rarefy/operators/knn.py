@@ -18,6 +18,9 @@ Nothing here compares every query with every reference:
    bound max(d(q,p_j) - R_j, (d(q,p_j)^2 - d(q,p_c)^2) / 2 d(p_c,p_j))
    (ball bound and bisector bound, c = the query's own cell) is <= theta_q.
    Only those cells are visited.
+0. Copies: when the references hold repeated vectors, only the ``k (+1)``
+   smallest ids of each identical vector are kept (exact; see
+   ``cap_copies``), so a vector repeated a billion times costs k rows.
 5. A visit is a cogroup of the visiting queries and the cell's
    references on (cell, reference chunk, query chunk): big cells are cut
    into chunks of at most ``chunk`` rows on each side, so no task holds a
@@ -62,7 +65,8 @@ def _pivot_geometry(pivots: np.ndarray):
 def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
              id_col: str = "row_id", ref_cols=(), exclude_self: bool = False,
              with_vectors: bool = False, cell_size: int = 256, max_pivots: int = 4096,
-             chunk: int = 2048, seed: int = 7, materialize: bool = True) -> DataFrame:
+             chunk: int = 2048, seed: int = 7, materialize: bool = True,
+             dedup: bool = True, dup_ratio: float = 0.9) -> DataFrame:
     """Return (q_id, r_id, dist, rank[, r_v], ref_cols...) with rank 1..k per query."""
     spark = query.sparkSession
     features = list(features)
@@ -74,11 +78,15 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
                            *[F.col(c) for c in ref_cols])
     qry = query.select(F.col(id_col).alias("q_id"),
                        *[F.col(c).cast("double").alias(f) for c, f in zip(features, fc)])
-    ref_h = ref.withColumn("_h", uniform_hash("r_id", seed, "pivot"))
-    n_ref = ref.count()
+    need = k + (1 if exclude_self else 0)
+    st = ref.agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(*fc)).alias("nd")).first()
+    n_ref = st["n"]
     if n_ref == 0:
         return _empty(spark, reference, ref_cols, with_vectors, d)
-    need = k + (1 if exclude_self else 0)
+    if dedup and st["nd"] < dup_ratio * n_ref:
+        ref = cap_copies(ref, fc, need, seed)
+        n_ref = ref.count()
+    ref_h = ref.withColumn("_h", uniform_hash("r_id", seed, "pivot"))
 
     # 1. pivots: smallest id hashes (a top-P, bounded)
     P = max(1, min(max_pivots, int(math.ceil(n_ref / cell_size))))
@@ -183,6 +191,21 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     return out
 
 
+def cap_copies(ref: DataFrame, fc, need: int, seed: int, salts: int = 1024) -> DataFrame:
+    """Keep at most ``need`` rows (smallest ids) of every identical vector.
+
+    Exact for the join: under (distance, id) order no other copy of a
+    vector can reach any query's top-k. A hot vector is first cut per
+    (vector, id-hash salt) and only then per vector, so no window partition
+    ever holds more than need x salts rows of one vector.
+    """
+    salt = F.pmod(F.xxhash64("r_id", F.lit(seed)), F.lit(salts))
+    w1 = Window.partitionBy(*fc, salt).orderBy("r_id")
+    w2 = Window.partitionBy(*fc).orderBy("r_id")
+    r = ref.withColumn("_c1", F.row_number().over(w1)).where(F.col("_c1") <= need)
+    return r.withColumn("_c2", F.row_number().over(w2)).where(F.col("_c2") <= need).drop("_c1", "_c2")
+
+
 def _empty(spark, reference, ref_cols, with_vectors, d):
     fields = [T.StructField("q_id", T.LongType()), T.StructField("r_id", T.LongType()),
               T.StructField("dist", T.DoubleType()), T.StructField("rank", T.IntegerType())]

@@ -38,7 +38,7 @@ def _tall(df: DataFrame, cols, by) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, cols, probs, by=(), n_buckets: int = 4096,
-                    max_bracket: int = 200_000, max_passes: int = 24,
+                    max_bracket: int = 50_000, max_passes: int = 24,
                     approx: bool = False, accuracy: int = 10_000):
     """Return ``{(by values..., feature): [q(p) for p in probs]}``.
 
@@ -106,7 +106,7 @@ def column_quantiles(df: DataFrame, col: str, probs, approx: bool = False) -> li
     return exact_quantiles(df, [col], probs, approx=approx)[(col,)]
 
 
-def _select(spark, tall, keys, targets, n_buckets=4096, max_bracket=200_000, max_passes=24):
+def _select(spark, tall, keys, targets, n_buckets=4096, max_bracket=50_000, max_passes=24):
     """Fill ``targets[tid]['value']`` with the exact order statistic of each target.
 
     A target is ``dict(key=tuple, rank=int, L=min, U=max, below=0, cnt=n, value=None)``.

@@ -248,10 +248,15 @@ def q_compare_ensembles(spark, sf):
 
 
 def q_param_grids(spark, sf):
-    rows = [(m, p, str(v)) for m, g in TU.param_grids().items() for p, vs in g.items() for v in vs]
-    md_count = T.tx_events(spark, sf).count()  # grids are sized against the table they tune on
-    return spark.createDataFrame(rows, "model string, param string, value string") \
-        .withColumn("n_rows", F.lit(md_count))
+    """Every grid point with its MLlib parameters for the actual training size."""
+    import json
+    n_train = model_data(spark, sf).train.count()
+    rows = []
+    for m, g in TU.param_grids().items():
+        for i, p in enumerate(TU.grid_points(g)):
+            rows.append((m, i, json.dumps(p, default=str),
+                         json.dumps(TU.to_mllib(m, p, n_train), default=str)))
+    return spark.createDataFrame(rows, "model string, point int, params string, mllib_params string")
 
 
 LR_GRID = {"C": [0.01, 0.1, 1, 10, 100], "penalty": ["l1", "l2"]}
