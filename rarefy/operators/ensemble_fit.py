@@ -62,8 +62,14 @@ class Ensemble:
             .coalesce(1).write.mode("overwrite").json(os.path.join(path, "_weights"))
 
 
-def fit_members(names, train, features, label="Class", presets=None):
-    return {n: fit_model(n, train, features, label, preset=(presets or {}).get(n)) for n in names}
+def fit_members(names, train, features, label="Class", presets=None, parallelism: int = 4):
+    """Fit members concurrently (independent Spark jobs share the cluster)."""
+    from concurrent.futures import ThreadPoolExecutor
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as ex:
+        fitted = list(ex.map(lambda n: fit_model(n, train, features, label,
+                                                 preset=(presets or {}).get(n)), names))
+    return dict(zip(names, fitted))
 
 
 def voting(names, train, features, label="Class", voting="soft", presets=None) -> Ensemble:
@@ -79,19 +85,27 @@ def stacking(names, train, features, label="Class", cv: int = 5, seed: int = 42,
              presets=None) -> Ensemble:
     """Out-of-fold member scores (k folds) feed a logistic meta model;
     members are then refitted on all training rows."""
+    from concurrent.futures import ThreadPoolExecutor
     folded = stratified_kfold(train, label, cv, seed).persist()
-    oof = None
-    for f in range(cv):
+
+    def fold_scores(f):
         fit_rows = folded.where(F.col("fold") != f)
         hold = folded.where(F.col("fold") == f)
-        ms = fit_members(names, fit_rows, features, label, presets)
-        part = member_scores(ms, hold, label)
-        oof = part if oof is None else oof.unionByName(part)
+        ms = fit_members(names, fit_rows, features, label, presets, parallelism=1)
+        return member_scores(ms, hold, label)
+
+    with ThreadPoolExecutor(max_workers=cv) as ex:
+        parts = list(ex.map(fold_scores, range(cv)))
+    oof = parts[0]
+    for p_ in parts[1:]:
+        oof = oof.unionByName(p_)
+    oof = oof.persist()
     meta_feats = [f"s_{n}" for n in names]
     meta = fit_model("meta", oof.withColumnRenamed("label", label), meta_feats, label,
                      preset=dict(kind="lr", maxIter=1000, C=1.0, weights=None))
     members = fit_members(names, train, features, label, presets)
     folded.unpersist()
+    oof.unpersist()
     return Ensemble("stacking", members, meta=meta)
 
 
@@ -112,10 +126,11 @@ def bagging(name, train, features, label="Class", n_estimators: int = 10, max_sa
     """Members fit on bootstrap weights (Poisson(max_samples) per row, hashed,
     so no rows are copied) and a hashed 80% subset of the features."""
     import math
-    members = {}
+    from concurrent.futures import ThreadPoolExecutor
     base = dict(PRESETS[name])
     n_feat = max(1, int(math.floor(max_features * len(features))))
-    for i in range(n_estimators):
+
+    def member(i):
         u = unit_uniform("row_id", seed, f"bag{i}")
         w = _poisson_weight(u, max_samples) if bootstrap else (u < F.lit(max_samples)).cast("double")
         # feature subset: the n_feat features with the smallest hash for this member
@@ -125,8 +140,10 @@ def bagging(name, train, features, label="Class", n_estimators: int = 10, max_sa
         d = train.withColumn("_bw", w).where(F.col("_bw") > 0)
         preset = dict(base)
         preset["weights"] = "col:_bw"
-        m = fit_model(name, d, feats, label, preset=preset)
-        members[f"m{i}"] = m
+        return f"m{i}", fit_model(name, d, feats, label, preset=preset)
+
+    with ThreadPoolExecutor(max_workers=4) as ex:
+        members = dict(ex.map(member, range(n_estimators)))
     return Ensemble("bagging", members)
 
 

@@ -49,7 +49,7 @@ from .metrics import evaluate  # noqa: E402
 # in the original configuration ('balanced' weights or neg/pos on positives).
 PRESETS = {
     "LogisticRegression": dict(kind="lr", maxIter=1000, C=1.0, weights="balanced"),
-    "RandomForest": dict(kind="rf", numTrees=100, maxDepth=16, weights="balanced", seed=42),
+    "RandomForest": dict(kind="rf", numTrees=100, maxDepth=10, weights="balanced", seed=42),
     "XGBoost": dict(kind="gbt", maxIter=100, maxDepth=6, stepSize=0.3, weights="scale_pos", seed=42),
     "LightGBM": dict(kind="gbt", maxIter=100, maxDepth=8, stepSize=0.1, weights="balanced", seed=42),
     "CatBoost": dict(kind="gbt", maxIter=100, maxDepth=6, stepSize=0.05, weights=None, seed=42),
