@@ -60,6 +60,7 @@ ru AS (SELECT "Class", count(*) AS n FROM r, mn WHERE rk < (CASE WHEN "Class" =
                                  "UNION ALL SELECT 'smote', \"Class\", n, CASE WHEN \"Class\" = cmin THEN nmax ELSE n END FROM cc, mn, mx")
     s.update(build_resample())
     s.update(build_combined())
+    s.update(build_preprocess())
     return s
 
 
@@ -124,3 +125,28 @@ nn3 AS (SELECT a.row_id, a."Class" AS c, min_by(b."Class", {dist('a', 'b')}, 3)
         FROM rs a JOIN rs b ON a.row_id <> b.row_id GROUP BY a.row_id, a."Class")
 SELECT rs.* FROM rs JOIN nn3 USING (row_id) WHERE len(list_filter(labs, lambda v: v <> c)) = 0"""
     return s
+
+
+def build_preprocess() -> dict:
+    """Split -> standard scaler fitted on train -> SMOTE on the scaled training rows."""
+    split = _split_sql(0.0).replace("FROM tx_events)", "FROM tx)", 1)
+    fit = ("fit AS (SELECT avg(\"Time_Hours\") AS mh, stddev_pop(\"Time_Hours\") AS sh, avg(\"Amount\") AS ma, "
+           "stddev_pop(\"Amount\") AS sa FROM sp WHERE split = 'train')")
+    sc = lambda c, m, s_: f"({q_(c)} - {m}) / (CASE WHEN {s_} IS NULL OR {s_} = 0 THEN {D(1)} ELSE {s_} END) AS {q_(c)}"
+    scaled = (f"scl AS (SELECT row_id, {sc('Time_Hours', 'mh', 'sh')}, {sc('Amount', 'ma', 'sa')}, \"Class\", split "
+              f"FROM sp, fit)")
+    trn = "trn AS (SELECT row_id, \"Time_Hours\", \"Amount\", \"Class\" FROM scl WHERE split = 'train')"
+    prm = _PRM.replace("FROM tx GROUP BY", "FROM trn GROUP BY").replace("SELECT tx.* FROM tx, prm", "SELECT trn.* FROM trn, prm")
+    rk = f"rk AS (SELECT *, row_number() OVER (ORDER BY {md5_hash('row_id', SPLIT_SEED, 'smote')}, row_id) - 1 AS r FROM m)"
+    dr = ("dr AS (SELECT rk.*, unnest(range(CAST(n_new // nmin + CASE WHEN r < n_new % nmin THEN 1 ELSE 0 END AS BIGINT))) AS j "
+          "FROM rk, prm)")
+    r6 = lambda c: f"round({q_(c)}, 6) AS {q_(c)}"
+    body = (f"SELECT row_id, {r6('Time_Hours')}, {r6('Amount')}, \"Class\", 'train' AS split FROM trn "
+            f"UNION ALL SELECT row_id, {r6('Time_Hours')}, {r6('Amount')}, \"Class\", 'train' FROM syn "
+            f"UNION ALL SELECT row_id, {r6('Time_Hours')}, {r6('Amount')}, \"Class\", 'test' FROM scl WHERE split = 'test'")
+    return {"preprocess": with_(TX_EVENTS, TX, split, fit, scaled, trn, prm, _nn_minority(), rk, dr,
+                                _synth("nmin"), body=body)}
+
+
+def q_(c: str) -> str:
+    return f'"{c}"'
