@@ -25,7 +25,8 @@ def eda_report(df: DataFrame, label: str = "Class", n_features: int = 10) -> Dat
         for s in ("q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers"):
             v = r[s]
             rows.append(("box", r["feature"], r[label], s, None if v is None else float(v)))
-    dens = density_by_class(df, chosen, label)
+    # densities rounded to 9 places before the argmax, ties to the lower bin
+    dens = density_by_class(df, chosen, label).withColumn("density", F.round("density", 9))
     w = Window.partitionBy("feature", label).orderBy(F.desc_nulls_last("density"), "bin")
     peaks = dens.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).collect()
     rows += [("density", r["feature"], r[label], "peak_x", float(r["x"])) for r in peaks]

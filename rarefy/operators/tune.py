@@ -142,7 +142,7 @@ def cross_validate(model_name: str, points, train: DataFrame, features, label: s
             m[est.getParam(k)] = v
         maps.append(m)
     cvm = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=_evaluator(scoring, label),
-                         foldCol="fold", parallelism=parallelism, seed=seed).fit(data)
+                         numFolds=cv, foldCol="fold", parallelism=parallelism, seed=seed).fit(data)
     scores = list(cvm.avgMetrics)
     rows = [(i, json.dumps(p, default=str), float(s)) for i, (p, s) in enumerate(zip(points, scores))]
     res = spark.createDataFrame(rows, "point int, params string, mean_score double") \

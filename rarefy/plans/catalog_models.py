@@ -305,7 +305,9 @@ def q_pca_variance(spark, sf):
 
 def q_eda_report(spark, sf):
     from ..operators.eda import eda_report
-    return eda_report(T.tx_events(spark, sf).withColumn("Time_Hours", F.pmod(F.col("Time") / 3600.0, F.lit(24.0))))
+    from ..functions.exprs import time_hours
+    from .common import rnd
+    return rnd(eda_report(T.tx_events(spark, sf).withColumn("Time_Hours", time_hours("Time"))), ["value"])
 
 
 def q_run_job(spark, sf):

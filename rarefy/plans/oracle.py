@@ -198,6 +198,69 @@ def _positions() -> str:
         ") t(position, feature))"
 
 
+def density_views(src: str, feats, bins: int = 50, prefix: str = "") -> list:
+    """Views ending in ``{prefix}dens(feature, Class, bin, x, n, density)``."""
+    p = prefix
+    tall = " UNION ALL ".join(f"SELECT \"Class\", '{c}' AS feature, CAST({q(c)} AS DOUBLE) AS x FROM {src}" for c in feats)
+    return [
+        f"{p}tall AS ({tall})",
+        f"{p}rng AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM {p}tall WHERE x IS NOT NULL GROUP BY feature)",
+        f"{p}tb AS (SELECT t.\"Class\", t.feature, t.x, r.lo, r.hi, CASE WHEN r.hi > r.lo THEN "
+        f"least(CAST(floor((t.x - r.lo) / ((r.hi - r.lo) / {D(bins)})) AS INTEGER), {bins - 1}) ELSE 0 END AS bin "
+        f"FROM {p}tall t JOIN {p}rng r USING (feature) WHERE t.x IS NOT NULL)",
+        f"{p}stc AS (SELECT feature, \"Class\", count(x) AS n_class, stddev_samp(x) AS sd FROM {p}tb GROUP BY feature, \"Class\")",
+        f"{p}hist AS (SELECT feature, \"Class\", bin, count(*) AS n FROM {p}tb GROUP BY feature, \"Class\", bin)",
+        f"{p}grid AS (SELECT s.feature, s.\"Class\", r.lo, r.hi, g.bin, s.n_class, "
+        f"s.sd * pow(CAST(s.n_class AS DOUBLE), {D(-0.2)}) AS bw, "
+        f"r.lo + (CAST(g.bin AS DOUBLE) + {D(0.5)}) * (r.hi - r.lo) / {D(bins)} AS x "
+        f"FROM {p}stc s JOIN {p}rng r USING (feature) CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range({bins})) g)",
+        f"{p}kd AS (SELECT g.feature, g.\"Class\", g.bin, sum(CAST(h.n AS DOUBLE) * exp({D(-0.5)} * pow((g.x - "
+        f"(g.lo + (CAST(h.bin AS DOUBLE) + {D(0.5)}) * (g.hi - g.lo) / {D(bins)})) / g.bw, {D(2)}))) AS k "
+        f"FROM {p}grid g JOIN {p}hist h ON h.feature = g.feature AND h.\"Class\" = g.\"Class\" GROUP BY g.feature, g.\"Class\", g.bin)",
+        f"{p}dens AS (SELECT g.feature, g.\"Class\", g.bin, g.x, coalesce(h.n, 0) AS n, "
+        f"CASE WHEN g.bw > 0 THEN kd.k / (CAST(g.n_class AS DOUBLE) * g.bw * {D(repr(math.sqrt(2 * math.pi)))}) END AS density "
+        f"FROM {p}grid g LEFT JOIN {p}hist h ON h.feature = g.feature AND h.\"Class\" = g.\"Class\" AND h.bin = g.bin "
+        f"LEFT JOIN {p}kd kd ON kd.feature = g.feature AND kd.\"Class\" = g.\"Class\" AND kd.bin = g.bin)",
+    ]
+
+
+def box_views(src: str, feats, prefix: str = "") -> list:
+    """Views ending in ``{prefix}box(Class, feature, n, q1, median, q3, iqr, whisker_lo, whisker_hi, n_outliers)``."""
+    p = prefix
+    tall = " UNION ALL ".join(f"SELECT \"Class\", '{c}' AS feature, CAST({q(c)} AS DOUBLE) AS x FROM {src}" for c in feats)
+    return [
+        f"{p}btall AS (SELECT * FROM ({tall}) WHERE x IS NOT NULL)",
+        f"{p}qq AS (SELECT \"Class\", feature, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, "
+        f"quantile_cont(x, 0.75) AS q3 FROM {p}btall GROUP BY \"Class\", feature)",
+        f"{p}ff AS (SELECT *, q3 - q1 AS iqr, q1 - {D(1.5)} * (q3 - q1) AS lo_fence, q3 + {D(1.5)} * (q3 - q1) AS hi_fence FROM {p}qq)",
+        f"{p}box AS (SELECT f.\"Class\", f.feature, count(*) AS n, any_value(f.q1) AS q1, any_value(f.median) AS median, "
+        f"any_value(f.q3) AS q3, any_value(f.iqr) AS iqr, min(t.x) FILTER (WHERE t.x >= f.lo_fence) AS whisker_lo, "
+        f"max(t.x) FILTER (WHERE t.x <= f.hi_fence) AS whisker_hi, "
+        f"count(*) FILTER (WHERE t.x < f.lo_fence OR t.x > f.hi_fence) AS n_outliers "
+        f"FROM {p}btall t JOIN {p}ff f ON t.\"Class\" = f.\"Class\" AND t.feature = f.feature GROUP BY f.\"Class\", f.feature)",
+    ]
+
+
+def eda_sql() -> str:
+    feats = ["Time", "Amount", "Time_Hours"]
+    base = f'ebase AS (SELECT row_id, "Time", "Amount", "Class", {hours()} AS "Time_Hours" FROM tx_events)'
+    cd = 'cd AS (SELECT "Class", count(*) AS n FROM ebase GROUP BY "Class")'
+    cr = "cr AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS f, corr({D(q(c))}, CAST(\"Class\" AS DOUBLE)) AS c FROM ebase" for c in feats) + ")"
+    box_rows = " UNION ALL ".join(
+        f"SELECT 'box', feature, \"Class\", '{st}', CAST({st} AS DOUBLE) FROM box"
+        for st in ["q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers"])
+    body = ("SELECT section, feature, \"Class\", stat, round(value, 6) AS value FROM ("
+            "SELECT 'class_distribution' AS section, CAST(NULL AS VARCHAR) AS feature, \"Class\", 'n' AS stat, CAST(n AS DOUBLE) AS value FROM cd "
+            f"UNION ALL SELECT 'class_distribution', NULL, \"Class\", 'pct', n * {D(100)} / sum(n) OVER () FROM cd "
+            "UNION ALL SELECT * FROM (SELECT 'corr_topk', f, CAST(NULL AS INTEGER), 'abs_corr', abs(c) FROM cr WHERE c IS NOT NULL "
+            "ORDER BY abs(c) DESC, f LIMIT 10) "
+            f"UNION ALL {box_rows} "
+            "UNION ALL SELECT 'density', feature, \"Class\", 'peak_x', x FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY feature, \"Class\" ORDER BY round(density, 9) DESC NULLS LAST, bin) AS r FROM dens) WHERE r = 1)")
+    return with_(TX_EVENTS, base, cd, cr, *box_views("ebase", feats), *density_views("ebase", feats), body=body)
+
+
 def build() -> dict:
     s = {}
     s["scan_transactions"] = with_(TX_EVENTS, body="SELECT * FROM tx_events")
@@ -263,30 +326,10 @@ def build() -> dict:
                            "SELECT feature, round(corr, 6) AS corr, round(abs(corr), 6) AS abs_corr FROM cw "
                            "WHERE corr IS NOT NULL ORDER BY abs(corr) DESC, feature LIMIT 10")
     # density: histogram + kernel on bin centres
-    dens_views = [
-        TX_EVENTS,
-        f'base AS (SELECT "Class", {hours()} AS "Time_Hours", "Amount" FROM tx_events)',
-        "tall AS (SELECT \"Class\", 'Time_Hours' AS feature, \"Time_Hours\" AS x FROM base "
-        "UNION ALL SELECT \"Class\", 'Amount' AS feature, \"Amount\" AS x FROM base)",
-        "rng AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM tall GROUP BY feature)",
-        f"tb AS (SELECT t.\"Class\", t.feature, t.x, r.lo, r.hi, CASE WHEN r.hi > r.lo THEN "
-        f"least(CAST(floor((t.x - r.lo) / ((r.hi - r.lo) / {D(50)})) AS INTEGER), 49) ELSE 0 END AS bin "
-        f"FROM tall t JOIN rng r USING (feature))",
-        "stc AS (SELECT feature, \"Class\", count(x) AS n_class, stddev_samp(x) AS sd FROM tb GROUP BY feature, \"Class\")",
-        "hist AS (SELECT feature, \"Class\", bin, count(*) AS n FROM tb GROUP BY feature, \"Class\", bin)",
-        f"grid AS (SELECT s.feature, s.\"Class\", r.lo, r.hi, g.bin, s.n_class, "
-        f"s.sd * pow(CAST(s.n_class AS DOUBLE), {D(-0.2)}) AS bw, "
-        f"r.lo + (CAST(g.bin AS DOUBLE) + {D(0.5)}) * (r.hi - r.lo) / {D(50)} AS x "
-        f"FROM stc s JOIN rng r USING (feature) CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(50)) g)",
-        f"kd AS (SELECT g.feature, g.\"Class\", g.bin, sum(CAST(h.n AS DOUBLE) * exp({D(-0.5)} * pow((g.x - "
-        f"(g.lo + (CAST(h.bin AS DOUBLE) + {D(0.5)}) * (g.hi - g.lo) / {D(50)})) / g.bw, {D(2)}))) AS k "
-        f"FROM grid g JOIN hist h ON h.feature = g.feature AND h.\"Class\" = g.\"Class\" GROUP BY g.feature, g.\"Class\", g.bin)",
-    ]
+    dens_views = [TX_EVENTS, f'base AS (SELECT "Class", {hours()} AS "Time_Hours", "Amount" FROM tx_events)',
+                  *density_views("base", ["Time_Hours", "Amount"])]
     s["density_by_class"] = with_(*dens_views, body=
-                                  f"SELECT g.feature, g.\"Class\", g.bin, round(g.x, 6) AS x, coalesce(h.n, 0) AS n, "
-                                  f"round(CASE WHEN g.bw > 0 THEN kd.k / (CAST(g.n_class AS DOUBLE) * g.bw * {D(repr(math.sqrt(2 * math.pi)))}) END, 9) AS density "
-                                  f"FROM grid g LEFT JOIN hist h ON h.feature = g.feature AND h.\"Class\" = g.\"Class\" AND h.bin = g.bin "
-                                  f"LEFT JOIN kd ON kd.feature = g.feature AND kd.\"Class\" = g.\"Class\" AND kd.bin = g.bin")
+                                  "SELECT feature, \"Class\", bin, round(x, 6) AS x, n, round(density, 9) AS density FROM dens")
     box_tall = f"tall AS ({unpivot('tx_lines', ['V1', 'V2', 'V3', 'V4', 'Amount'], ['Class'])})"
     s["box_stats"] = with_(TX_LINES, box_tall,
                            "qq AS (SELECT \"Class\", feature, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median, "
@@ -388,4 +431,5 @@ def build() -> dict:
     s["select_corr"] = with_(TX_VECTORS, _positions(), cw.replace("AS corr", "AS c"),
                              "cs AS (SELECT p.position, p.feature, abs(c) AS score FROM cw JOIN pos p USING (feature))",
                              body=_topk_sql("cs", 10))
+    s["eda_report"] = eda_sql()
     return s

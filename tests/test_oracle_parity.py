@@ -14,7 +14,8 @@ ORACLES = E.oracle_sql()
 
 
 def _norm(v):
-    if v is None:
+    import pandas as pd
+    if v is None or v is pd.NA:
         return None
     if hasattr(v, "item"):
         v = v.item()
