@@ -72,17 +72,19 @@ def fit_members(names, train, features, label="Class", presets=None, parallelism
     return dict(zip(names, fitted))
 
 
-def voting(names, train, features, label="Class", voting="soft", presets=None) -> Ensemble:
-    return Ensemble("voting", fit_members(names, train, features, label, presets), voting=voting)
+def voting(names, train, features, label="Class", voting="soft", presets=None, members=None) -> Ensemble:
+    members = members or fit_members(names, train, features, label, presets)
+    return Ensemble("voting", members, voting=voting)
 
 
-def weighted(names, train, features, label="Class", weights=None, presets=None) -> Ensemble:
+def weighted(names, train, features, label="Class", weights=None, presets=None, members=None) -> Ensemble:
     w = weights or {n: 1.0 / len(names) for n in names}
-    return Ensemble("weighted", fit_members(names, train, features, label, presets), weights=w)
+    members = members or fit_members(names, train, features, label, presets)
+    return Ensemble("weighted", members, weights=w)
 
 
 def stacking(names, train, features, label="Class", cv: int = 5, seed: int = 42,
-             presets=None) -> Ensemble:
+             presets=None, members=None) -> Ensemble:
     """Out-of-fold member scores (k folds) feed a logistic meta model;
     members are then refitted on all training rows."""
     from concurrent.futures import ThreadPoolExecutor
@@ -103,7 +105,7 @@ def stacking(names, train, features, label="Class", cv: int = 5, seed: int = 42,
     meta_feats = [f"s_{n}" for n in names]
     meta = fit_model("meta", oof.withColumnRenamed("label", label), meta_feats, label,
                      preset=dict(kind="lr", maxIter=1000, C=1.0, weights=None))
-    members = fit_members(names, train, features, label, presets)
+    members = members or fit_members(names, train, features, label, presets)
     folded.unpersist()
     oof.unpersist()
     return Ensemble("stacking", members, meta=meta)
@@ -158,17 +160,18 @@ ENSEMBLE_TYPES = ("voting", "stacking", "bagging", "weighted")
 
 
 def train_ensemble(kind: str, names, train, test, features, label="Class", params=None,
-                   weights=None, save_path=None):
+                   weights=None, save_path=None, members=None):
+    """Build, evaluate (and save) one ensemble; ``members`` reuses fitted base models."""
     p = params or {}
     if kind == "voting":
-        e = voting(names, train, features, label, p.get("voting", "soft"))
+        e = voting(names, train, features, label, p.get("voting", "soft"), members=members)
     elif kind == "stacking":
-        e = stacking(names, train, features, label, p.get("cv", 5))
+        e = stacking(names, train, features, label, p.get("cv", 5), members=members)
     elif kind == "bagging":
         e = bagging(list(names)[0], train, features, label, p.get("n_estimators", 10),
                     p.get("max_samples", 0.8), p.get("max_features", 0.8))
     elif kind == "weighted":
-        e = weighted(names, train, features, label, weights)
+        e = weighted(names, train, features, label, weights, members=members)
     else:
         raise ValueError(f"Unknown ensemble type: {kind}")
     metrics, _, _ = evaluate_ensemble(e, test, label, f"{kind.title()} Ensemble")
@@ -181,9 +184,11 @@ def compare_ensembles(names, train, test, features, label="Class",
                       types=("voting", "stacking", "weighted"), save_dir=None) -> DataFrame:
     spark = train.sparkSession
     rows = []
+    members = fit_members(names, train, features, label)  # shared by every ensemble type
     for t in types:
         try:
-            _, m = train_ensemble(t, names, train, test, features, label)
+            _, m = train_ensemble(t, names, train, test, features, label,
+                                  members=None if t == "bagging" else members)
             rows.append((t, m["roc_auc"], m["f1"], m["precision"], m["recall"], m["accuracy"]))
         except Exception as e:  # noqa: BLE001
             print(f"Error with {t}: {e}")

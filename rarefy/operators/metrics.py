@@ -53,23 +53,34 @@ def score_table(df: DataFrame, label: str = "label", score: str = "score") -> Da
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
 
 
+def _rank_metrics(tbl: DataFrame) -> DataFrame:
+    """ROC-AUC and AP from one ascending running sum over the distinct-score table.
+
+    Descending inclusive counts follow from the ascending ones:
+    cum_desc(x) = total - cum_asc(x) + own(x).
+    """
+    s = ordered_cumsum(tbl, "score", ["pos", "neg"], ascending=True)
+    tot = tbl.agg(F.sum("pos").cast("double").alias("P"), F.sum("neg").cast("double").alias("N")).first()
+    P, N = tot["P"] or 0.0, tot["N"] or 0.0
+    cpos_d = F.lit(P) - F.col("cum_pos") + F.col("pos")
+    cneg_d = F.lit(N) - F.col("cum_neg") + F.col("neg")
+    agg = s.agg(
+        F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg")) + F.lit(0.5) * F.col("pos") * F.col("neg")).alias("u"),
+        F.sum(F.col("pos").cast("double") * cpos_d / (cpos_d + cneg_d)).alias("w"))
+    return agg.select(
+        (F.when(F.lit(P > 0 and N > 0), F.col("u") / F.lit(P * N if P * N else 1.0))).alias("roc_auc"),
+        (F.when(F.lit(P > 0), F.col("w") / F.lit(P if P else 1.0))).alias("average_precision"))
+
+
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Area under ROC = P(score_pos > score_neg) + 0.5 P(tie); null with one class."""
-    s = ordered_cumsum(score_table(df, label, score), score, ["neg"], ascending=True)
-    agg = s.agg(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg"))
-                      + F.lit(0.5) * F.col("pos") * F.col("neg")).alias("u"),
-                F.sum("pos").cast("double").alias("P"), F.sum("neg").cast("double").alias("N"))
-    return agg.select(F.when((F.col("P") > 0) & (F.col("N") > 0),
-                             F.col("u") / (F.col("P") * F.col("N"))).alias("roc_auc"))
+    return _rank_metrics(score_table(df, label, score).withColumnRenamed(score, "score")).select("roc_auc")
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Sum over distinct thresholds (high to low) of delta-recall x precision."""
-    s = ordered_cumsum(score_table(df, label, score), score, ["pos", "neg"], ascending=False)
-    tot = s.agg(F.sum(F.col("pos").cast("double") * F.col("cum_pos")
-                      / (F.col("cum_pos") + F.col("cum_neg"))).alias("w"),
-                F.sum("pos").cast("double").alias("P"))
-    return tot.select(F.when(F.col("P") > 0, F.col("w") / F.col("P")).alias("average_precision"))
+    return _rank_metrics(score_table(df, label, score).withColumnRenamed(score, "score")) \
+        .select("average_precision")
 
 
 def class_report(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -105,8 +116,12 @@ def evaluate(df: DataFrame, label: str = "label", score: str = "score",
              pred: str = "prediction") -> DataFrame:
     """All metrics of a scored table in one row."""
     t = threshold_metrics(df, label, pred).first()
-    auc = roc_auc(df, label, score).first()[0]
-    ap = average_precision(df, label, score).first()[0]
+    tbl = score_table(df, label, score).withColumnRenamed(score, "score").persist()
+    try:
+        r = _rank_metrics(tbl).first()
+    finally:
+        tbl.unpersist()
+    auc, ap = r["roc_auc"], r["average_precision"]
     return df.sparkSession.createDataFrame(
         [(auc, ap, t["accuracy"], t["precision"], t["recall"], t["f1"], t["mcc"])],
         "roc_auc double, average_precision double, accuracy double, precision double, "
