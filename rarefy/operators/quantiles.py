@@ -106,10 +106,45 @@ def column_quantiles(df: DataFrame, col: str, probs, approx: bool = False) -> li
     return exact_quantiles(df, [col], probs, approx=approx)[(col,)]
 
 
+def _bracket_rows(spark, tall, keys, brackets, max_or_terms: int = 256):
+    """Rows of ``tall`` inside each bracket, tagged with its id.
+
+    ``brackets``: list of (bid, key tuple, L, U). An equi-join on the key
+    with the (bounded, broadcast) bracket table plus a range filter, all in
+    generated code. When keys hold several brackets, rows are first cut to
+    the union of brackets with one compiled OR predicate, so the join does
+    not multiply every row by its key's bracket count.
+    """
+    bdf = spark.createDataFrame(
+        [(b, *k, float(lo), float(hi)) for b, k, lo, hi in brackets],
+        f"bid int, {', '.join(f'`{k}` {t}' for k, t in zip(keys, _key_types(tall, keys)))}, "
+        f"L double, U double")
+    base = tall
+    per_key = {}
+    for _, k, _, _ in brackets:
+        per_key[k] = per_key.get(k, 0) + 1
+    if max(per_key.values()) > 1 and len(brackets) <= max_or_terms:
+        cond = None
+        for _, k, lo, hi in brackets:
+            c = (F.col("x") >= F.lit(float(lo))) & (F.col("x") <= F.lit(float(hi)))
+            for kc, kv in zip(keys, k):
+                c = c & (F.col(kc) == F.lit(kv))
+            cond = c if cond is None else (cond | c)
+        base = tall.where(cond)
+    return (base.join(F.broadcast(bdf), on=keys)
+            .where((F.col("x") >= F.col("L")) & (F.col("x") <= F.col("U")))
+            .select("x", "bid", "L", "U"))
+
+
+def _key_types(tall, keys):
+    return [tall.schema[k].dataType.simpleString() for k in keys]
+
+
 def _select(spark, tall, keys, targets, n_buckets=4096, max_bracket=50_000, max_passes=24):
     """Fill ``targets[tid]['value']`` with the exact order statistic of each target.
 
     A target is ``dict(key=tuple, rank=int, L=min, U=max, below=0, cnt=n, value=None)``.
+    Targets sharing a bracket (same key and bounds) share one histogram.
     """
     def _resolve_equal():
         for t in targets.values():
@@ -122,22 +157,21 @@ def _select(spark, tall, keys, targets, n_buckets=4096, max_bracket=50_000, max_
                   if t["value"] is None and t["cnt"] > max_bracket]
         if not open_t:
             break
-        tdf = spark.createDataFrame(
-            [(i, *t["key"], float(t["L"]), float(t["U"])) for i, t in open_t],
-            ["tid", *keys, "L", "U"])
+        bids = {}
+        for i, t in open_t:
+            bids.setdefault((t["key"], t["L"], t["U"]), len(bids))
+        rows = _bracket_rows(spark, tall, keys, [(b, k, lo, hi) for (k, lo, hi), b in bids.items()])
         b = F.least(F.floor((F.col("x") - F.col("L")) / (F.col("U") - F.col("L"))
                             * F.lit(float(n_buckets))).cast("int"), F.lit(n_buckets - 1))
-        hist = (tall.join(F.broadcast(tdf), on=keys)
-                .where((F.col("x") >= F.col("L")) & (F.col("x") <= F.col("U")))
-                .groupBy("tid", b.alias("b"))
+        hist = (rows.groupBy("bid", b.alias("b"))
                 .agg(F.count("*").alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
                 .collect())
         per = {}
         for h in hist:
-            per.setdefault(h["tid"], []).append((h["b"], h["c"], h["mn"], h["mx"]))
+            per.setdefault(h["bid"], []).append((h["b"], h["c"], h["mn"], h["mx"]))
         for i, t in open_t:
             cum = t["below"]
-            for bk, c, mn, mx in sorted(per.get(i, [])):
+            for bk, c, mn, mx in sorted(per.get(bids[(t["key"], t["L"], t["U"])], [])):
                 if cum + c > t["rank"]:
                     t.update(L=mn, U=mx, below=cum, cnt=c)
                     break
@@ -146,18 +180,21 @@ def _select(spark, tall, keys, targets, n_buckets=4096, max_bracket=50_000, max_
 
     rest = [(i, t) for i, t in targets.items() if t["value"] is None]
     if rest:
-        tdf = spark.createDataFrame(
-            [(i, *t["key"], float(t["L"]), float(t["U"]), int(t["rank"] - t["below"]))
-             for i, t in rest], ["tid", *keys, "L", "U", "want"])
-        w = Window.partitionBy("tid").orderBy("x")
-        picked = (tall.join(F.broadcast(tdf), on=keys)
-                  .where((F.col("x") >= F.col("L")) & (F.col("x") <= F.col("U")))
-                  .withColumn("rn", F.row_number().over(w) - 1)
-                  .where(F.col("rn") == F.col("want"))
-                  .select("tid", "x").collect())
-        for r in picked:
-            targets[r["tid"]]["value"] = r["x"]
-
+        bids, wants = {}, {}
+        for i, t in rest:
+            b_ = bids.setdefault((t["key"], t["L"], t["U"]), len(bids))
+            wants.setdefault(b_, []).append((i, int(t["rank"] - t["below"])))
+        rows = _bracket_rows(spark, tall, keys, [(b, k, lo, hi) for (k, lo, hi), b in bids.items()])
+        w = Window.partitionBy("bid").orderBy("x")
+        want_rows = [(b_, r) for b_, lst in wants.items() for _, r in lst]
+        wdf = spark.createDataFrame(want_rows, "w_bid int, want long").distinct()
+        picked = (rows.withColumn("rn", F.row_number().over(w) - 1)
+                  .join(F.broadcast(wdf), (F.col("bid") == F.col("w_bid")) & (F.col("rn") == F.col("want")))
+                  .select("bid", "rn", "x").collect())
+        got = {(r["bid"], r["rn"]): r["x"] for r in picked}
+        for b_, lst in wants.items():
+            for i, r in lst:
+                targets[i]["value"] = got.get((b_, r))
 
 
 def order_statistics(df: DataFrame, col: str, ranks, by=(), **kw) -> dict:

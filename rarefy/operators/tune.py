@@ -104,7 +104,7 @@ def to_mllib(model_name: str, point: dict, n_train: int) -> dict:
 def _estimator(model_name: str, label: str):
     fam = FAMILY[model_name]
     if fam == "lr":
-        return LogisticRegression(featuresCol="features", labelCol=label, maxIter=1000)
+        return LogisticRegression(featuresCol="features", labelCol=label, maxIter=100)
     if fam == "rf":
         return RandomForestClassifier(featuresCol="features", labelCol=label, seed=42)
     return GBTClassifier(featuresCol="features", labelCol=label, seed=42)
@@ -123,7 +123,7 @@ def _evaluator(scoring: str, label: str):
 
 
 def cross_validate(model_name: str, points, train: DataFrame, features, label: str = "Class",
-                   cv: int = 5, scoring: str = "roc_auc", parallelism: int = 4, seed: int = 42):
+                   cv: int = 5, scoring: str = "roc_auc", parallelism: int = 8, seed: int = 42):
     """Evaluate every point with k-fold CV; refit the best on all rows.
 
     Returns (FittedModel of the best point, results DataFrame).
@@ -155,12 +155,12 @@ def cross_validate(model_name: str, points, train: DataFrame, features, label: s
 
 
 def grid_search(model_name, grid, train, features, label="Class", cv=5, scoring="roc_auc",
-                parallelism=4):
+                parallelism=8):
     return cross_validate(model_name, grid_points(grid), train, features, label, cv, scoring, parallelism)
 
 
 def random_search(model_name, grid, train, features, label="Class", n_iter=50, cv=5,
-                  scoring="roc_auc", parallelism=4, seed=42):
+                  scoring="roc_auc", parallelism=8, seed=42):
     """n_iter distinct grid points in seeded hash order (all points if fewer)."""
     pts = grid_points(grid)
     order = sorted(range(len(pts)), key=lambda i: hashlib.md5(f"{seed}:{i}".encode()).hexdigest())
@@ -183,7 +183,7 @@ SEARCH_SPACES = {
 
 
 def adaptive_search(model_name, train, features, label="Class", n_trials=20, batch=5, cv=5,
-                    scoring="roc_auc", parallelism=4, seed=42):
+                    scoring="roc_auc", parallelism=8, seed=42):
     """Rounds of batched trials; each round's box is narrowed around the best point.
 
     Stands in for a sequential Bayesian optimiser: every round is one
@@ -226,7 +226,7 @@ def adaptive_search(model_name, train, features, label="Class", n_trials=20, bat
 
 
 def compare_tuning(model_name, grid, train, features, label="Class", n_iter_random=30,
-                   n_trials_adaptive=20, cv=5, parallelism=4) -> DataFrame:
+                   n_trials_adaptive=20, cv=5, parallelism=8) -> DataFrame:
     """Best cross-validated score of each search method, one table."""
     spark = train.sparkSession
     rows = []
