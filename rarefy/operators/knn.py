@@ -50,12 +50,30 @@ def _fcols(d):
 def _sqdist(Q: np.ndarray, R: np.ndarray) -> np.ndarray:
     """Squared distances, summed dimension by dimension in column order."""
     D = np.zeros((Q.shape[0], R.shape[0]))
+    diff = np.empty_like(D)
     for j in range(Q.shape[1]):
-        diff = Q[:, j, None] - R[None, :, j]
-        D += diff * diff
+        np.subtract(Q[:, j, None], R[None, :, j], out=diff)
+        np.multiply(diff, diff, out=diff)
+        D += diff
     return D
 
 
+def _nearest(X: np.ndarray, pv: np.ndarray, block: int = 256):
+    """Index of and distance to the nearest pivot (ties: lower index),
+    pivots taken in blocks to bound temporaries."""
+    n = X.shape[0]
+    best = np.full(n, np.inf)
+    arg = np.zeros(n, dtype=np.int64)
+    for s0 in range(0, pv.shape[0], block):
+        D2 = _sqdist(X, pv[s0:s0 + block])
+        a = D2.argmin(axis=1)
+        m = D2[np.arange(n), a]
+        upd = m < best
+        best[upd] = m[upd]
+        arg[upd] = a[upd] + s0
+    return arg.astype("int32"), np.sqrt(np.maximum(best, 0.0))
+
+
 def _pivot_geometry(pivots: np.ndarray):
     P = pivots.shape[0]
     pp = np.sqrt(np.maximum(_sqdist(pivots, pivots), 0.0))
@@ -99,12 +117,10 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     def assign(it):
         pv, _ = bc.value
         for pdf in it:
-            X = pdf[fc].to_numpy(dtype=float)
-            D = np.sqrt(np.maximum(_sqdist(X, pv), 0.0)) if len(X) else np.zeros((0, len(pv)))
-            cell = D.argmin(axis=1) if len(X) else np.zeros(0, dtype=int)
+            cell, dp = _nearest(pdf[fc].to_numpy(dtype=float), pv)
             pdf = pdf.copy()
-            pdf["cell"] = cell.astype("int32")
-            pdf["dp"] = D[np.arange(len(X)), cell] if len(X) else np.zeros(0)
+            pdf["cell"] = cell
+            pdf["dp"] = dp
             yield pdf
 
     ref_schema = T.StructType(ref.schema.fields + [T.StructField("cell", T.IntegerType()),
@@ -118,26 +134,39 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     for r in stats:
         cnt[r["cell"]] = r["n"]
         rad[r["cell"]] = r["R"]
-    bstats = spark.sparkContext.broadcast((cnt, rad))
-
-    # 3. round A: own cell(s) until `need` references are guaranteed
+    # per cell: the other non-empty cells by pivot distance (bounded list)
+    near = []
+    for c in range(P):
+        o = np.argsort(pp[c], kind="stable")
+        near.append([int(j) for j in o if cnt[j] > 0][:64])
+    bstats = spark.sparkContext.broadcast((cnt, rad, near))
+
+    # 3. round A: own cell, then the nearest cells until `need` references
     def visits_a(it):
-        pv, _ = bc.value
-        cn, rr = bstats.value
+        pv, ppd = bc.value
+        cn, rr, nr = bstats.value
         for pdf in it:
-            X = pdf[fc].to_numpy(dtype=float)
-            D = np.sqrt(np.maximum(_sqdist(X, pv), 0.0))
-            ub = D + rr[None, :]
-            ub[:, cn == 0] = np.inf
-            order = np.argsort(ub, axis=1, kind="stable")
-            csum = np.cumsum(cn[order], axis=1)
-            m = np.minimum((csum < need).sum(axis=1) + 1, P)
-            lists = [order[i, :m[i]].astype("int32").tolist() for i in range(len(X))]
+            cell, dp = _nearest(pdf[fc].to_numpy(dtype=float), pv)
+            lists = []
+            for c in cell:
+                got, lst = 0, []
+                for j in nr[c]:
+                    lst.append(j)
+                    got += cn[j]
+                    if got >= need:
+                        break
+                if got < need:  # tiny cells: every non-empty cell
+                    lst = [int(j) for j in np.argsort(ppd[c], kind="stable") if cn[j] > 0]
+                lists.append(lst)
             out = pdf[["q_id", *fc]].copy()
+            out["cell0"] = cell
+            out["dp0"] = dp
             out["cells"] = lists
             yield out
 
-    va_schema = T.StructType(qry.schema.fields + [T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    va_schema = T.StructType(qry.schema.fields + [T.StructField("cell0", T.IntegerType()),
+                                                  T.StructField("dp0", T.DoubleType()),
+                                                  T.StructField("cells", T.ArrayType(T.IntegerType()))])
     qa = qry.mapInPandas(visits_a, va_schema).persist(StorageLevel.MEMORY_AND_DISK)
     rcnt = {int(c): int(n) for c, n in enumerate(cnt) if n > 0}
     cand_a = _visit(qa.select("q_id", *fc, F.explode("cells").alias("cell")), ref_c, fc, k,
@@ -150,28 +179,39 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     theta = theta.select("q_id", F.when(F.col("_m") >= k, F.col("theta"))
                          .otherwise(F.lit(float("inf"))).alias("theta"))
 
-    # 4. round B: cells whose lower bound does not exceed theta
+    # 4. round B: cells whose lower bound does not exceed theta. Queries
+    # are grouped by own cell c; the cell-level triangle bound
+    # pp[c,j] - R_j <= max(d(q,p_c) + theta_q) preselects candidate cells,
+    # then the exact per-query ball and bisector bounds decide.
     def visits_b(it):
         pv, ppd = bc.value
-        cn, rr = bstats.value
+        cn, rr, _ = bstats.value
         for pdf in it:
             X = pdf[fc].to_numpy(dtype=float)
-            D = np.sqrt(np.maximum(_sqdist(X, pv), 0.0))
-            n = len(X)
-            own = D.argmin(axis=1)
+            cell0 = pdf["cell0"].to_numpy()
+            dp0 = pdf["dp0"].to_numpy(dtype=float)
             th = pdf["theta"].to_numpy(dtype=float)
-            dc = D[np.arange(n), own]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                lb_plane = (D ** 2 - (dc ** 2)[:, None]) / (2.0 * ppd[own, :])
-            lb_plane[np.arange(n), own] = 0.0
-            lb_plane = np.where(np.isfinite(lb_plane), lb_plane, 0.0)
-            lb = np.maximum(np.maximum(D - rr[None, :], lb_plane), 0.0)
-            ok = (lb <= (th * (1 + 1e-9) + 1e-12)[:, None]) & (cn > 0)[None, :]
-            lists = []
-            for i in range(n):
-                seen = set(pdf["cells"].iloc[i])
-                lists.append([int(j) for j in np.flatnonzero(ok[i]) if int(j) not in seen])
-            out = pdf[["q_id", *fc]].copy()
+            tol = th * (1 + 1e-9) + 1e-12
+            lists = [None] * len(X)
+            for c in np.unique(cell0):
+                idx = np.flatnonzero(cell0 == c)
+                rho = float(np.max(dp0[idx] + tol[idx]))
+                cand = np.flatnonzero((cn > 0) & (ppd[c] - rr <= rho * (1 + 1e-12) + 1e-12))
+                cand = cand[cand != c]
+                if cand.size == 0:
+                    for i in idx:
+                        lists[i] = []
+                    continue
+                D = np.sqrt(np.maximum(_sqdist(X[idx], pv[cand]), 0.0))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    lb_plane = (D ** 2 - (dp0[idx] ** 2)[:, None]) / (2.0 * ppd[c, cand][None, :])
+                lb_plane = np.where(np.isfinite(lb_plane), lb_plane, 0.0)
+                lb = np.maximum(np.maximum(D - rr[cand][None, :], lb_plane), 0.0)
+                ok = lb <= tol[idx][:, None]
+                for r_, i in enumerate(idx):
+                    seen = set(pdf["cells"].iloc[i])
+                    lists[i] = [int(j) for j in cand[ok[r_]] if int(j) not in seen]
+            out = pdf[["q_id", *fc, "cell0", "dp0"]].copy()
             out["cells"] = lists
             yield out
 
@@ -191,6 +231,12 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     return out
 
 
+def _block_partitions(spark, n_groups: int) -> int:
+    sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dp = spark.sparkContext.defaultParallelism
+    return max(1, min(max(n_groups, 1), max(sp, dp)))
+
+
 def cap_copies(ref: DataFrame, fc, need: int, seed: int, salts: int = 1024) -> DataFrame:
     """Keep at most ``need`` rows (smallest ids) of every identical vector.
 
@@ -223,9 +269,11 @@ def _visit(visits: DataFrame, ref_c: DataFrame, fc, k, ref_cols, exclude_self, w
     nr = {c: max(1, math.ceil(n / chunk)) for c, n in rcnt.items()}
 
     def lookup(m):
-        if not m:
+        # only multi-chunk cells need an entry; one SQL literal, not one call per entry
+        big = {int(a): int(b) for a, b in m.items() if b > 1}
+        if not big:
             return F.lit(1)
-        mp = F.create_map(*sum([[F.lit(int(a)), F.lit(int(b))] for a, b in m.items()], []))
+        mp = F.expr("map(" + ", ".join(f"{a}, {b}" for a, b in big.items()) + ")")
         return F.coalesce(F.element_at(mp, F.col("cell")), F.lit(1))
 
     v = (visits.withColumn("qchunk", F.pmod(uniform_hash("q_id", seed, "qc"), lookup(nq)).cast("int"))
@@ -288,4 +336,10 @@ def _visit(visits: DataFrame, ref_c: DataFrame, fc, k, ref_cols, exclude_self, w
         return pd.DataFrame(res)[names]
 
     keys = ["cell", "rchunk", "qchunk"]
+    # explicit partitioning on the block keys: the cogroup reuses it, and AQE
+    # does not merge it into a few tasks when the blocks are small but costly
+    n_groups = sum(nq.get(c, 1) * nr.get(c, 1) for c in vcnt)
+    n_part = _block_partitions(visits.sparkSession, n_groups)
+    v = v.repartition(n_part, *keys)
+    r = r.repartition(n_part, *keys)
     return (v.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(block, out_schema))
