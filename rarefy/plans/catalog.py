@@ -201,7 +201,8 @@ def q_stratified_kfold(spark, sf):
 
 
 def _scaled(spark, sf, method):
-    d = _split(spark, sf)
+    from ..session import cut_lineage
+    d = cut_lineage(_split(spark, sf))  # fitted on and applied to the same split
     m = fit_scaler(d.where(F.col("split") == "train"), ["Time", "Amount"], method)
     return rnd(m.transform(d).select("row_id", "split", "Time", "Amount"), ["Time", "Amount"])
 
