@@ -53,6 +53,22 @@ def top_n_by(df: DataFrame, key: str, n: int, id_col: str = "row_id",
     return df.where(strict).unionByName(ties.where(F.col(id_col) <= F.lit(tid)))
 
 
+DRAW_BLOCK = 100_000
+
+
+def _draws(ranked: DataFrame, m, id_col: str) -> DataFrame:
+    """(row_id, _rank, j) for j in [0, m): one row may own millions of draws
+    (tiny minority, huge majority), so the expansion is cut into blocks of at
+    most DRAW_BLOCK draws that are hash-partitioned before being exploded."""
+    d = ranked.select(id_col, "_rank", m.cast("long").alias("_m")).where(F.col("_m") > 0)
+    nblk = F.ceil(F.col("_m") / F.lit(DRAW_BLOCK)).cast("long")
+    blocks = d.select(id_col, "_rank", "_m", F.explode(F.sequence(F.lit(0).cast("long"), nblk - 1)).alias("_blk"))
+    blocks = blocks.repartition(id_col, "_blk")
+    lo = F.col("_blk") * F.lit(DRAW_BLOCK)
+    hi = F.least(lo + F.lit(DRAW_BLOCK), F.col("_m")) - 1
+    return blocks.select(id_col, "_rank", F.explode(F.sequence(lo, hi)).alias("j"))
+
+
 def _synthesize(base: DataFrame, draws: DataFrame, nbrs: DataFrame, features, label: str,
                 cls, k_eff: int, seed: int, n_min: int, id_col: str) -> DataFrame:
     """draws: (row_id, _rank, j). Pick neighbour and gap by hash; interpolate."""
@@ -89,8 +105,7 @@ def smote(df: DataFrame, features, label: str = "Class", k: int = 5, seed: int =
                        [], "_h", id_col, "_rank", n_rows=n_min)
     per, extra = divmod(n_new, n_min)
     m = F.lit(per) + (F.col("_rank") < F.lit(extra)).cast("int")
-    draws = ranked.select(id_col, "_rank", F.explode(F.sequence(F.lit(0), m - 1)).alias("j")) \
-        .where(m > 0)
+    draws = _draws(ranked, m, id_col)
     syn = _synthesize(base, draws, nbrs, features, label, mino, k_eff, seed, n_min, id_col)
     return base.unionByName(syn)
 
@@ -121,8 +136,7 @@ def adasyn(df: DataFrame, features, label: str = "Class", k: int = 5, seed: int
                      .cast("long").alias("_m"))
     ranked = hash_rank(minority.withColumn("_h", uniform_hash(id_col, seed, "adasyn")),
                        [], "_h", id_col, "_rank", n_rows=n_min).join(gen, on=id_col)
-    draws = ranked.where(F.col("_m") > 0).select(
-        id_col, "_rank", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("j"))
+    draws = _draws(ranked, F.col("_m"), id_col)
     nbrs = knn_join(minority, minority, features, k_eff, id_col, exclude_self=True,
                     with_vectors=True, **knn_kw)
     # per-row draws can exceed n_min; ids stay unique through the (rank, j) pair
