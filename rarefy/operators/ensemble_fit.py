@@ -181,14 +181,25 @@ def train_ensemble(kind: str, names, train, test, features, label="Class", param
 
 
 def compare_ensembles(names, train, test, features, label="Class",
-                      types=("voting", "stacking", "weighted"), save_dir=None) -> DataFrame:
+                      types=("voting", "stacking", "weighted"), save_dir=None,
+                      members=None, prebuilt=None) -> DataFrame:
+    """One metrics row per ensemble type, best ROC-AUC first.
+
+    ``members`` (fitted base models) are shared by every type; ``prebuilt``
+    maps a type to an already fitted Ensemble.
+    """
     spark = train.sparkSession
     rows = []
-    members = fit_members(names, train, features, label)  # shared by every ensemble type
+    members = members or fit_members(names, train, features, label)
+    prebuilt = prebuilt or {}
     for t in types:
         try:
-            _, m = train_ensemble(t, names, train, test, features, label,
-                                  members=None if t == "bagging" else members)
+            if t in prebuilt:
+                mt, _, _ = evaluate_ensemble(prebuilt[t], test, label)
+                m = mt.first().asDict()
+            else:
+                _, m = train_ensemble(t, names, train, test, features, label,
+                                      members=None if t == "bagging" else members)
             rows.append((t, m["roc_auc"], m["f1"], m["precision"], m["recall"], m["accuracy"]))
         except Exception as e:  # noqa: BLE001
             print(f"Error with {t}: {e}")

@@ -226,11 +226,16 @@ def adaptive_search(model_name, train, features, label="Class", n_trials=20, bat
 
 
 def compare_tuning(model_name, grid, train, features, label="Class", n_iter_random=30,
-                   n_trials_adaptive=20, cv=5, parallelism=8) -> DataFrame:
-    """Best cross-validated score of each search method, one table."""
+                   n_trials_adaptive=20, cv=5, parallelism=8, grid_result=None,
+                   adaptive_result=None) -> DataFrame:
+    """Best cross-validated score of each search method, one table.
+
+    ``grid_result`` / ``adaptive_result`` reuse searches already run.
+    """
     spark = train.sparkSession
     rows = []
-    g, gres = grid_search(model_name, grid, train, features, label, cv, parallelism=parallelism)
+    g, gres = grid_result or grid_search(model_name, grid, train, features, label, cv,
+                                         parallelism=parallelism)
     rows.append(("grid", g.extra["best_score"], gres.count(), json.dumps(g.extra["best_params"], default=str)))
     # random search draws grid points with the same folds and seed: their CV
     # scores are the grid search's, so they are looked up, not refitted
@@ -241,8 +246,8 @@ def compare_tuning(model_name, grid, train, features, label="Class", n_iter_rand
     best_r = max(chosen, key=lambda p_: scores[p_])
     rows.append(("random", scores[best_r], len(chosen), best_r))
     if model_name in SEARCH_SPACES:
-        a, ares = adaptive_search(model_name, train, features, label, n_trials_adaptive, cv=cv,
-                                  parallelism=parallelism)
+        a, ares = adaptive_result or adaptive_search(model_name, train, features, label,
+                                                     n_trials_adaptive, cv=cv, parallelism=parallelism)
         rows.append(("adaptive", a.extra["best_score"], ares.count(), json.dumps(a.extra["best_params"], default=str)))
     return spark.createDataFrame(rows, "method string, best_cv_score double, n_evaluated long, best_params string") \
         .orderBy(F.desc("best_cv_score"))

@@ -56,6 +56,59 @@ def model_data(spark, sf, resample="smote", val_size=0.0):
     return _MEMO[key]
 
 
+def _memo(spark, sf, what, make):
+    """Per-session cache of deterministic fits shared by several queries."""
+    key = (id(spark), spark.sparkContext.applicationId, sf, what)
+    if key not in _MEMO:
+        _MEMO[key] = make()
+    return _MEMO[key]
+
+
+def trained(spark, sf, names):
+    """TrainResults of presets on the shared model data; missing ones are fitted concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
+    md = model_data(spark, sf)
+    todo = [n for n in names if (id(spark), spark.sparkContext.applicationId, sf, ("fit", n)) not in _MEMO]
+
+    def one(n):
+        try:
+            return n, MD.train_model(n, md.train, md.features, "Class", md.test)
+        except Exception as e:  # noqa: BLE001 - recorded as None, like the original loop
+            print(f"Error training {n}: {e}")
+            return n, None
+
+    if todo:
+        with ThreadPoolExecutor(max_workers=4) as ex:
+            for n, r in ex.map(one, todo):
+                _memo(spark, sf, ("fit", n), lambda r=r: r)
+    return {n: _memo(spark, sf, ("fit", n), lambda: None) for n in names}
+
+
+def members(spark, sf):
+    md = model_data(spark, sf)
+    return _memo(spark, sf, "members",
+                 lambda: EF.fit_members(ENSEMBLE_MEMBERS, md.train, md.features, "Class"))
+
+
+def stacked(spark, sf):
+    md = model_data(spark, sf)
+    return _memo(spark, sf, "stacking",
+                 lambda: EF.stacking(ENSEMBLE_MEMBERS, md.train, md.features, "Class",
+                                     members=members(spark, sf)))
+
+
+def lr_grid(spark, sf):
+    md = model_data(spark, sf)
+    return _memo(spark, sf, "lr_grid",
+                 lambda: TU.grid_search("LogisticRegression", LR_GRID, md.train, md.features))
+
+
+def lr_adaptive(spark, sf):
+    md = model_data(spark, sf)
+    return _memo(spark, sf, "lr_adaptive",
+                 lambda: TU.adaptive_search("LogisticRegression", md.train, md.features, n_trials=8, batch=4))
+
+
 class ModelData:
     """Split, feature statistics and scaler fitted on the training rows only."""
 
@@ -91,8 +144,7 @@ def _metrics_row(spark, name, m: dict):
 
 def _fit_one(name):
     def q(spark, sf):
-        md = model_data(spark, sf)
-        r = MD.train_model(name, md.train, md.features, "Class", md.test)
+        r = trained(spark, sf, [name])[name]
         return _metrics_row(spark, name, r.test_metrics)
     q.__name__ = f"q_{name}"
     return q
@@ -103,11 +155,8 @@ GBT_PRESETS = ["XGBoost", "LightGBM", "CatBoost", "GradientBoosting"]
 
 def q_gbt(spark, sf):
     """The four boosted-tree presets, fitted concurrently, as one metrics table."""
-    md = model_data(spark, sf)
-    res, _ = MD.train_many(md.train, md.test, md.features, "Class", names=GBT_PRESETS)
-    return spark.createDataFrame([], "model string").unionByName(
-        _metrics_rows(spark, {n: r.test_metrics for n, r in res.items() if r is not None}),
-        allowMissingColumns=True)
+    res = trained(spark, sf, GBT_PRESETS)
+    return _metrics_rows(spark, {n: r.test_metrics for n, r in res.items() if r is not None})
 
 
 def _metrics_rows(spark, by_name: dict):
@@ -139,9 +188,8 @@ def q_train_model(spark, sf):
 
 
 def q_train_many(spark, sf):
-    md = model_data(spark, sf)
-    _, table = MD.train_many(md.train, md.test, md.features, "Class")
-    return table
+    """Comparison table of the default presets (fits shared with the single-model queries)."""
+    return MD.comparison_table(spark, trained(spark, sf, MD.DEFAULT_MODELS))
 
 
 def q_write_comparison(spark, sf):
@@ -193,7 +241,7 @@ def q_save_scaler(spark, sf):
 def q_save_weighted(spark, sf):
     """Weighted ensemble saved as member models plus a weights table; read the weights back."""
     md = model_data(spark, sf)
-    e = EF.weighted(ENSEMBLE_MEMBERS, md.train, md.features, "Class")
+    e = EF.weighted(ENSEMBLE_MEMBERS, md.train, md.features, "Class", members=members(spark, sf))
     path = work_dir(spark, "weighted")
     e.save(path)
     return spark.read.json(os.path.join(path, "_weights"))
@@ -201,8 +249,7 @@ def q_save_weighted(spark, sf):
 
 def q_save_search(spark, sf):
     """Best model of a grid search plus all search results, saved and read back."""
-    md = model_data(spark, sf)
-    best, res = TU.grid_search("LogisticRegression", LR_GRID, md.train, md.features)
+    best, res = lr_grid(spark, sf)
     path = work_dir(spark, "search")
     best.save(os.path.join(path, "best_model"))
     res.write.mode("overwrite").parquet(os.path.join(path, "results"))
@@ -236,7 +283,12 @@ def q_stream_score(spark, sf):
 def _ens_query(kind):
     def q(spark, sf):
         md = model_data(spark, sf)
-        _, m = EF.train_ensemble(kind, ENSEMBLE_MEMBERS, md.train, md.test, md.features, "Class")
+        if kind == "stacking":
+            mt, _, _ = EF.evaluate_ensemble(stacked(spark, sf), md.test, "Class")
+            m = mt.first().asDict()
+        else:
+            _, m = EF.train_ensemble(kind, ENSEMBLE_MEMBERS, md.train, md.test, md.features, "Class",
+                                     members=None if kind == "bagging" else members(spark, sf))
         return _metrics_row(spark, f"{kind} ensemble", m)
     q.__name__ = f"q_ens_{kind}"
     return q
@@ -244,7 +296,8 @@ def _ens_query(kind):
 
 def q_compare_ensembles(spark, sf):
     md = model_data(spark, sf)
-    return EF.compare_ensembles(ENSEMBLE_MEMBERS, md.train, md.test, md.features, "Class")
+    return EF.compare_ensembles(ENSEMBLE_MEMBERS, md.train, md.test, md.features, "Class",
+                                members=members(spark, sf), prebuilt={"stacking": stacked(spark, sf)})
 
 
 def q_param_grids(spark, sf):
@@ -263,9 +316,7 @@ LR_GRID = {"C": [0.01, 0.1, 1, 10, 100], "penalty": ["l1", "l2"]}
 
 
 def q_grid_search(spark, sf):
-    md = model_data(spark, sf)
-    _, res = TU.grid_search("LogisticRegression", LR_GRID, md.train, md.features)
-    return res
+    return lr_grid(spark, sf)[1]
 
 
 def q_random_search(spark, sf):
@@ -275,15 +326,14 @@ def q_random_search(spark, sf):
 
 
 def q_adaptive_search(spark, sf):
-    md = model_data(spark, sf)
-    _, res = TU.adaptive_search("LogisticRegression", md.train, md.features, n_trials=8, batch=4)
-    return res
+    return lr_adaptive(spark, sf)[1]
 
 
 def q_compare_tuning(spark, sf):
     md = model_data(spark, sf)
     return TU.compare_tuning("LogisticRegression", LR_GRID, md.train, md.features,
-                             n_iter_random=5, n_trials_adaptive=8)
+                             n_iter_random=5, n_trials_adaptive=8,
+                             grid_result=lr_grid(spark, sf), adaptive_result=lr_adaptive(spark, sf))
 
 
 def q_pca(spark, sf):
