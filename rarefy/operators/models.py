@@ -36,6 +36,7 @@ from concurrent.futures import ThreadPoolExecutor  # noqa: E402
 from dataclasses import dataclass, field  # noqa: E402
 
 import numpy as np  # noqa: E402
+import pandas as pd  # noqa: E402  (module-level: pandas UDF type hints are resolved here)
 from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
 from pyspark.ml.classification import (GBTClassifier, LinearSVC,  # noqa: E402
                                        LogisticRegression, RandomForestClassifier)
@@ -96,7 +97,14 @@ class FittedModel:
         if self.kind == "knn":
             out = knn_classify(self.knn_train, df, self.features, self.label, self.extra["k"])
             return out.drop("label").join(df, on="row_id")
-        t = self.pipeline.transform(df)
+        if self.kind == "svm":
+            # stages before the classifier (e.g. the scaler), random features, classifier
+            pre = PipelineModel(stages=list(self.pipeline.stages[:-1]))
+            d = pre.transform(df) if pre.stages else df
+            d = d.withColumn("features", rff_features(self.features, self.extra))
+            t = self.pipeline.stages[-1].transform(d)
+        else:
+            t = self.pipeline.transform(df)
         if self.kind == "svm":
             m = vector_to_array("rawPrediction")[1]
             a, b = self.extra["platt_a"], self.extra["platt_b"]
@@ -107,8 +115,7 @@ class FittedModel:
         pred = (F.col("score") > F.lit(0.5)).cast("int") if self.kind == "svm" else \
             F.col("prediction").cast("int")
         t = t.withColumn("prediction", pred)
-        return t.drop("features", "rawPrediction", "probability", "_w",
-                      *[c for c in t.columns if c.startswith("_rff")])
+        return t.drop("features", "rawPrediction", "probability", "_w")
 
     @property
     def feature_importances(self):
@@ -153,17 +160,31 @@ def load_model(path: str) -> FittedModel:
                        meta["extra"], knn)
 
 
-def _rff_stage(features, d_out: int, gamma: float, seed: int) -> SQLTransformer:
-    """Random Fourier features of an RBF kernel, one SQL projection (JVM-side)."""
+def rff_params(n_in: int, d_out: int, gamma: float, seed: int) -> dict:
+    """Random Fourier features of an RBF kernel: z(x) = sqrt(2/D) cos(W x + b)."""
     rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(d_out, len(features)))
+    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(d_out, n_in))
     b = rng.uniform(0.0, 2.0 * math.pi, size=d_out)
-    scale = math.sqrt(2.0 / d_out)
-    cols = []
-    for i in range(d_out):
-        lin = " + ".join(f"({float(W[i, j])!r}) * CAST(`{f}` AS DOUBLE)" for j, f in enumerate(features))
-        cols.append(f"{float(scale)!r} * cos({lin} + ({float(b[i])!r})) AS _rff{i}")
-    return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
+    return {"rff_W": W.tolist(), "rff_b": b.tolist(), "rff_scale": math.sqrt(2.0 / d_out)}
+
+
+def rff_features(features, extra) -> "Column":
+    """The projection as one Arrow-batched numpy matmul (a D x d literal
+    expression tree would exceed the JIT's method size), as an ML vector."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql.functions import pandas_udf
+
+    W = np.asarray(extra["rff_W"], dtype=float)
+    b = np.asarray(extra["rff_b"], dtype=float)
+    scale = float(extra["rff_scale"])
+
+    @pandas_udf("array<double>")
+    def rff(x: pd.DataFrame) -> pd.Series:
+        Z = scale * np.cos(x.to_numpy(dtype=float) @ W.T + b)
+        return pd.Series(list(Z))
+
+    cols = [F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)]
+    return array_to_vector(rff(F.struct(*cols)))
 
 
 def fit_model(name: str, train: DataFrame, features, label: str = "Class",
@@ -201,23 +222,26 @@ def fit_model(name: str, train: DataFrame, features, label: str = "Class",
         var = data.select(*[F.var_pop(F.col(f).cast("double")).alias(f) for f in features]).first()
         xvar = float(np.mean([var[f] or 0.0 for f in features])) or 1.0
         gamma = cfg.pop("gamma", None) or 1.0 / (len(features) * xvar)  # 'scale' rule
-        d_out = cfg.pop("n_components", 100)
-        stages = stages[:-1] + [_rff_stage(features, d_out, gamma, cfg.pop("seed", 42)),
-                                VectorAssembler(inputCols=[f"_rff{i}" for i in range(d_out)],
-                                                outputCol="features")]
-        est = LinearSVC(featuresCol="features", labelCol=label, weightCol="_w",
-                        maxIter=cfg.pop("maxIter", 100), regParam=cfg.pop("regParam", 0.0))
-        extra.update(gamma=gamma, n_components=d_out)
-    else:
-        raise ValueError(kind)
-    model = Pipeline(stages=stages + [est]).fit(data)
-    if kind == "svm":
+        extra.update(gamma=gamma, **rff_params(len(features), cfg.pop("n_components", 100),
+                                                 gamma, cfg.pop("seed", 42)))
+        n = data.count()
+        c = cfg.pop("C", 1.0)  # hinge loss + ||w||^2 / (2 C n): the C = 1 of the kernel machine
+        feats = data.withColumn("features", rff_features(features, extra))
+        svc = LinearSVC(featuresCol="features", labelCol=label, weightCol="_w", tol=1e-4,
+                        maxIter=cfg.pop("maxIter", 100), regParam=1.0 / (c * max(n, 1))).fit(feats)
         # Platt scaling on the training margins (one-feature logistic regression)
-        m = model.transform(data).withColumn("_m", vector_to_array("rawPrediction")[1])
+        m = svc.transform(feats).withColumn("_m", vector_to_array("rawPrediction")[1])
         platt = LogisticRegression(featuresCol="_mv", labelCol=label, maxIter=100, regParam=0.0) \
             .fit(VectorAssembler(inputCols=["_m"], outputCol="_mv").transform(m.select("_m", label)))
         extra["platt_a"] = -float(platt.coefficients[0])
         extra["platt_b"] = -float(platt.intercept)
+        pre = stages[:-1]  # an explicit scaler stage, if any; not the assembler
+        model = PipelineModel(stages=[*pre, svc]) if not pre else \
+            PipelineModel(stages=[*Pipeline(stages=pre).fit(data).stages, svc])
+        return FittedModel(name, kind, features, label, model, extra)
+    else:
+        raise ValueError(kind)
+    model = Pipeline(stages=stages + [est]).fit(data)
     return FittedModel(name, kind, features, label, model, extra)
 
 

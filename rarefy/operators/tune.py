@@ -143,7 +143,7 @@ def cross_validate(model_name: str, points, train: DataFrame, features, label: s
         maps.append(m)
     cvm = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=_evaluator(scoring, label),
                          numFolds=cv, foldCol="fold", parallelism=parallelism, seed=seed).fit(data)
-    scores = list(cvm.avgMetrics)
+    scores = [float(v) for v in cvm.avgMetrics]
     rows = [(i, json.dumps(p, default=str), float(s)) for i, (p, s) in enumerate(zip(points, scores))]
     res = spark.createDataFrame(rows, "point int, params string, mean_score double") \
         .orderBy(F.desc("mean_score"), "point")
@@ -244,7 +244,7 @@ def compare_tuning(model_name, grid, train, features, label="Class", n_iter_rand
     order = sorted(range(len(pts)), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
     chosen = [json.dumps(pts[i], default=str) for i in order[:n_iter_random]]
     best_r = max(chosen, key=lambda p_: scores[p_])
-    rows.append(("random", scores[best_r], len(chosen), best_r))
+    rows.append(("random", float(scores[best_r]), len(chosen), best_r))
     if model_name in SEARCH_SPACES:
         a, ares = adaptive_result or adaptive_search(model_name, train, features, label,
                                                      n_trials_adaptive, cv=cv, parallelism=parallelism)
