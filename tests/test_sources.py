@@ -25,7 +25,7 @@ def test_scan_csv_with_fixed_schema(spark):
 
 def test_missing_paths_raise(spark):
     with pytest.raises(FileNotFoundError):
-        scan_transactions(spark, "/nonexistent/creditcard.csv")
+        scan_transactions(spark, "/nonexistent/transactions.csv")
     with pytest.raises(FileNotFoundError):
         load_model("/nonexistent/model")
 
