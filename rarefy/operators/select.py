@@ -64,12 +64,18 @@ def mutual_info_binned(df: DataFrame, cols, label: str = "Class", n_bins: int =
     for c in cols:
         e = sorted(set(v for v in q[(c,)] if v is not None))
         interior[c] = e[1:-1]
-    tall = df.select(F.col(label), *[F.col(c).cast("double").alias(c) for c in cols]) \
-        .unpivot([label], cols, "feature", "x").where(F.col("x").isNotNull())
-    emap = F.create_map(*sum([[F.lit(c), F.array(*[F.lit(v) for v in interior[c]]).cast("array<double>")]
-                              for c in cols], []))
-    b = F.size(F.filter(F.element_at(emap, F.col("feature")), lambda e: e < F.col("x")))
-    counts = tall.withColumn("bin", b).groupBy("feature", "bin", label).count().collect()
+    # bin = number of interior edges strictly below x, as compiled comparisons
+    # in wide form; then one unpivot of the bin columns and a keyed count
+    def bin_of(c):
+        x = F.col(c).cast("double")
+        acc = F.lit(0)
+        for e in interior[c]:
+            acc = acc + (x > F.lit(float(e))).cast("int")
+        return F.when(x.isNotNull() & ~F.isnan(x), acc).alias(c)
+
+    wide = df.select(F.col(label), *[bin_of(c) for c in cols])
+    counts = (wide.unpivot([label], cols, "feature", "bin").where(F.col("bin").isNotNull())
+              .groupBy("feature", "bin", label).count().collect())
     by_f = {}
     for r in counts:
         by_f.setdefault(r["feature"], []).append((r["bin"], r[label], r["count"]))
