@@ -320,6 +320,7 @@ def train_many(train: DataFrame, test: DataFrame, features, label: str = "Class"
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         results = dict(ex.map(one, names))
+    train.unpersist()
     table = comparison_table(train.sparkSession, results)
     if save_dir:
         table.coalesce(1).write.mode("overwrite").option("header", True) \

@@ -50,16 +50,24 @@ def hash_rank(df: DataFrame, part_cols, h_col: str, tie_col: str,
 
 
 def ordered_cumsum(df: DataFrame, order_col: str, sum_cols, ascending: bool = True,
-                   n_buckets: int = 64, prefix: str = "cum_") -> DataFrame:
+                   n_buckets: int | None = None, prefix: str = "cum_",
+                   rows_per_bucket: int = 1_000_000, max_buckets: int = 65_536) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order.
 
-    ``order_col`` must be distinct per row (aggregate ties first).
+    ``order_col`` must be distinct per row (aggregate ties first). Range
+    buckets are sized from the row count (about ``rows_per_bucket`` rows
+    each), their totals (one row per bucket, bounded) become offsets that
+    join back as a broadcast, and a window inside each bucket adds the rest.
     """
     from pyspark.ml.feature import Bucketizer
 
     sum_cols = list(sum_cols)
+    spark = df.sparkSession
+    if n_buckets is None:
+        n = df.count()
+        n_buckets = max(16, min(max_buckets, int(math.ceil(n / rows_per_bucket))))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = sorted(set(e for e in df.approxQuantile(order_col, probs, 0.001)
+    edges = sorted(set(e for e in df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets))
                        if e is not None and not math.isnan(e)))
     splits = [-math.inf] + edges + [math.inf]
     d = df.withColumn("_k", F.col(order_col).cast("double"))
@@ -67,19 +75,23 @@ def ordered_cumsum(df: DataFrame, order_col: str, sum_cols, ascending: bool = Tr
                    handleInvalid="keep").transform(d)
     d = d.withColumn("_b", F.col("_bd").cast("int")).drop("_bd", "_k")
     tot = {r["_b"]: r for r in d.groupBy("_b").agg(
-        *[F.sum(c).alias(c) for c in sum_cols]).collect()}
+        *[F.sum(c).alias(c) for c in sum_cols]).collect()}  # one row per bucket
     nb = len(splits)  # includes the NaN bucket index len(splits)-1
     order = range(nb) if ascending else range(nb - 1, -1, -1)
-    offs = {c: [0] * nb for c in sum_cols}
     run = {c: 0 for c in sum_cols}
+    rows = []
     for b in order:
+        rows.append((b, *[run[c] for c in sum_cols]))
         for c in sum_cols:
-            offs[c][b] = run[c]
             if b in tot and tot[b][c] is not None:
                 run[c] += tot[b][c]
+    typ = {c: ("long" if all(isinstance(r[i + 1], int) for r in rows) else "double")
+           for i, c in enumerate(sum_cols)}
+    rows = [(r[0], *[(v if typ[c] == "long" else float(v)) for c, v in zip(sum_cols, r[1:])]) for r in rows]
+    offs = spark.createDataFrame(rows, "_b int, " + ", ".join(f"_o_{c} {typ[c]}" for c in sum_cols))
     ob = F.col(order_col).asc() if ascending else F.col(order_col).desc()
     w = Window.partitionBy("_b").orderBy(ob).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.join(F.broadcast(offs), on="_b")  # <= max_buckets + 2 rows
     for c in sum_cols:
-        arr = F.array(*[F.lit(v) for v in offs[c]])
-        d = d.withColumn(prefix + c, F.element_at(arr, F.col("_b") + 1) + F.sum(c).over(w))
-    return d.drop("_b")
+        d = d.withColumn(prefix + c, F.col(f"_o_{c}") + F.sum(c).over(w))
+    return d.drop("_b", *[f"_o_{c}" for c in sum_cols])
