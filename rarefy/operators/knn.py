@@ -5,8 +5,9 @@ distance (ties by reference id), optionally skipping the row itself.
 Nothing here compares every query with every reference:
 
 1. Pivots: the reference rows with the smallest id hash, about one per
-   ``cell_size`` references (at most ``max_pivots``; the pivot matrix is
-   the only broadcast, P x d doubles, bounded).
+   ``cell_size`` references (at most ``max_pivots``). The broadcasts are the
+   P x d pivot matrix and per-cell counts, radii and nearest-cell lists
+   (P x 64); pivot-to-pivot distances are recomputed per cell in the tasks.
 2. Cells: every row goes to its nearest pivot (vectorised numpy in
    ``mapInPandas``). Per-cell reference count and radius R (max distance
    to the pivot) are a P-row aggregate.
@@ -74,12 +75,6 @@ def _nearest(X: np.ndarray, pv: np.ndarray, block: int = 256):
     return arg.astype("int32"), np.sqrt(np.maximum(best, 0.0))
 
 
-def _pivot_geometry(pivots: np.ndarray):
-    P = pivots.shape[0]
-    pp = np.sqrt(np.maximum(_sqdist(pivots, pivots), 0.0))
-    return P, pp
-
-
 def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
              id_col: str = "row_id", ref_cols=(), exclude_self: bool = False,
              with_vectors: bool = False, cell_size: int = 256, max_pivots: int = 4096,
@@ -110,8 +105,9 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     P = max(1, min(max_pivots, int(math.ceil(n_ref / cell_size))))
     prow = ref_h.orderBy("_h", "r_id").limit(P).select(*fc).collect()  # top-P, bounded
     pivots = np.unique(np.array([[r[f] for f in fc] for r in prow], dtype=float), axis=0)
-    P, pp = _pivot_geometry(pivots)
-    bc = spark.sparkContext.broadcast((pivots, pp))
+    P = pivots.shape[0]
+    # only the P x d pivots travel; pivot-to-pivot rows are recomputed per cell
+    bc = spark.sparkContext.broadcast((pivots, None))
 
     # 2. cells for references (+ stats: P rows)
     def assign(it):
@@ -136,14 +132,16 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
         rad[r["cell"]] = r["R"]
     # per cell: the other non-empty cells by pivot distance (bounded list)
     near = []
-    for c in range(P):
-        o = np.argsort(pp[c], kind="stable")
-        near.append([int(j) for j in o if cnt[j] > 0][:64])
+    for c0 in range(0, P, 256):  # blocks of pivot rows bound the driver's memory
+        blk = np.sqrt(np.maximum(_sqdist(pivots[c0:c0 + 256], pivots), 0.0))
+        for row in blk:
+            o = np.argsort(row, kind="stable")
+            near.append([int(j) for j in o if cnt[j] > 0][:64])
     bstats = spark.sparkContext.broadcast((cnt, rad, near))
 
     # 3. round A: own cell, then the nearest cells until `need` references
     def visits_a(it):
-        pv, ppd = bc.value
+        pv, _ = bc.value
         cn, rr, nr = bstats.value
         for pdf in it:
             cell, dp = _nearest(pdf[fc].to_numpy(dtype=float), pv)
@@ -156,7 +154,8 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
                     if got >= need:
                         break
                 if got < need:  # tiny cells: every non-empty cell
-                    lst = [int(j) for j in np.argsort(ppd[c], kind="stable") if cn[j] > 0]
+                    row = np.sqrt(np.maximum(_sqdist(pv[c:c + 1], pv), 0.0))[0]
+                    lst = [int(j) for j in np.argsort(row, kind="stable") if cn[j] > 0]
                 lists.append(lst)
             out = pdf[["q_id", *fc]].copy()
             out["cell0"] = cell
@@ -184,7 +183,7 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     # pp[c,j] - R_j <= max(d(q,p_c) + theta_q) preselects candidate cells,
     # then the exact per-query ball and bisector bounds decide.
     def visits_b(it):
-        pv, ppd = bc.value
+        pv, _ = bc.value
         cn, rr, _ = bstats.value
         for pdf in it:
             X = pdf[fc].to_numpy(dtype=float)
@@ -196,7 +195,8 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
             for c in np.unique(cell0):
                 idx = np.flatnonzero(cell0 == c)
                 rho = float(np.max(dp0[idx] + tol[idx]))
-                cand = np.flatnonzero((cn > 0) & (ppd[c] - rr <= rho * (1 + 1e-12) + 1e-12))
+                ppc = np.sqrt(np.maximum(_sqdist(pv[c:c + 1], pv), 0.0))[0]
+                cand = np.flatnonzero((cn > 0) & (ppc - rr <= rho * (1 + 1e-12) + 1e-12))
                 cand = cand[cand != c]
                 if cand.size == 0:
                     for i in idx:
@@ -204,7 +204,7 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
                     continue
                 D = np.sqrt(np.maximum(_sqdist(X[idx], pv[cand]), 0.0))
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    lb_plane = (D ** 2 - (dp0[idx] ** 2)[:, None]) / (2.0 * ppd[c, cand][None, :])
+                    lb_plane = (D ** 2 - (dp0[idx] ** 2)[:, None]) / (2.0 * ppc[cand][None, :])
                 lb_plane = np.where(np.isfinite(lb_plane), lb_plane, 0.0)
                 lb = np.maximum(np.maximum(D - rr[cand][None, :], lb_plane), 0.0)
                 ok = lb <= tol[idx][:, None]
