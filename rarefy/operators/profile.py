@@ -121,22 +121,24 @@ def density_by_class(df: DataFrame, cols, label: str = "Class", bins: int = 50)
     stats = t.groupBy("feature", label).agg(F.count("x").alias("n_class"),
                                             F.stddev_samp("x").alias("sd"))
     hist = t.groupBy("feature", label, "bin", "lo", "hi").agg(F.count("*").alias("n"))
-    per = (hist.groupBy("feature", label, "lo", "hi")
-           .agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("h"))  # <= bins entries
-           .join(stats, on=["feature", label]))
     center = lambda i: F.col("lo") + (i.cast("double") + F.lit(0.5)) * (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    # per (feature, class): at most `bins` (centre, count) pairs
+    per = (hist.withColumn("c", center(F.col("bin")))
+           .groupBy("feature", label, "lo", "hi")
+           .agg(F.array_sort(F.collect_list(F.struct("bin", "n", "c"))).alias("h"))
+           .join(stats, on=["feature", label]))
     bw = F.col("sd") * F.pow(F.col("n_class").cast("double"), F.lit(-0.2))
     out = per.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))) \
         .withColumn("bw", bw) \
         .withColumn("x", center(F.col("bin")))
-    kde = F.aggregate(
-        "h", F.lit(0.0),
-        lambda acc, s: acc + s["n"].cast("double") * F.exp(
-            F.lit(-0.5) * F.pow((F.col("x") - (F.col("lo") + (s["bin"].cast("double") + F.lit(0.5))
-                                               * (F.col("hi") - F.col("lo")) / F.lit(float(bins))))
-                                / F.col("bw"), F.lit(2.0))))
+
+    def term(acc, s_):
+        z = (F.col("x") - s_["c"]) / F.col("bw")
+        return acc + s_["n"].cast("double") * F.exp(F.lit(-0.5) * (z * z))
+
+    kde = F.aggregate("h", F.lit(0.0), term)
     norm = F.col("n_class").cast("double") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi))
-    nb = F.coalesce(F.element_at(F.map_from_entries(F.col("h")), F.col("bin")), F.lit(0)).cast("long")
+    nb = F.coalesce(F.element_at(F.map_from_arrays(F.col("h.bin"), F.col("h.n")), F.col("bin")), F.lit(0)).cast("long")
     return out.select("feature", label, "bin", "x", nb.alias("n"),
                       F.when(F.col("bw") > 0, kde / norm).alias("density"))
 
