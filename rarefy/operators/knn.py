@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import uniform_hash
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 
 
 def _fcols(d):
@@ -82,6 +82,7 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
              dedup: bool = True, dup_ratio: float = 0.9) -> DataFrame:
     """Return (q_id, r_id, dist, rank[, r_v], ref_cols...) with rank 1..k per query."""
     spark = query.sparkSession
+    ship_package(spark)
     features = list(features)
     d = len(features)
     fc = _fcols(d)

@@ -173,6 +173,9 @@ def rff_features(features, extra) -> "Column":
     expression tree would exceed the JIT's method size), as an ML vector."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.sql.functions import pandas_udf
+    from ..session import ship_package
+    from pyspark.sql import SparkSession
+    ship_package(SparkSession.getActiveSession())
 
     W = np.asarray(extra["rff_W"], dtype=float)
     b = np.asarray(extra["rff_b"], dtype=float)

@@ -155,6 +155,8 @@ def covariance(df: DataFrame, cols):
     d^2 numbers reach the driver.
     """
     import pandas as pd
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     cols = list(cols)
     d = len(cols)
     shift_row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()

@@ -30,6 +30,7 @@ def get_spark(cpus: int | None = None, app: str = "rarefy",
     b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -55,3 +56,30 @@ def cut_lineage(df):
     """Reliable checkpoint (survives executor loss); never localCheckpoint."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rarefy`` importable on executors (like ``--py-files``).
+
+    Pandas UDFs of this package run in executor Python workers, which do
+    not see the driver's ``sys.path``. The package is zipped once per
+    application and added with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="rarefy-pkg-"), "rarefy.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("rarefy", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
