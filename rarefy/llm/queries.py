@@ -7,7 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, langid, pii, quality
+from . import bpe, decontaminate, exact, jaccard, langid, pii, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(ids, ranks))
 
 
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page is captured and rechecked; every recheck is resolved."""
+    out = warc.resolve_revisits(warc.captures(_table(spark, sf_dir, "pages")))
+    return out.withColumn("headers", warc.header_text("headers"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learn from the labels of four fifths of the ids, score every text."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -31,6 +37,14 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it contains, with what was found."""
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n_segments"), F.max("n_hits").alias("most_hits"), F.min("edits").alias("least_edits"),
+        F.min("region_start").alias("region_start"), F.max("region_end").alias("region_end"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -59,5 +73,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_quality_classifier, op7_exact_dedup, op8_pii, op9_language_id)}
-ORACLES = {"op7_exact_dedup": exact.ORACLE}
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_warc_revisits, op5_quality_classifier, op6_decontamination, op7_exact_dedup,
+                                   op8_pii, op9_language_id, op10_ngram_jaccard)}
+ORACLES = {"op4_warc_revisits": warc.ORACLE, "op7_exact_dedup": exact.ORACLE}
