@@ -7,13 +7,23 @@ import hashlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact, jaccard, langid, pii, quality, warc
+from . import bpe, decontaminate, exact, fm_dedup, jaccard, langid, pii, quality, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.earlier_words(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids, and digest both."""
     import public_tokenizers
@@ -77,6 +87,6 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_warc_revisits, op5_quality_classifier, op6_decontamination, op7_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_byte_bpe, op4_warc_revisits, op5_quality_classifier, op6_decontamination, op7_exact_dedup,
                                    op8_pii, op9_language_id, op10_ngram_jaccard)}
 ORACLES = {"op4_warc_revisits": warc.ORACLE, "op7_exact_dedup": exact.ORACLE}
