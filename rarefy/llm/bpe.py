@@ -21,11 +21,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
+import re
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame
 
 from .common import documents, partitions
 
@@ -42,57 +46,52 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
+# Letters, numbers and white space up to U+00FF, where the classes are short.
+_LATIN = {r"\p{L}": "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", r"\p{N}": "0-9\u00b2\u00b3\u00b9\u00bc-\u00be",
+          r"\s": "\\t-\\r \u0085\u00a0"}
+
+
 def pre_tokens(pattern: str):
-    """Splitter with \\s as Unicode white space, which is what the rank files' tokenizers mean."""
+    """Splitter for the pattern. White space means Unicode's property, as for the rank files'
+    tokenizers; texts up to U+00FF take a pattern with plain character classes."""
     import regex
-    return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
-                         .replace(r"\S", r"\P{White_Space}")).findall
+    whole = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
+                          .replace(r"\S", r"\P{White_Space}")).findall
+    inside = pattern.replace(r"\S", f"[^{_LATIN[r'\s']}]")
+    for name, chars in _LATIN.items():
+        inside = re.sub(r"(\[\^[^\]]*)" + re.escape(name), lambda m: m[1] + chars, inside).replace(name, f"[{chars}]")
+    latin = re.compile(inside).findall
+
+    def split(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return whole(text)
+        return latin(text)
+
+    return split
 
 
 class Merger:
-    """Ids of one pre-token: the pair of lowest rank merges first."""
+    """Ids of one pre-token."""
 
     def __init__(self, ranks: dict[bytes, int]):
         import tiktoken
         self.ranks = ranks
-        self.long = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-
-    def ids(self, word: bytes) -> list[int]:
-        whole = self.ranks.get(word)
-        if whole is not None:
-            return [whole]
-        if len(word) > 40:
-            return self.long.encode_ordinary(word.decode("utf-8"))
-        ranks, parts = self.ranks, [word[i:i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
-
-
-def planes(x: np.ndarray) -> bytes:
-    """32-bit codes as two runs of 16-bit halves; the high halves compress to almost nothing."""
-    x = x.astype("<u4")
-    return (x & 0xFFFF).astype("<u2").tobytes() + (x >> 16).astype("<u2").tobytes()
-
-
-def from_planes(data: bytes) -> np.ndarray:
-    half = np.frombuffer(data, "<u2")
-    n = len(half) // 2
-    return half[:n].astype(np.int64) | (half[n:].astype(np.int64) << 16)
-
-
-def ragged(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """data[starts[i]:starts[i] + lengths[i]] for all i, one after the other."""
-    total = int(lengths.sum())
-    ends = np.cumsum(lengths)
-    return data[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
+        self.merge = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def ids(self, word: str) -> list[int]:
+        whole = self.ranks.get(word.encode("utf-8"))
+        return self.merge(word) if whole is None else [whole]
+
+
+def packed(x: np.ndarray) -> bytes:
+    """32-bit codes by byte planes, deflated: the planes of the high bytes shrink to almost nothing."""
+    return zlib.compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[tuple[int, list, list]]:
@@ -124,11 +123,12 @@ def _coded(texts, split, buckets: int) -> tuple[list[np.ndarray], list[list[str]
     """Codes of each text into the block's words, and the words by bucket; the
     codes count through the buckets in order."""
     import xxhash
-    seen: dict[str, int] = {}
+    seen: defaultdict[str, int] = defaultdict()
+    seen.default_factory = seen.__len__
     rows = []
     for t in texts:
         words = split(t or "")
-        rows.append(np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words)))
+        rows.append(np.fromiter(map(seen.__getitem__, words), np.int32, len(words)))
     bucket = np.fromiter((xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass")) % buckets for w in seen), np.int64, len(seen))
     order = np.argsort(bucket, kind="stable")
     place = np.empty(len(seen), dtype=np.int64)
@@ -141,12 +141,15 @@ def _coded(texts, split, buckets: int) -> tuple[list[np.ndarray], list[list[str]
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", block_chars: int = 16 << 20, buckets: int | None = None) -> DataFrame:
-    """One row per document: doc_id and ids (token ids in order, 32-bit little-endian)."""
+           text_col: str = "text", block_chars: int = 8 << 20, buckets: int | None = None, keep_sha: bool = False) -> DataFrame:
+    """One row per document: doc_id and ids (token ids in order), with ``keep_sha`` also
+    text_sha256 (hex, of the text in UTF-8)."""
     d = documents(docs, id_col, text_col)
     sc = d.sparkSession.sparkContext
     n = buckets or partitions(d)
     table = sc.broadcast(ranks)
+    kept = {"doc_id": pa.int64()} | ({"text_sha256": pa.string()} if keep_sha else {})
+    fields = "doc_id long" + ", text_sha256 string" * keep_sha
 
     def words(batches):
         split = pre_tokens(pattern)
@@ -154,57 +157,60 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
             first, rows = 0, []
             for b, ws in enumerate(_coded(texts, split, n)[1]):
                 if ws:
-                    rows.append((block, b, first, ws))
+                    rows.append((block, b, first, zlib.compress(json.dumps(ws).encode(), 1)))
                 first += len(ws)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                    pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())))], ["block", "bucket", "first", "words"])
+                    pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["block", "bucket", "first", "words"])
 
     def codes(batches):
         split = pre_tokens(pattern)
         for block, ids, texts in _blocks(batches, block_chars):
             rows = _coded(texts, split, n)[0]
-            for lo in range(0, len(ids), 2000):
-                part = ids[lo:lo + 2000]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([block] * len(part), pa.int64()), pa.array(part, pa.int64()),
-                    pa.array([planes(r) for r in rows[lo:lo + 2000]], pa.binary())], ["block", "doc_id", "codes"])
+            for lo in range(0, len(ids), 1000):
+                part = slice(lo, lo + 1000)
+                own = {"doc_id": ids[part]}
+                if keep_sha:
+                    own["text_sha256"] = [hashlib.sha256((t or "").encode("utf-8")).hexdigest() for t in texts[part]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * len(ids[part]), pa.int64()), *(pa.array(own[c], t) for c, t in kept.items()),
+                     pa.array([packed(r) for r in rows[part]], pa.binary())], ["block", *kept, "codes"])
 
     def named(batches):
         merger, known = Merger(table.value), {}
         for b in batches:
             out = []
-            for ws in b.column("words"):
+            for ws in b.column("words").to_pylist():
                 ids, lengths = [], []
-                for w in ws.as_py():
+                for w in json.loads(zlib.decompress(ws)):
                     got = known.get(w)
                     if got is None:
                         if len(known) > 500_000:
                             known.clear()
-                        got = known[w] = merger.ids(w.encode("utf-8"))
+                        got = known[w] = merger.ids(w)
                     ids += got
                     lengths.append(len(got))
-                out.append((planes(np.array(lengths, dtype=np.int64)), planes(np.array(ids, dtype=np.int64))))
+                out.append((packed(np.array(lengths, dtype=np.int64)), packed(np.array(ids, dtype=np.int64))))
             yield pa.RecordBatch.from_arrays([b.column("block"), b.column("first"), pa.array([x for x, _ in out], pa.binary()),
                                               pa.array([y for _, y in out], pa.binary())], ["block", "first", "lengths", "ids"])
 
     def reassembled(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("first")
-        lengths = [from_planes(x) for x in right.column("lengths").to_pylist()]
-        ids = [from_planes(x) for x in right.column("ids").to_pylist()]
-        lengths = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
-        ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-        starts = np.cumsum(lengths) - lengths
-        out = []
-        for c in left.column("codes").to_pylist():
-            c = from_planes(c)
-            out.append(ragged(ids, starts[c], lengths[c]).astype("<i4").tobytes())
-        return pa.table({"doc_id": left.column("doc_id"), "ids": pa.array(out, pa.binary())})
-
-    encoded = (d.mapInArrow(words, "block long, bucket int, first int, words array<string>")
+        lengths = np.concatenate([unpacked(x) for x in right.column("lengths").to_pylist()] or [np.zeros(0, np.int64)])
+        ids = np.concatenate([unpacked(x) for x in right.column("ids").to_pylist()] or [np.zeros(0, np.int64)])
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        codes = [unpacked(c) for c in left.column("codes").to_pylist()]
+        placed = words.take(pa.array(np.concatenate(codes)))
+        # the ids of a document are those of its words, one after the other
+        cut = np.concatenate([[0], np.cumsum([len(c) for c in codes])])
+        whole = pa.ListArray.from_arrays(placed.offsets.take(pa.array(cut)), placed.values)
+        return pa.table([*(left.column(c) for c in kept), whole], [*kept, "ids"])
+
+    encoded = (d.mapInArrow(words, "block long, bucket int, first int, words binary")
                .repartition(n, "bucket").mapInArrow(named, "block long, first int, lengths binary, ids binary"))
-    return (d.mapInArrow(codes, "block long, doc_id long, codes binary").groupBy("block")
-            .cogroup(encoded.groupBy("block")).applyInArrow(reassembled, "doc_id long, ids binary"))
+    return (d.mapInArrow(codes, f"block long, {fields}, codes binary").groupBy("block")
+            .cogroup(encoded.groupBy("block")).applyInArrow(reassembled, f"{fields}, ids array<int>"))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -217,25 +223,14 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     table = sc.broadcast(by_id)
 
     def run(batches):
-        tokens = table.value
+        tokens = pa.array(table.value, pa.binary())
         for b in batches:
-            out = [b"".join([tokens[i] for i in np.frombuffer(x or b"", "<i4").tolist()])
-                   for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [*b.schema.names, "decoded"])
+            ids = b.column("ids").fill_null([]) if b.column("ids").null_count else b.column("ids")
+            text = tokens.take(ids.flatten())
+            ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
+            bounds = np.frombuffer(text.buffers()[1], np.int32)[text.offset:][ends]
+            decoded = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(bounds.astype(np.int32)), text.buffers()[2]])
+            yield pa.RecordBatch.from_arrays([*b.columns, decoded], [*b.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary"
     return encoded.mapInArrow(run, schema)
-
-
-def digest(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (ids in decimal, joined by commas), decoded_sha256."""
-    def run(batches):
-        for b in batches:
-            ids = [np.frombuffer(x, "<i4").tolist() for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in ids]),
-                pa.array([hashlib.sha256(x).hexdigest() for x in b.column("decoded").to_pylist()])],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -7,10 +7,12 @@ never meet the operator's columns.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import cut_lineage, ship_package
+from ..session import checkpoint_dir, cut_lineage, ship_package
 
 #: odd multiplier of the polynomial hashes and its inverse modulo 2**64
 _MUL = 0x9E3779B97F4A7C15
@@ -18,9 +20,22 @@ _INV = pow(_MUL, -1, 1 << 64)
 _CHUNK = 1 << 20
 
 
+#: rows that a Python worker gets at once; texts may be long
+BATCH_ROWS = 1000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """Ships the package and bounds the Arrow batches of this session."""
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return spark
+
+
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and text only (null text stays null)."""
-    ship_package(docs.sparkSession)
+    prepared(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -29,6 +44,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """A Parquet table in the cluster's shared folder, for what is read more than once and is
+    smaller in columns than a checkpoint's rows. It stays there as long as the folder's checkpoints."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/rarefy-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -130,7 +154,7 @@ def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def slices(texts, most: int = 4 << 20):
+def slices(texts, most: int = 1 << 20):
     """(from, to) of consecutive texts with at most ``most`` characters
     together; one longer text makes a slice of its own."""
     lo = size = 0

@@ -20,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import ship_package
 from .common import documents, joined, mix, slices, span_hashes, word_spans, byte_values
 
 BITS = 18
