@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_values, checkpointed, joined, slices, span_hashes, window_hashes, word_spans
+from .common import byte_values, joined, slices, span_hashes, window_hashes, word_spans, written
 
 LAST_ID = (1 << 63) - 1
 _KEYS = (("anchor", pa.int64()), ("c0", pa.int64()), ("c1", pa.int64()))
@@ -140,19 +140,19 @@ def _runs(keys: list[tuple[int, int, int]], values: list[tuple[np.ndarray, np.nd
 
 
 def repeated_windows(docs: DataFrame, symbols: Symbols, index: Callable, max_group: int = 2000,
-                     shard_symbols: int = 1 << 20) -> DataFrame:
+                     shard_symbols: int = 1 << 18) -> DataFrame:
     """Runs of windows that occur more than once: doc_id, row, start, windows, n (occurrences) and
     first_id (smallest document that has the window; LAST_ID stands for null).
 
     ``docs`` has doc_id, row (a hash of doc_id and text) and text. ``index(contents, counts,
     first_ids)`` gets the contexts of whole groups and gives two arrays for each context, with a
     place for each of its windows: occurrences in all the contexts, and the smallest first_id."""
-    found = anchored(docs, symbols)
+    found = written(anchored(docs, symbols))
     distinct = found.groupBy("anchor", "c0", "c1").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("first_id"),
         F.min(F.struct("row", "start", "windows")).alias("at"))
     groups = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total")).where("total > 1").drop("total")
-    chosen = checkpointed(distinct.join(groups, "anchor").select(
+    chosen = written(distinct.join(groups, "anchor").select(
         "anchor", "c0", "c1", "n", "first_id", "at.row", "at.start", "at.windows", (F.col("members") > max_group).alias("large")))
     size, large = chosen.agg(F.sum(F.when(~F.col("large"), F.col("windows") + symbols.width)), F.max("large")).first()
     shards = max(1, -(-(size or 0) // shard_symbols))
@@ -199,13 +199,13 @@ def covered(runs, length: int, width: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def ranked(key: np.ndarray) -> np.ndarray:
-    """Rank (from 1) of each key among the distinct keys."""
+def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rank (from 1) of each key among the distinct keys, and the sorted order."""
     order = np.argsort(key)
     sorted_key = key[order]
     out = np.empty(len(key), dtype=np.int64)
     out[order] = np.cumsum(np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]]))
-    return out
+    return out, order
 
 
 class Suffixes:
@@ -218,7 +218,7 @@ class Suffixes:
     def __init__(self, values: np.ndarray, ends: np.ndarray, depth: int, step: int = 1):
         n = len(values)
         self.depth, self.step = depth, step
-        self.symbol = ranked(values)
+        self.symbol, order = ranked(values)
         at = np.arange(n)
 
         def later(rank: np.ndarray, by: int) -> np.ndarray:
@@ -227,16 +227,13 @@ class Suffixes:
             return np.where(to < ends, rank[np.minimum(to, n - 1)], 0)
 
         rank, reach = self.symbol, 1
-        self.ranks = {}
         while reach < depth:
             jump = min(reach, depth - reach)
             self.half, self.reach = rank, reach
-            rank = ranked(rank * (n + 1) + later(rank, jump))
+            rank, order = ranked(rank * (n + 1) + later(rank, jump))
             reach += jump
-        self.later = later
-        self.rank = rank
-        self.order = np.argsort(rank, kind="stable")
+        self.later, self.rank, self.order = later, rank, order
         self.place = np.empty(n, dtype=np.int64)
-        self.place[self.order] = at
+        self.place[order] = at
         #: suffixes with a whole window of ``depth`` symbols
         self.full = at + (depth - 1) * step < ends

@@ -56,10 +56,17 @@ def expand(s: Suffixes, starts: np.ndarray) -> np.ndarray:
         before = suffix - s.step
         has = before >= starts[suffix]
         to, interval = s.place[before[has]], interval[has]
-        order = np.argsort(to)
-        to, interval = to[order], interval[order]
         if not len(to):
             break
+        if len(to) > n // 16:
+            # many rows: put each in its place instead of sorting them
+            at = np.full(n, -1, dtype=np.int64)
+            at[to] = interval
+            to = np.flatnonzero(at >= 0)
+            interval = at[to]
+        else:
+            order = np.argsort(to)
+            to, interval = to[order], interval[order]
         # rows of one longer word stand side by side: same first symbol, same interval behind it
         symbol = head[to]
         new = np.flatnonzero(np.concatenate([[True], (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])]))
