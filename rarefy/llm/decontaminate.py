@@ -36,8 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import ship_package
-from .common import documents, slices
+from .common import documents, prepared, slices
 
 #: length of q-grams, of segments, and edits allowed per character
 Q, SEGMENT, RATE = 10, 50, 0.06
@@ -248,6 +247,18 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_grams: int
         yield block
 
 
+_FOUND = (("doc_id", pa.int64()), ("item_id", pa.int64()), ("seg_start", pa.int32()), ("n_hits", pa.int32()), ("edits", pa.int32()),
+          ("region_start", pa.int64()), ("region_end", pa.int64()))
+
+
+def _search(index: Segments, texts: list) -> Iterator[tuple]:
+    """(place of the text, item, segment start, hits, edits, region from, region to)."""
+    for lo, hi in slices(texts):
+        cps, offsets = plain(texts[lo:hi])
+        for d, *found in index.found(cps, offsets):
+            yield lo + d, *found
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", q: int = Q, segment: int = SEGMENT,
                  rate: float = RATE, block_grams: int = BLOCK_GRAMS) -> DataFrame:
@@ -255,34 +266,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     region_start, region_end (offsets in the normalised text)."""
     d = documents(docs, id_col, text_col)
     schema = "doc_id long, item_id long, seg_start int, n_hits int, edits int, region_start long, region_end long"
-    parts = []
+    out = d.sparkSession.createDataFrame([], schema)
     for block in _blocks(benchmark, item_col, item_text_col, block_grams):
         shared = d.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
             index = Segments(shared.value, q, segment, rate)
             for b in batches:
-                ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-                rows = []
-                for lo, hi in slices(texts):
-                    cps, offsets = plain(texts[lo:hi])
-                    rows += [(ids[lo + d], *f) for d, *f in index.found(cps, offsets)]
+                ids = b.column("doc_id").to_pylist()
+                rows = [(ids[i], *found) for i, *found in _search(index, b.column("text").to_pylist())]
                 if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))],
-                        ["doc_id", "item_id", "seg_start", "n_hits", "edits", "region_start", "region_end"])
-
-        parts.append(d.mapInArrow(run, schema))
-    if not parts:
-        return d.sparkSession.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _FOUND)], [n for n, _ in _FOUND])
+
+        out = out.unionByName(d.mapInArrow(run, schema))
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+          q: int = Q, segment: int = SEGMENT, rate: float = RATE, block_grams: int = BLOCK_GRAMS) -> DataFrame:
     """The rows of ``docs`` that contain no segment of the benchmark, with all their columns."""
-    ship_package(docs.sparkSession)
-    hit = contaminated(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs[id_col].cast("long").eqNullSafe(hit["_hit"]), "left_anti")
+    prepared(docs.sparkSession)
+    place = docs.columns.index(text_col)
+    for block in _blocks(benchmark, item_col, item_text_col, block_grams):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            index = Segments(shared.value, q, segment, rate)
+            for b in batches:
+                stays = np.ones(b.num_rows, dtype=bool)
+                stays[[i for i, *_ in _search(index, b.column(place).to_pylist())]] = False
+                yield b.filter(pa.array(stays))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -23,8 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import ship_package
-from .common import mix, slices
+from .common import mix, prepared, slices
 
 #: letter codes: 0 for a gap, a-z, and hashed classes for all other letters
 ALPHABET = 64
@@ -125,7 +124,7 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """(languages, unit prototypes). Counts of n-grams per language are summed in
     Spark over all rows; what reaches the driver is ALPHABET ** 3 counts per
     language at most. The mean of the prototypes, which all share, is taken off."""
-    ship_package(rows.sparkSession)
+    prepared(rows.sparkSession)
     d = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL")
 
     def run(batches):
@@ -159,36 +158,36 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text",
-            keep: tuple[str, ...] = (), dimension: int = DIMENSION, seed: int = 1) -> DataFrame:
-    """doc_id, the columns named in ``keep``, lang_pred and score. The score is the share of
+            keep: tuple[str, ...] = (), names: tuple[str, str] = ("lang_pred", "score"), dimension: int = DIMENSION,
+            seed: int = 1) -> DataFrame:
+    """doc_id, the columns named in ``keep``, and the prediction and its score under ``names``. The score is the share of
     the best language in exp(20 x cosine) over all languages, so between 0 and 1."""
-    ship_package(docs.sparkSession)
-    names, prototypes = model
-    shared = docs.sparkSession.sparkContext.broadcast((names, prototypes))
+    prepared(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"),
-                    *[F.col(k) for k in keep])
+                    *[F.col(f"`{k}`") for k in keep])
 
     def run(batches):
-        names, prototypes = shared.value
+        langs_known, prototypes = shared.value
         binder = Binder(dimension, seed)
         for b in batches:
             langs, scores = [], []
             for ids, n, lettered in counts(b.column(1).to_pylist()):
-                if not lettered or not names or not len(ids):
+                if not lettered or not langs_known or not len(ids):
                     langs.append("und")
                     scores.append(0.0)
                     continue
                 v = binder.bundle(ids, n)
                 cos = prototypes @ (v / max(float(np.sqrt((v ** 2).sum())), 1e-12))
                 best = int(np.argmax(cos))
-                langs.append(names[best])
+                langs.append(langs_known[best])
                 scores.append(round(float(1 / np.exp(20 * (cos - cos[best])).sum()), 6))
             rest = [c for i, c in enumerate(b.columns) if i != 1]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                             ["doc_id", *keep, "lang_pred", "score"])
+                                             ["doc_id", *keep, *names])
 
     kept = "".join(f", `{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
-    return d.mapInArrow(run, f"doc_id long{kept}, lang_pred string, score double")
+    return d.mapInArrow(run, f"doc_id long{kept}, `{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(id_col: str = "doc_id", parts: int = 3, part: int = 1):
