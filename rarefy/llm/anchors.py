@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_values, joined, slices, span_hashes, window_hashes, word_spans, written
+from .common import byte_values, frugal, joined, slices, span_hashes, window_hashes, word_spans, written
 
 LAST_ID = (1 << 63) - 1
 _KEYS = (("anchor", pa.int64()), ("c0", pa.int64()), ("c1", pa.int64()))
@@ -105,7 +105,7 @@ def anchored(docs: DataFrame, symbols: Symbols) -> DataFrame:
                      pa.array(digests[:, 1].copy()), pa.array((a - first[text]).astype(np.int32)), pa.array((z - a + 1).astype(np.int32))],
                     ["doc_id", "row", "anchor", "c0", "c1", "start", "windows"])
 
-    return docs.mapInArrow(run, "doc_id long, row long, anchor long, c0 long, c1 long, start int, windows int")
+    return docs.mapInArrow(frugal(run), "doc_id long, row long, anchor long, c0 long, c1 long, start int, windows int")
 
 
 def _contents(docs: DataFrame, chosen: DataFrame, symbols: Symbols) -> DataFrame:
@@ -123,7 +123,7 @@ def _contents(docs: DataFrame, chosen: DataFrame, symbols: Symbols) -> DataFrame
                     [pa.array([p[c] for p in wanted], pa.int64()) for c in ("anchor", "c0", "c1", "n", "first_id")] + [pa.array(out, pa.binary())],
                     ["anchor", "c0", "c1", "n", "first_id", "content"])
 
-    return docs.join(parts, "row").mapInArrow(cut, "anchor long, c0 long, c1 long, n long, first_id long, content binary")
+    return docs.join(parts, "row").mapInArrow(frugal(cut), "anchor long, c0 long, c1 long, n long, first_id long, content binary")
 
 
 def _runs(keys: list[tuple[int, int, int]], values: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
@@ -185,7 +185,7 @@ def _single_windows(contents: DataFrame, symbols: Symbols) -> DataFrame:
                     + [pa.array(np.arange(count, dtype=np.int32)), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())],
                     ["anchor", "c0", "c1", "n", "first_id", "lo", "w0", "w1"])
 
-    one = contents.mapInArrow(windows, "anchor long, c0 long, c1 long, n long, first_id long, lo int, w0 long, w1 long")
+    one = contents.mapInArrow(frugal(windows), "anchor long, c0 long, c1 long, n long, first_id long, lo int, w0 long, w1 long")
     total = one.groupBy("w0", "w1").agg(F.sum("n").alias("n"), F.min("first_id").alias("first_id")).where("n > 1")
     return one.drop("n", "first_id").join(total, ["w0", "w1"]).select("anchor", "c0", "c1", "lo", F.lit(1).alias("windows"), "n", "first_id")
 

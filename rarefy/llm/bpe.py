@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import documents, partitions
+from .common import documents, frugal, partitions
 
 #: entries a vocabulary may have to be broadcast
 MAX_VOCABULARY = 1_000_000
@@ -207,9 +207,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         whole = pa.ListArray.from_arrays(placed.offsets.take(pa.array(cut)), placed.values)
         return pa.table([*(left.column(c) for c in kept), whole], [*kept, "ids"])
 
-    encoded = (d.mapInArrow(words, "block long, bucket int, first int, words binary")
-               .repartition(n, "bucket").mapInArrow(named, "block long, first int, lengths binary, ids binary"))
-    return (d.mapInArrow(codes, f"block long, {fields}, codes binary").groupBy("block")
+    encoded = (d.mapInArrow(frugal(words), "block long, bucket int, first int, words binary")
+               .repartition(n, "bucket").mapInArrow(frugal(named), "block long, first int, lengths binary, ids binary"))
+    return (d.mapInArrow(frugal(codes), f"block long, {fields}, codes binary").groupBy("block")
             .cogroup(encoded.groupBy("block")).applyInArrow(reassembled, f"{fields}, ids array<int>"))
 
 
@@ -233,4 +233,4 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, decoded], [*b.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary"
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(frugal(run), schema)

@@ -7,9 +7,11 @@ never meet the operator's columns.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import checkpoint_dir, cut_lineage, ship_package
@@ -33,6 +35,19 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def frugal(run):
+    """A task's function that gives freed memory back at its end: the Python worker lives on
+    beside the executor and would keep it."""
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and text only (null text stays null)."""
     prepared(docs.sparkSession)

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import documents, prepared, slices
+from .common import documents, frugal, prepared, slices
 
 #: length of q-grams, of segments, and edits allowed per character
 Q, SEGMENT, RATE = 10, 50, 0.06
@@ -278,7 +278,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _FOUND)], [n for n, _ in _FOUND])
 
-        out = out.unionByName(d.mapInArrow(run, schema))
+        out = out.unionByName(d.mapInArrow(frugal(run), schema))
     return out
 
 
@@ -297,5 +297,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
                 stays[[i for i, *_ in _search(index, b.column(place).to_pylist())]] = False
                 yield b.filter(pa.array(stays))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(frugal(run), docs.schema)
     return docs

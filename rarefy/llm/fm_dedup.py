@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .anchors import LAST_ID, Suffixes, Symbols, covered, repeated_windows
-from .common import byte_values, documents, joined, span_hashes, word_spans
+from .common import byte_values, documents, frugal, joined, span_hashes, word_spans
 
 WIDTH, ANCHOR = 50, 8
 
@@ -174,4 +174,4 @@ def earlier_words(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, id_
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(kept, pa.binary()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
                                              ["doc_id", "kept", "n_words", "n_removed"])
 
-    return d.join(spans, "row", "left").mapInArrow(remove, "doc_id long, kept binary, n_words long, n_removed long")
+    return d.join(spans, "row", "left").mapInArrow(frugal(remove), "doc_id long, kept binary, n_words long, n_removed long")

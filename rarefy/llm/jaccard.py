@@ -5,13 +5,24 @@ product of the matrix with its transpose holds the overlaps; a pair links
 when den * overlap >= num * union.
 
 1. Equal sets are one row: copies are counted, not compared.
-2. Blocking. If a and b link, their sets differ in at most
-   d = (den - num) * (|a| + |b|) / (den + num) elements. Sizes are put in
-   classes; in a class whose pairs differ in at most d elements, the n-grams
-   are dealt by hash into d + 1 parts. One difference touches one part, so a
-   linked pair has an equal part. Rows with an equal part of a class go to
-   the same block (components of "has an equal part"); no linked pair is
-   separated, and rows whose size bound rules out a link don't meet.
+2. Blocking. If a and b link, a misses at most |a| - ceil(num * |a| / den) of
+   its n-grams in b. N-grams have one order for all sets, and of the first
+   p(|a|) n-grams of a, with p = |a| - ceil(num * |a| / den) + need(|a|), and
+   those of b, at least need = min(need(|a|), need(|b|)) are the same, where
+   need(s) is a twentieth of s. Any order is right; common n-grams come last,
+   which a bounded sample of documents tells, and then hashes decide.
+   Pairs are counted over these prefixes, in buckets of n-grams:
+   * an n-gram of at most ``cold`` rows gives its pairs, and a pair is a
+     candidate where its count can still reach the need and the sizes allow a link;
+   * an n-gram of more rows gives no pairs, only an edge from each row to its
+     first row. A row with fewer such n-grams than the need must share
+     another one with any partner, so it can do without these edges. Rows
+     with more of them (crowded rows) are counted again among themselves with
+     a higher limit, and those still crowded keep their edges. Nothing is
+     lost, and a group of many alike rows costs as many edges as rows.
+   Before the shuffle a task passes on at most ``cold`` + 1 rows of an n-gram.
+   Blocks are the components of candidates and edges; no linked pair is
+   separated.
 3. Product. Each block is multiplied in one task: overlaps are accumulated
    n-gram by n-gram, pairs below their bound are discarded, and what leaves
    the task is one row per document (its smallest linked-up document in the
@@ -33,10 +44,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import (byte_values, checkpointed, documents, joined, mix, signed, slices, span_hashes, window_hashes,
-                     word_spans)
+from .common import (byte_values, checkpointed, documents, frugal, joined,
+                     partitions, slices, span_hashes, window_hashes, word_spans, written)
 from .graph import components
 
 
@@ -58,34 +69,89 @@ def shingle_sets(texts, n: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, dtype=np.uint64)
 
 
-def size_classes(largest: int) -> list[int]:
-    """First size of each class; a class reaches three tenths beyond its first size."""
-    out = [1]
-    while out[-1] <= largest:
-        out.append(max(out[-1] + 1, out[-1] * 13 // 10))
-    return out
+def need(size: int) -> int:
+    """N-grams that the prefixes of two linked sets share at least, by the size of one."""
+    return size // 20 + 2 if size >= 10 else 1
 
 
-def part_keys(grams: np.ndarray, num: int, den: int) -> np.ndarray:
-    """One key for each part of each class that the set may link in: equal keys mean equal
-    parts. A class takes pairs by the size of the larger set."""
+def prefix(grams: np.ndarray, common: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The first n-grams of a set, as many as blocking takes. ``common`` is sorted."""
     size = len(grams)
-    out = []
-    bounds = size_classes(size * den // num + 1)
-    mixed = mix(grams)
-    for c in range(int(np.searchsorted(bounds, size, side="right")) - 1, len(bounds) - 1):
-        if size * den < num * bounds[c]:
-            break
-        parts = (den - num) * 2 * (bounds[c + 1] - 1) // (den + num) + 1
-        if parts == 1:
-            continue  # only equal sets link here, and those are one row
-        part = (grams >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-        edges = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-        total = np.zeros(size + 1, dtype=np.uint64)
-        np.cumsum(mixed, out=total[1:])
-        sums = total[edges[1:]] - total[edges[:-1]]
-        out.append(mix(sums ^ mix(np.arange(parts, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(c + 1))))
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+    if not size:
+        return grams
+    late = np.zeros(size, dtype=bool)
+    if len(common):
+        late = common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] == grams
+    return np.concatenate([grams[~late], grams[late]])[:size - -(-num * size // den) + need(size)]
+
+
+def common_grams(docs: DataFrame, n: int, sample_rows: int) -> np.ndarray:
+    """N-grams that two documents or more of a sample have, sorted. The sample takes about
+    ``sample_rows`` documents by hash, which bounds the list; it only orders n-grams."""
+    total = docs.count()
+    share = F.pmod(F.xxhash64("row", F.lit("sample")), F.lit(1 << 20)) < F.lit(min(1.0, sample_rows / max(1, total)) * (1 << 20))
+
+    def run(batches):
+        for b in batches:
+            sets = list(shingle_sets(b.column("text").to_pylist(), n))
+            if sets:
+                grams, count = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(count.astype(np.int64))], ["gram", "n"])
+
+    found = (docs.where(share).select("text").distinct().mapInArrow(frugal(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+             .where("n > 1").select("gram").toPandas())
+    return np.sort(found["gram"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def counted(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, cold: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a, b, n) over the n-grams of 2 to ``cold`` rows whose sizes
+    allow a link (a pair may come more than once), and edges (row, first row of the
+    n-gram, n) over those of more."""
+    order = np.lexsort((nodes, tokens))
+    tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
+    start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
+    df = np.diff(np.append(start, len(tokens)))
+    found, held, size = [], [], 0
+    for d in np.unique(df[(df > 1) & (df <= cold)]).tolist():
+        i, j = np.triu_indices(d, 1)
+        at = start[df == d]
+        step = max(1, 500_000 // len(i))
+        for lo in range(0, len(at), step):
+            rows = at[lo:lo + step][:, None] + np.arange(d)
+            a, b = rows[:, i].reshape(-1), rows[:, j].reshape(-1)
+            ok = den * np.minimum(sizes[a], sizes[b]) >= num * np.maximum(sizes[a], sizes[b])
+            held.append(np.stack([nodes[a[ok]], nodes[b[ok]]], axis=1))
+            size += len(held[-1])
+            if size > 1_000_000:
+                found.append(_tally(np.concatenate(held)))
+                held, size = [], 0
+    found.append(_tally(np.concatenate(held)) if held else np.zeros((0, 3), np.int64))
+    hot = df > cold
+    at = np.repeat(np.arange(len(df)), df)
+    keep = hot[at]
+    edges = np.stack([nodes[keep], nodes[start[at[keep]]]], axis=1) if keep.any() else np.zeros((0, 2), np.int64)
+    return np.concatenate(found), _tally(edges)
+
+
+def _tally(pairs: np.ndarray) -> np.ndarray:
+    """Distinct pairs with their number."""
+    if not len(pairs):
+        return np.zeros((0, 3), dtype=np.int64)
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    edge = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)]))
+    return np.column_stack([pairs[edge], np.diff(np.append(edge, len(pairs)))])
+
+
+def trimmed(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, cold: int) -> tuple[np.ndarray, ...]:
+    """What a task passes on (n-grams, rows, sizes): at most ``cold`` + 1 rows of each n-gram, and for the others
+    edges (row, first row, n) to the first one passed on."""
+    order = np.lexsort((nodes, tokens))
+    tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
+    start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+    first = np.repeat(start, np.diff(np.append(start, len(tokens))))
+    beyond = np.arange(len(tokens)) - first > cold
+    return tokens[~beyond], nodes[~beyond], sizes[~beyond], _tally(np.stack([nodes[beyond], nodes[first[beyond]]], axis=1))
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -142,12 +208,81 @@ def smallest_reachable(link: np.ndarray) -> np.ndarray:
     return root
 
 
+def _tallies(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, bucket_grams: int) -> DataFrame:
+    """Counts of pairs and edges (see counted) over the prefixes of all rows: hot, a, b, n."""
+    def packed(batches):
+        """Rows of (bucket, n-grams, rows that have them, their sizes); edges go under negative buckets."""
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def done():
+            tokens, own, sizes, edges = trimmed(*(np.concatenate(x) for x in zip(*held)), cold)
+            to = (tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            cut = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))  # n-grams are sorted, so buckets are too
+            out = [(i, tokens[x:y].tobytes(), own[x:y].tobytes(), sizes[x:y].tobytes()) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+            if len(edges):
+                out.append((-1 - int(own[0] % buckets), b"", edges.tobytes(), b""))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), *[pa.binary()] * 3))],
+                                              ["bucket", "grams", "nodes", "sizes"])
+
+        for b in batches:
+            keys = [np.frombuffer(k, "<u8") for k in b.column("keys").to_pylist()]
+            if keys:
+                each = [len(k) for k in keys]
+                held.append((np.concatenate(keys), np.repeat(b.column("node").to_numpy(), each), np.repeat(b.column("size").to_numpy(), each)))
+            if sum(len(x[0]) for x in held) > bucket_grams:
+                yield done()
+        if held:
+            yield done()
+
+    def tallied(table: pa.Table) -> pa.Table:
+        grams, own, sizes = (table.column(c).to_pylist() for c in ("grams", "nodes", "sizes"))
+        if table.column("bucket")[0].as_py() < 0:
+            pairs, edges = np.zeros((0, 3), np.int64), np.concatenate([np.frombuffer(o, "<i8").reshape(-1, 3) for o in own])
+        else:
+            whole = lambda parts, kind: np.frombuffer(b"".join(parts), kind)
+            pairs, edges = counted(whole(grams, "<u8"), whole(own, "<i8"), whole(sizes, "<i8"), cold, num, den)
+        both = np.concatenate([pairs, edges])
+        return pa.table({"hot": np.repeat([False, True], [len(pairs), len(edges)]), "a": both[:, 0], "b": both[:, 1], "n": both[:, 2]})
+
+    return written(nodes.select("node", "size", "keys").mapInArrow(frugal(packed), "bucket int, grams binary, nodes binary, sizes binary")
+                   .groupBy("bucket").applyInArrow(tallied, "hot boolean, a long, b long, n long"))
+
+
+def _blocking(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, bucket_grams: int) -> DataFrame:
+    """Pairs (a, b) whose components hold every linked pair.
+
+    Rows that are crowded (many n-grams of more than ``cold`` rows) are counted among
+    themselves again with a limit sixteen times as high; only those that are crowded
+    then, too, keep their edges."""
+    least = lambda size: F.when(size >= 10, F.floor(size / 20) + 2).otherwise(F.lit(1))  # noqa: E731  as need()
+    links = None
+    for limit in (cold, 16 * cold):
+        tally = _tallies(nodes, num, den, limit, buckets, bucket_grams)
+        hot = tally.where("hot").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("hot_grams"))
+        meta = written(nodes.select("node", "size").join(hot, "node", "left").select(
+            "node", least(F.col("size")).alias("need"), F.coalesce("hot_grams", F.lit(0)).alias("hot_grams"),
+            (F.coalesce("hot_grams", F.lit(0)) >= least(F.ceil(F.col("size") * num / den))).alias("crowded")))
+        side = lambda x, meta=meta: meta.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("need", "hot_grams", "crowded")])
+        pairs = (tally.where("NOT hot").groupBy("a", "b").agg(F.sum("n").alias("n")).join(side("a"), "a").join(side("b"), "b")
+                 .where("n + least(hot_grams_a, hot_grams_b) >= least(need_a, need_b)"))
+        if limit == cold:
+            pairs = pairs.where("NOT (crowded_a AND crowded_b)")
+        links = pairs.select("a", "b") if links is None else links.unionByName(pairs.select("a", "b"))
+        crowded = meta.where("crowded").select("node")
+        nodes = nodes.join(crowded, "node")
+    return links.unionByName(tally.where("hot AND a <> b").join(crowded.withColumnRenamed("node", "a"), "a").select("a", "b"))
+
+
 def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                 text_col: str = "text", block_rows: int = 1500) -> DataFrame:
+                 text_col: str = "text", block_rows: int = 1500, cold: int = 16,
+                 bucket_grams: int = 400_000, sample_rows: int = 8000) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest doc_id reachable by
     links, itself included), n_links (documents it links with, copies included)."""
     d = documents(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
 
+    shared = d.sparkSession.sparkContext.broadcast(common_grams(d, n, sample_rows))
+
     def described(batches):
         import xxhash
         for b in batches:
@@ -155,26 +290,18 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_
             for s in shingle_sets(b.column("text").to_pylist(), n):
                 sizes.append(len(s))
                 nodes.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
-                keys.append(part_keys(s, num, den).tobytes())
+                keys.append(prefix(s, shared.value, num, den).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                                               pa.array(keys, pa.binary())], ["doc_id", "row", "size", "node", "keys"])
 
-    rows = checkpointed(d.mapInArrow(described, "doc_id long, row long, size long, node long, keys binary"))
+    rows = written(d.mapInArrow(frugal(described), "doc_id long, row long, size long, node long, keys binary"))
     # equal sets are one row of the matrix; its text is read from one of its documents
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("row").alias("row"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("keys").alias("keys"))
-
-    def unpacked(batches):
-        for b in batches:
-            keys = [np.frombuffer(k, "<i8") for k in b.column("keys").to_pylist()]
-            if keys:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(keys), pa.int64()),
-                    pa.array(np.repeat(b.column("node").to_numpy(), [len(k) for k in keys]), pa.int64())], ["key", "node"])
+        F.min("row").alias("row"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys"))
+    buckets = max(partitions(d), -(-(rows.agg(F.sum(F.length("keys"))).first()[0] or 0) // (8 * bucket_grams)))
 
-    posting = nodes.select("node", "keys").mapInArrow(unpacked, "key long, node long")
-    shared = posting.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first")
-    blocks = checkpointed(components(posting.join(shared, "key").select(F.col("node").alias("a"), F.col("first").alias("b"))))
+    links = _blocking(nodes.select("node", "size", "keys"), num, den, cold, buckets, bucket_grams)
+    blocks = checkpointed(components(links))
 
     count = blocks.groupBy("root").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / block_rows))
     total = count.where("parts = 1").agg(F.sum("n")).first()[0] or 0
@@ -196,7 +323,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_
             yield pa.RecordBatch.from_arrays([b.column("node"), b.column("copies"), pa.array(found, pa.binary())], ["node", "copies", "grams"])
 
     loaded = (d.join(member, "row").dropDuplicates(["node"]).select("node", "copies", "text")
-              .mapInArrow(sets, "node long, copies long, grams binary"))
+              .mapInArrow(frugal(sets), "node long, copies long, grams binary"))
 
     def multiplied(table: pa.Table) -> pa.Table:
         table = table.sort_by([("root", "ascending"), ("node", "ascending")])
@@ -223,7 +350,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_
             links[a:b] = link @ copies[a:b]
         return pa.table({"node": node, "first": first, "links": links})
 
-    products = checkpointed(placed.join(loaded, "node").groupBy("task").applyInArrow(multiplied, "node long, first long, links long"))
+    products = written(placed.join(loaded, "node").groupBy("task").applyInArrow(multiplied, "node long, first long, links long"))
     joined_up = components(products.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")))
     links = products.groupBy("node").agg(F.sum("links").alias("links"))
     classes = (nodes.select("node", "first_id", "copies").join(joined_up, "node", "left").join(links, "node", "left")

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mix, prepared, slices
+from .common import frugal, mix, prepared, slices
 
 #: letter codes: 0 for a gap, a-z, and hashed classes for all other letters
 ALPHABET = 64
@@ -140,7 +140,7 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang",
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(ids), pa.string()), pa.array(ids.astype(np.int32), pa.int32()),
                                               pa.array(n[ids], pa.int64())], ["lang", "gram", "n"])
 
-    summed = d.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    summed = d.mapInArrow(frugal(run), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     pdf = summed.toPandas()
     names = sorted(pdf["lang"].unique())
     if len(names) > MAX_LANGUAGES:
@@ -187,7 +187,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
                                              ["doc_id", *keep, *names])
 
     kept = "".join(f", `{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
-    return d.mapInArrow(run, f"doc_id long{kept}, `{names[0]}` string, `{names[1]}` double")
+    return d.mapInArrow(frugal(run), f"doc_id long{kept}, `{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(id_col: str = "doc_id", parts: int = 3, part: int = 1):

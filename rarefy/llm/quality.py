@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import documents, joined, mix, slices, span_hashes, word_spans, byte_values
+from .common import byte_values, documents, frugal, joined, mix, slices, span_hashes, word_spans
 
 BITS = 18
 #: length of a document's feature vector
@@ -113,7 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
         return pa.table({"w": pa.array([w.tobytes()], pa.binary())})
 
     rows = (d.where("text IS NOT NULL").join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
-            .mapInArrow(extract, "doc_id long, label int, ids binary, x binary")
+            .mapInArrow(frugal(extract), "doc_id long, label int, ids binary, x binary")
             .withColumn("sample", F.lit(0)).groupBy("sample").applyInArrow(fit, "w binary").collect())
     return np.frombuffer(rows[0]["w"], np.float32) if rows else np.zeros((1 << bits) + 1, np.float32)
 
@@ -131,4 +131,4 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
                  for ids, x in features(b.column("text").to_pylist(), bits)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64())], ["doc_id", "score"])
 
-    return d.mapInArrow(run, "doc_id long, score double")
+    return d.mapInArrow(frugal(run), "doc_id long, score double")

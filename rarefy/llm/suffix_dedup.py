@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .anchors import Suffixes, Symbols, covered, repeated_windows
-from .common import byte_values, documents, window_hashes
+from .common import byte_values, documents, frugal, window_hashes
 
 WIDTH, STRIDE, ANCHOR = 400, 50, 40
 
@@ -125,4 +125,4 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, stride: int = STRIDE, an
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(kept, pa.binary()), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
                                               pa.array(count, pa.int64())], ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    return d.join(spans, "row", "left").mapInArrow(remove, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    return d.join(spans, "row", "left").mapInArrow(frugal(remove), "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
