@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import unit_uniform
 from .ensemble import hard_vote, soft_vote, weighted_vote
 from .metrics import class_report, confusion_matrix, evaluate
-from .models import PRESETS, FittedModel, fit_model
+from .models import PRESETS, FittedModel, SparkSessionRef, fit_model, weight_column
 from .split import stratified_kfold
 
 
@@ -55,8 +55,7 @@ class Ensemble:
             m.save(os.path.join(path, n))
         if self.meta is not None:
             self.meta.save(os.path.join(path, "_meta"))
-        from pyspark.sql import SparkSession
-        ss = SparkSession.getActiveSession()
+        ss = SparkSessionRef.get()
         ss.createDataFrame([(self.kind, k, float(v)) for k, v in (self.weights or {"": 0.0}).items()],
                            "kind string, member string, weight double") \
             .coalesce(1).write.mode("overwrite").json(os.path.join(path, "_weights"))
@@ -130,6 +129,7 @@ def bagging(name, train, features, label="Class", n_estimators: int = 10, max_sa
     import math
     from concurrent.futures import ThreadPoolExecutor
     base = dict(PRESETS[name])
+    weighed, _ = weight_column(train, label, base.get("weights"))
     n_feat = max(1, int(math.floor(max_features * len(features))))
 
     def member(i):
@@ -139,7 +139,8 @@ def bagging(name, train, features, label="Class", n_estimators: int = 10, max_sa
         import hashlib
         ranked = sorted(features, key=lambda c: hashlib.md5(f"{c}:{seed}:{i}".encode()).hexdigest())
         feats = [c for c in features if c in ranked[:n_feat]]
-        d = train.withColumn("_bw", w).where(F.col("_bw") > 0)
+        # the base model's class weights times the row's multiplicity
+        d = weighed.withColumn("_bw", w * F.col("_w")).drop("_w").where(F.col("_bw") > 0)
         preset = dict(base)
         preset["weights"] = "col:_bw"
         return f"m{i}", fit_model(name, d, feats, label, preset=preset)
@@ -201,10 +202,11 @@ def compare_ensembles(names, train, test, features, label="Class",
                 _, m = train_ensemble(t, names, train, test, features, label,
                                       members=None if t == "bagging" else members)
             rows.append((t, m["roc_auc"], m["f1"], m["precision"], m["recall"], m["accuracy"]))
-        except Exception as e:  # noqa: BLE001
-            print(f"Error with {t}: {e}")
+            rows[-1] += (None,)
+        except Exception as e:  # noqa: BLE001 - one failed type doesn't stop the others
+            rows.append((t, None, None, None, None, None, f"{type(e).__name__}: {e}"[:500]))
     df = spark.createDataFrame(rows, "ensemble_type string, roc_auc double, f1 double, "
-                                     "precision double, recall double, accuracy double") \
+                                     "precision double, recall double, accuracy double, error string") \
         .orderBy(F.desc_nulls_last("roc_auc"), "ensemble_type")
     if save_dir:
         df.coalesce(1).write.mode("overwrite").option("header", True).csv(

@@ -65,7 +65,8 @@ def _rank_metrics(tbl: DataFrame) -> DataFrame:
     cpos_d = F.lit(P) - F.col("cum_pos") + F.col("pos")
     cneg_d = F.lit(N) - F.col("cum_neg") + F.col("neg")
     agg = s.agg(
-        F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg")) + F.lit(0.5) * F.col("pos") * F.col("neg")).alias("u"),
+        F.sum(F.col("pos").cast("double") * (F.col("cum_neg") - F.col("neg"))
+              + F.lit(0.5) * F.col("pos").cast("double") * F.col("neg")).alias("u"),
         F.sum(F.col("pos").cast("double") * cpos_d / (cpos_d + cneg_d)).alias("w"))
     return agg.select(
         (F.when(F.lit(P > 0 and N > 0), F.col("u") / F.lit(P * N if P * N else 1.0))).alias("roc_auc"),

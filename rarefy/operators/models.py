@@ -17,11 +17,14 @@ def class_weight_table(df: DataFrame, label: str = "Class") -> DataFrame:
 
 def knn_classify(train: DataFrame, test: DataFrame, features, label: str = "Class", k: int = 5,
                  id_col: str = "row_id") -> DataFrame:
-    """k-nearest-neighbour vote: score = share of positive neighbours."""
+    """k-nearest-neighbour vote: score = share of positive neighbours. A row that has no
+    neighbours, since a feature is null, gets the share of positives in ``train``."""
     from .knn import knn_join
     nn = knn_join(test, train, features, k, id_col, ref_cols=[label])
     votes = nn.groupBy(F.col("q_id").alias(id_col)).agg(F.avg(F.col(label).cast("double")).alias("score"))
-    return test.select(id_col, F.col(label).alias("label")).join(votes, on=id_col) \
+    prior = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    return test.select(id_col, F.col(label).alias("label")).join(votes, on=id_col, how="left") \
+        .withColumn("score", F.coalesce("score", F.lit(prior))) \
         .withColumn("prediction", (F.col("score") > F.lit(0.5)).cast("int"))
 
 
@@ -148,7 +151,7 @@ def load_model(path: str) -> FittedModel:
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
-        raise FileNotFoundError(f"Model file not found at: {path}")
+        raise FileNotFoundError(f"no saved model under {path}")
     meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])
     pipe = None
     if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "pipeline"))):
@@ -174,8 +177,7 @@ def rff_features(features, extra) -> "Column":
     from pyspark.ml.functions import array_to_vector
     from pyspark.sql.functions import pandas_udf
     from ..session import ship_package
-    from pyspark.sql import SparkSession
-    ship_package(SparkSession.getActiveSession())
+    ship_package(SparkSessionRef.get())  # a pool's thread has no active session of its own
 
     W = np.asarray(extra["rff_W"], dtype=float)
     b = np.asarray(extra["rff_b"], dtype=float)
@@ -293,38 +295,41 @@ def train_model(name: str, train: DataFrame, features, label: str = "Class",
     return TrainResult(m, trm, tem)
 
 
-COMPARISON_SCHEMA = "model string, roc_auc double, f1 double, precision double, recall double, accuracy double"
+COMPARISON_SCHEMA = ("model string, roc_auc double, f1 double, precision double, recall double, accuracy double, "
+                     "error string")
 
 
-def comparison_table(spark, results: dict) -> DataFrame:
-    rows = [(n, r.test_metrics.get("roc_auc"), r.test_metrics.get("f1"), r.test_metrics.get("precision"),
-             r.test_metrics.get("recall"), r.test_metrics.get("accuracy"))
-            for n, r in results.items() if r is not None]
+def comparison_table(spark, results: dict, errors: dict | None = None) -> DataFrame:
+    """One row per requested model; ``error`` is null where it was fitted."""
+    keys = ("roc_auc", "f1", "precision", "recall", "accuracy")
+    rows = [(n, *[None if r is None else r.test_metrics.get(k) for k in keys], (errors or {}).get(n)) for n, r in results.items()]
     return spark.createDataFrame(rows, COMPARISON_SCHEMA).orderBy(F.desc_nulls_last("roc_auc"), "model")
 
 
 def train_many(train: DataFrame, test: DataFrame, features, label: str = "Class",
                names=None, val: DataFrame | None = None, save_dir: str | None = None,
                parallelism: int = 4, scaler_stage=None):
-    """Fit several presets concurrently (Spark schedules the jobs); errors -> None.
+    """Fit several presets concurrently (Spark schedules the jobs).
 
-    Returns (results dict, comparison DataFrame sorted by ROC-AUC).
+    Returns (results dict, comparison DataFrame sorted by ROC-AUC). A model that fails has the
+    result None and a row of the table with its error.
     """
     names = list(names or DEFAULT_MODELS)
+    errors = {}
     train = train.persist()
 
     def one(n):
         try:
             path = os.path.join(save_dir, f"{n}_model") if save_dir else None
             return n, train_model(n, train, features, label, test, val, path, scaler_stage=scaler_stage)
-        except Exception as e:  # noqa: BLE001 - recorded like the original loop
-            print(f"Error training {n}: {e}")
+        except Exception as e:  # noqa: BLE001 - one failed model doesn't stop the others
+            errors[n] = f"{type(e).__name__}: {e}"[:500]
             return n, None
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         results = dict(ex.map(one, names))
     train.unpersist()
-    table = comparison_table(train.sparkSession, results)
+    table = comparison_table(train.sparkSession, results, errors)
     if save_dir:
         table.coalesce(1).write.mode("overwrite").option("header", True) \
             .csv(os.path.join(save_dir, "model_comparison"))

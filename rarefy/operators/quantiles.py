@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _tall(df: DataFrame, cols, by) -> DataFrame:
-    casted = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+def _tall(df: DataFrame, cols, by, kind: str = "double") -> DataFrame:
+    casted = df.select(*by, *[F.col(c).cast(kind).alias(c) for c in cols])
     tall = casted.unpivot(list(by), list(cols), "feature", "x") if by else \
         casted.unpivot([], list(cols), "feature", "x")
     return tall.where(F.col("x").isNotNull() & ~F.isnan("x"))
@@ -87,7 +87,7 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), n_buckets: int = 4096,
         vals = []
         for lo_t, hi_t, frac in lst:
             lo, hi = targets[lo_t]["value"], targets[hi_t]["value"]
-            vals.append(lo + frac * (hi - lo))
+            vals.append(lo if frac == 0 or lo == hi else lo + frac * (hi - lo))
         out[key] = vals
     # keys without rows
     for_keys = {k[:-1] for k in out}
@@ -115,10 +115,12 @@ def _bracket_rows(spark, tall, keys, brackets, max_or_terms: int = 256):
     the union of brackets with one compiled OR predicate, so the join does
     not multiply every row by its key's bracket count.
     """
+    kind = tall.schema["x"].dataType.simpleString()
+    number = int if kind == "bigint" else float
     bdf = spark.createDataFrame(
-        [(b, *k, float(lo), float(hi)) for b, k, lo, hi in brackets],
+        [(b, *k, number(lo), number(hi)) for b, k, lo, hi in brackets],
         f"bid int, {', '.join(f'`{k}` {t}' for k, t in zip(keys, _key_types(tall, keys)))}, "
-        f"L double, U double")
+        f"L {kind}, U {kind}")
     base = tall
     per_key = {}
     for _, k, _, _ in brackets:
@@ -126,7 +128,7 @@ def _bracket_rows(spark, tall, keys, brackets, max_or_terms: int = 256):
     if max(per_key.values()) > 1 and len(brackets) <= max_or_terms:
         cond = None
         for _, k, lo, hi in brackets:
-            c = (F.col("x") >= F.lit(float(lo))) & (F.col("x") <= F.lit(float(hi)))
+            c = (F.col("x") >= F.lit(number(lo))) & (F.col("x") <= F.lit(number(hi)))
             for kc, kv in zip(keys, k):
                 c = c & (F.col(kc) == F.lit(kv))
             cond = c if cond is None else (cond | c)
@@ -152,6 +154,10 @@ def _select(spark, tall, keys, targets, n_buckets=4096, max_bracket=50_000, max_
                 t["value"] = t["L"]
 
     _resolve_equal()
+    if tall.schema["x"].dataType.simpleString() == "bigint":  # differences of large ids stay exact
+        apart = lambda a, b: (F.col(a).cast("decimal(20,0)") - F.col(b).cast("decimal(20,0)")).cast("double")
+    else:
+        apart = lambda a, b: F.col(a) - F.col(b)
     for _ in range(max_passes):
         open_t = [(i, t) for i, t in targets.items()
                   if t["value"] is None and t["cnt"] > max_bracket]
@@ -161,7 +167,7 @@ def _select(spark, tall, keys, targets, n_buckets=4096, max_bracket=50_000, max_
         for i, t in open_t:
             bids.setdefault((t["key"], t["L"], t["U"]), len(bids))
         rows = _bracket_rows(spark, tall, keys, [(b, k, lo, hi) for (k, lo, hi), b in bids.items()])
-        b = F.least(F.floor((F.col("x") - F.col("L")) / (F.col("U") - F.col("L"))
+        b = F.least(F.floor(apart("x", "L") / apart("U", "L")
                             * F.lit(float(n_buckets))).cast("int"), F.lit(n_buckets - 1))
         hist = (rows.groupBy("bid", b.alias("b"))
                 .agg(F.count("*").alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
@@ -198,10 +204,12 @@ def _select(spark, tall, keys, targets, n_buckets=4096, max_bracket=50_000, max_
 
 
 def order_statistics(df: DataFrame, col: str, ranks, by=(), **kw) -> dict:
-    """Exact values at 0-based ascending ranks: ``{(by..., col): [v(rank)...]}``."""
+    """Exact values at 0-based ascending ranks: ``{(by..., col): [v(rank)...]}``. Integers stay
+    integers, so ids above 2**53 keep their order."""
     by = list(by)
     keys = by + ["feature"]
-    tall = _tall(df, [col], by)
+    whole = df.schema[col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    tall = _tall(df, [col], by, "bigint" if whole else "double")
     stats = tall.groupBy(*keys).agg(
         F.count("x").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect()
     targets, plan = {}, {}

@@ -95,10 +95,12 @@ def smote(df: DataFrame, features, label: str = "Class", k: int = 5, seed: int =
     n_min = counts[mino]
     n_new = int(strategy * counts[majo]) - n_min
     base = df.select(id_col, *features, label)
+    # rows with a null feature stay but seed nothing; the others make up the whole number
+    minority = base.where(F.col(label) == F.lit(mino)).dropna(subset=list(features))
+    n_min = minority.count()
     k_eff = min(k, n_min - 1)
     if n_new <= 0 or k_eff < 1:
         return base
-    minority = base.where(F.col(label) == F.lit(mino))
     nbrs = knn_join(minority, minority, features, k_eff, id_col, exclude_self=True,
                     with_vectors=True, **knn_kw)
     ranked = hash_rank(minority.withColumn("_h", uniform_hash(id_col, seed, "smote")),
@@ -232,7 +234,7 @@ def handle_imbalance(df: DataFrame, features, label: str = "Class", method: str
     """Dispatch by method name; ``none`` (or None) passes rows through."""
     m = "none" if method is None else method.lower()
     if m not in METHODS:
-        raise ValueError(f"Unknown resampling method: {method}. Available methods: {list(METHODS)}")
+        raise ValueError(f"no resampling method {method!r}; there are {', '.join(METHODS)}")
     before = class_counts(df, label) if count else {}
     if m == "none":
         out = df

@@ -165,10 +165,10 @@ def random_search(model_name, grid, train, features, label="Class", n_iter=50, c
     pts = grid_points(grid)
     order = sorted(range(len(pts)), key=lambda i: hashlib.md5(f"{seed}:{i}".encode()).hexdigest())
     chosen = [pts[i] for i in order[:n_iter]]
-    return cross_validate(model_name, chosen, train, features, label, cv, scoring, parallelism)
+    return cross_validate(model_name, chosen, train, features, label, cv, scoring, parallelism, seed)
 
 
-# Search ranges of the adaptive search (low, high, log scale, integer).
+# Search ranges of the adaptive search (low, high, log scale, integer).
 SEARCH_SPACES = {
     "LogisticRegression": {"C": (1e-3, 1e3, True, False)},
     "RandomForest": {"n_estimators": (50, 300, False, True), "max_depth": (3, 20, False, True),
@@ -205,7 +205,7 @@ def adaptive_search(model_name, train, features, label="Class", n_trials=20, bat
             pts.append(p)
         if not pts:
             break
-        model, res = cross_validate(model_name, pts, train, features, label, cv, scoring, parallelism)
+        model, res = cross_validate(model_name, pts, train, features, label, cv, scoring, parallelism, seed)
         for row in res.collect():
             tried.append((r, row["params"], row["mean_score"]))
         if model.extra["best_score"] > best_s:

@@ -71,11 +71,7 @@ def trained(spark, sf, names):
     todo = [n for n in names if (id(spark), spark.sparkContext.applicationId, sf, ("fit", n)) not in _MEMO]
 
     def one(n):
-        try:
-            return n, MD.train_model(n, md.train, md.features, "Class", md.test)
-        except Exception as e:  # noqa: BLE001 - recorded as None, like the original loop
-            print(f"Error training {n}: {e}")
-            return n, None
+        return n, MD.train_model(n, md.train, md.features, "Class", md.test)
 
     if todo:
         with ThreadPoolExecutor(max_workers=4) as ex:
@@ -156,7 +152,7 @@ GBT_PRESETS = ["XGBoost", "LightGBM", "CatBoost", "GradientBoosting"]
 def q_gbt(spark, sf):
     """The four boosted-tree presets, fitted concurrently, as one metrics table."""
     res = trained(spark, sf, GBT_PRESETS)
-    return _metrics_rows(spark, {n: r.test_metrics for n, r in res.items() if r is not None})
+    return _metrics_rows(spark, {n: r.test_metrics for n, r in res.items()})
 
 
 def _metrics_rows(spark, by_name: dict):

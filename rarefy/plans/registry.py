@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-from . import catalog
+from . import catalog, catalog_knn, catalog_models, oracle, oracle_knn
 
 
 def all_queries() -> dict:
     q = dict(catalog.SQL_CHECKED)
-    try:
-        from . import catalog_knn
-        q.update(catalog_knn.QUERIES)
-    except ImportError:
-        pass
-    try:
-        from . import catalog_models
-        q.update(catalog_models.QUERIES)
-    except ImportError:
-        pass
+    q.update(catalog_knn.QUERIES)
+    q.update(catalog_models.QUERIES)
     return q
 
 
 def all_oracles() -> dict:
-    from . import oracle
     s = oracle.build()
-    try:
-        from . import oracle_knn
-        s.update(oracle_knn.build())
-    except ImportError:
-        pass
+    s.update(oracle_knn.build())
     names = all_queries()
     return {k: v for k, v in s.items() if k in names}

@@ -58,7 +58,7 @@ def scan_transactions(spark: SparkSession, path: str, fmt: str | None = None) ->
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
-        raise FileNotFoundError(f"Dataset not found at {path}")
+        raise FileNotFoundError(f"no transaction file under {path}")
     if fmt == "csv":
         df = spark.read.schema(TX_SCHEMA).option("header", True).csv(path)
     else:
