@@ -64,7 +64,7 @@ def written(df: DataFrame) -> DataFrame:
     smaller in columns than a checkpoint's rows. It stays there as long as the folder's checkpoints."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/rarefy-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", str(16 << 20)).parquet(path)  # small buffers in the writing tasks
     return spark.read.schema(df.schema).parquet(path)
 
 

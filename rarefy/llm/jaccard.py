@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import (byte_values, checkpointed, documents, frugal, joined,
-                     partitions, slices, span_hashes, window_hashes, word_spans, written)
+                     slices, span_hashes, window_hashes, word_spans, written)
 from .graph import components
 
 
@@ -230,7 +230,7 @@ def _tallies(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, buck
             if keys:
                 each = [len(k) for k in keys]
                 held.append((np.concatenate(keys), np.repeat(b.column("node").to_numpy(), each), np.repeat(b.column("size").to_numpy(), each)))
-            if sum(len(x[0]) for x in held) > bucket_grams:
+            if 2 * sum(len(x[0]) for x in held) > bucket_grams:
                 yield done()
         if held:
             yield done()
@@ -276,7 +276,7 @@ def _blocking(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, buc
 
 def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                  text_col: str = "text", block_rows: int = 1500, cold: int = 16,
-                 bucket_grams: int = 400_000, sample_rows: int = 8000) -> DataFrame:
+                 bucket_grams: int = 1_000_000, sample_rows: int = 8000) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest doc_id reachable by
     links, itself included), n_links (documents it links with, copies included)."""
     d = documents(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
@@ -298,7 +298,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_
     # equal sets are one row of the matrix; its text is read from one of its documents
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys"))
-    buckets = max(partitions(d), -(-(rows.agg(F.sum(F.length("keys"))).first()[0] or 0) // (8 * bucket_grams)))
+    # as few as fit a task: a pair is passed on once for each bucket that it shares n-grams in
+    buckets = max(1, -(-(rows.agg(F.sum(F.length("keys"))).first()[0] or 0) // (8 * bucket_grams)))
 
     links = _blocking(nodes.select("node", "size", "keys"), num, den, cold, buckets, bucket_grams)
     blocks = checkpointed(components(links))
