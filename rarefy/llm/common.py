@@ -8,6 +8,7 @@ never meet the operator's columns.
 from __future__ import annotations
 
 import ctypes
+import functools
 import uuid
 
 import numpy as np
@@ -23,7 +24,9 @@ _CHUNK = 1 << 20
 
 
 #: rows that a Python worker gets at once; texts may be long
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
+#: mallopt's name for the size from which an array has pages of its own
+_MMAP_THRESHOLD = -3
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -35,15 +38,35 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _lean():
+    """Once in a Python worker: freed arrays go back to the system at once, and not into pools
+    that the worker keeps beside the executor."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
+        libc.mallopt(_MMAP_THRESHOLD, 1 << 20)
+    return getattr(libc, "malloc_trim", lambda pad: None)
+
+
 def frugal(run):
-    """A task's function that gives freed memory back at its end: the Python worker lives on
+    """A task's function that gives freed memory back, also at its end: the Python worker lives on
     beside the executor and would keep it."""
     def wrapped(batches):
+        trim = _lean()
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        trim(0)
+
+    return wrapped
+
+
+def frugal_group(run):
+    """The same for a function of one group's table."""
+    def wrapped(table: pa.Table) -> pa.Table:
+        trim = _lean()
+        out = run(table)
+        trim(0)
+        return out
 
     return wrapped
 

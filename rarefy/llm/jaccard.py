@@ -46,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (byte_values, checkpointed, documents, frugal, joined,
+from .common import (byte_values, checkpointed, documents, frugal, frugal_group, joined,
                      slices, span_hashes, window_hashes, word_spans, written)
 from .graph import components
 
@@ -103,26 +103,31 @@ def common_grams(docs: DataFrame, n: int, sample_rows: int) -> np.ndarray:
     return np.sort(found["gram"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
+#: pairs that a task holds before it counts them
+_PAIRS = 250_000
+
+
 def counted(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, cold: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (a, b, n) over the n-grams of 2 to ``cold`` rows whose sizes
     allow a link (a pair may come more than once), and edges (row, first row of the
-    n-gram, n) over those of more."""
+    n-gram) over those of more, one for each n-gram."""
     order = np.lexsort((nodes, tokens))
-    tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
+    tokens, nodes, sizes = tokens[order], nodes[order], sizes[order].astype(np.int64)
+    del order
     start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
     df = np.diff(np.append(start, len(tokens)))
     found, held, size = [], [], 0
     for d in np.unique(df[(df > 1) & (df <= cold)]).tolist():
         i, j = np.triu_indices(d, 1)
         at = start[df == d]
-        step = max(1, 500_000 // len(i))
+        step = max(1, _PAIRS // 2 // len(i))
         for lo in range(0, len(at), step):
             rows = at[lo:lo + step][:, None] + np.arange(d)
             a, b = rows[:, i].reshape(-1), rows[:, j].reshape(-1)
             ok = den * np.minimum(sizes[a], sizes[b]) >= num * np.maximum(sizes[a], sizes[b])
             held.append(np.stack([nodes[a[ok]], nodes[b[ok]]], axis=1))
             size += len(held[-1])
-            if size > 1_000_000:
+            if size > _PAIRS:
                 found.append(_tally(np.concatenate(held)))
                 held, size = [], 0
     found.append(_tally(np.concatenate(held)) if held else np.zeros((0, 3), np.int64))
@@ -130,7 +135,18 @@ def counted(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, cold: int,
     at = np.repeat(np.arange(len(df)), df)
     keep = hot[at]
     edges = np.stack([nodes[keep], nodes[start[at[keep]]]], axis=1) if keep.any() else np.zeros((0, 2), np.int64)
-    return np.concatenate(found), _tally(edges)
+    return np.concatenate(found), edges
+
+
+def _values(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """The numbers of all rows of a binary column, one after the other; of one chunk without a copy."""
+    parts = []
+    for chunk in column.chunks:
+        if len(chunk):
+            _, offsets, data = chunk.buffers()
+            ends = np.frombuffer(offsets, np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+            parts.append(np.frombuffer(data, kind, (ends[-1] - ends[0]) // np.dtype(kind).itemsize, ends[0]) if ends[-1] > ends[0] else np.zeros(0, kind))
+    return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
 def _tally(pairs: np.ndarray) -> np.ndarray:
@@ -145,13 +161,13 @@ def _tally(pairs: np.ndarray) -> np.ndarray:
 
 def trimmed(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, cold: int) -> tuple[np.ndarray, ...]:
     """What a task passes on (n-grams, rows, sizes): at most ``cold`` + 1 rows of each n-gram, and for the others
-    edges (row, first row, n) to the first one passed on."""
+    edges (row, first row) to the first one passed on, one for each n-gram."""
     order = np.lexsort((nodes, tokens))
     tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
     start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     first = np.repeat(start, np.diff(np.append(start, len(tokens))))
     beyond = np.arange(len(tokens)) - first > cold
-    return tokens[~beyond], nodes[~beyond], sizes[~beyond], _tally(np.stack([nodes[beyond], nodes[first[beyond]]], axis=1))
+    return tokens[~beyond], nodes[~beyond], sizes[~beyond], np.stack([nodes[beyond], nodes[first[beyond]]], axis=1)
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -208,17 +224,22 @@ def smallest_reachable(link: np.ndarray) -> np.ndarray:
     return root
 
 
-def _tallies(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, bucket_grams: int) -> DataFrame:
-    """Counts of pairs and edges (see counted) over the prefixes of all rows: hot, a, b, n."""
+def _tallies(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, bucket_grams: int, named: bool) -> DataFrame:
+    """Counts of pairs and edges (see counted) over the prefixes of all rows: hot, a, b, n.
+    Unless ``named``, only the number of a row's edges is told, with b = a."""
+    def edge_tally(edges):
+        return _tally(edges if named else edges[:, [0, 0]])
+
     def packed(batches):
         """Rows of (bucket, n-grams, rows that have them, their sizes); edges go under negative buckets."""
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def done():
             tokens, own, sizes, edges = trimmed(*(np.concatenate(x) for x in zip(*held)), cold)
+            edges = edge_tally(edges)
             to = (tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             cut = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))  # n-grams are sorted, so buckets are too
-            out = [(i, tokens[x:y].tobytes(), own[x:y].tobytes(), sizes[x:y].tobytes()) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+            out = [(i, tokens[x:y].tobytes(), own[x:y].tobytes(), sizes[x:y].astype("<i4").tobytes()) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
             if len(edges):
                 out.append((-1 - int(own[0] % buckets), b"", edges.tobytes(), b""))
             held.clear()
@@ -230,38 +251,42 @@ def _tallies(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, buck
             if keys:
                 each = [len(k) for k in keys]
                 held.append((np.concatenate(keys), np.repeat(b.column("node").to_numpy(), each), np.repeat(b.column("size").to_numpy(), each)))
-            if 2 * sum(len(x[0]) for x in held) > bucket_grams:
+            if 4 * sum(len(x[0]) for x in held) > bucket_grams:
                 yield done()
         if held:
             yield done()
 
     def tallied(table: pa.Table) -> pa.Table:
-        grams, own, sizes = (table.column(c).to_pylist() for c in ("grams", "nodes", "sizes"))
+        own = _values(table.column("nodes"), "<i8")
         if table.column("bucket")[0].as_py() < 0:
-            pairs, edges = np.zeros((0, 3), np.int64), np.concatenate([np.frombuffer(o, "<i8").reshape(-1, 3) for o in own])
+            pairs, edges = np.zeros((0, 3), np.int64), own.reshape(-1, 3)
         else:
-            whole = lambda parts, kind: np.frombuffer(b"".join(parts), kind)
-            pairs, edges = counted(whole(grams, "<u8"), whole(own, "<i8"), whole(sizes, "<i8"), cold, num, den)
+            pairs, edges = counted(_values(table.column("grams"), "<u8"), own, _values(table.column("sizes"), "<i4"), cold, num, den)
+            edges = edge_tally(edges)
         both = np.concatenate([pairs, edges])
         return pa.table({"hot": np.repeat([False, True], [len(pairs), len(edges)]), "a": both[:, 0], "b": both[:, 1], "n": both[:, 2]})
 
     return written(nodes.select("node", "size", "keys").mapInArrow(frugal(packed), "bucket int, grams binary, nodes binary, sizes binary")
-                   .groupBy("bucket").applyInArrow(tallied, "hot boolean, a long, b long, n long"))
+                   .groupBy("bucket").applyInArrow(frugal_group(tallied), "hot boolean, a long, b long, n long"))
 
 
-def _blocking(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, bucket_grams: int) -> DataFrame:
+def _blocking(nodes: DataFrame, num: int, den: int, cold: int, bucket_grams: int) -> DataFrame:
     """Pairs (a, b) whose components hold every linked pair.
 
     Rows that are crowded (many n-grams of more than ``cold`` rows) are counted among
     themselves again with a limit sixteen times as high; only those that are crowded
     then, too, keep their edges."""
     least = lambda size: F.when(size >= 10, F.floor(size / 20) + 2).otherwise(F.lit(1))  # noqa: E731  as need()
-    links = None
+    grams = F.least(F.col("size"), F.col("size") - F.ceil(F.col("size") * num / den) + least(F.col("size")))  # as prefix()
+    links, total = None, nodes.agg(F.sum(grams)).first()[0] or 0
     for limit in (cold, 16 * cold):
-        tally = _tallies(nodes, num, den, limit, buckets, bucket_grams)
+        # As few buckets as fit a task, for a pair is passed on once for each bucket that it shares
+        # n-grams in. N-grams of up to ``limit`` rows give limit / 2 pairs for each of their entries.
+        each = bucket_grams * cold // limit
+        tally = _tallies(nodes, num, den, limit, max(1, -(-total // each)), bucket_grams, named=limit > cold)
         hot = tally.where("hot").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("hot_grams"))
         meta = written(nodes.select("node", "size").join(hot, "node", "left").select(
-            "node", least(F.col("size")).alias("need"), F.coalesce("hot_grams", F.lit(0)).alias("hot_grams"),
+            "node", grams.alias("grams"), least(F.col("size")).alias("need"), F.coalesce("hot_grams", F.lit(0)).alias("hot_grams"),
             (F.coalesce("hot_grams", F.lit(0)) >= least(F.ceil(F.col("size") * num / den))).alias("crowded")))
         side = lambda x, meta=meta: meta.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("need", "hot_grams", "crowded")])
         pairs = (tally.where("NOT hot").groupBy("a", "b").agg(F.sum("n").alias("n")).join(side("a"), "a").join(side("b"), "b")
@@ -270,6 +295,7 @@ def _blocking(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, buc
             pairs = pairs.where("NOT (crowded_a AND crowded_b)")
         links = pairs.select("a", "b") if links is None else links.unionByName(pairs.select("a", "b"))
         crowded = meta.where("crowded").select("node")
+        total = meta.where("crowded").agg(F.sum("grams")).first()[0] or 0
         nodes = nodes.join(crowded, "node")
     return links.unionByName(tally.where("hot AND a <> b").join(crowded.withColumnRenamed("node", "a"), "a").select("a", "b"))
 
@@ -298,10 +324,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_
     # equal sets are one row of the matrix; its text is read from one of its documents
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys"))
-    # as few as fit a task: a pair is passed on once for each bucket that it shares n-grams in
-    buckets = max(1, -(-(rows.agg(F.sum(F.length("keys"))).first()[0] or 0) // (8 * bucket_grams)))
 
-    links = _blocking(nodes.select("node", "size", "keys"), num, den, cold, buckets, bucket_grams)
+    links = _blocking(nodes.select("node", "size", "keys"), num, den, cold, bucket_grams)
     blocks = checkpointed(components(links))
 
     count = blocks.groupBy("root").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / block_rows))
@@ -351,7 +375,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_
             links[a:b] = link @ copies[a:b]
         return pa.table({"node": node, "first": first, "links": links})
 
-    products = written(placed.join(loaded, "node").groupBy("task").applyInArrow(multiplied, "node long, first long, links long"))
+    products = written(placed.join(loaded, "node").groupBy("task").applyInArrow(frugal_group(multiplied), "node long, first long, links long"))
     joined_up = components(products.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")))
     links = products.groupBy("node").agg(F.sum("links").alias("links"))
     classes = (nodes.select("node", "first_id", "copies").join(joined_up, "node", "left").join(links, "node", "left")
