@@ -110,16 +110,21 @@ def stacking(names, train, features, label="Class", cv: int = 5, seed: int = 42,
     return Ensemble("stacking", members, meta=meta)
 
 
-def _poisson_weight(u, lam: float, kmax: int = 12):
-    """Inverse-CDF Poisson(lam) draw from a uniform column (bootstrap multiplicity)."""
+def _poisson_weight(u, lam: float):
+    """Inverse-CDF Poisson(lam) draw from a uniform column (bootstrap multiplicity).
+
+    The draws go as far as doubles tell the distribution from 1, so the tail is whole for any lam."""
     import math
-    cdf, p, expr = 0.0, math.exp(-lam), None
-    for k in range(kmax):
+    cdf, k, expr = 0.0, 0, None
+    while True:
+        p = math.exp(k * math.log(lam) - lam - math.lgamma(k + 1)) if lam > 0 else float(k == 0)
+        if cdf + p >= 1.0 or (k > lam and p < 2.0 ** -53):
+            break
         cdf += p
         cond = u < F.lit(cdf)
         expr = F.when(cond, F.lit(float(k))) if expr is None else expr.when(cond, F.lit(float(k)))
-        p = p * lam / (k + 1)
-    return expr.otherwise(F.lit(float(kmax)))
+        k += 1
+    return F.lit(float(k)) if expr is None else expr.otherwise(F.lit(float(k)))
 
 
 def bagging(name, train, features, label="Class", n_estimators: int = 10, max_samples: float = 0.8,

@@ -27,20 +27,22 @@ def _scores_df(spark, scores: dict, name: str) -> DataFrame:
 def f_scores(df: DataFrame, cols, label: str = "Class") -> dict:
     """One-way ANOVA F statistic of each feature against the label."""
     cols = list(cols)
+    # sums of distances from the mean: a large mean would cancel the squares' digits
+    mean = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    off = {c: F.col(c).cast("double") - F.lit(mean[c] or 0.0) for c in cols}
     rows = df.groupBy(label).agg(
-        F.count("*").alias("_n"),
-        *[F.sum(F.col(c).cast("double")).alias(f"{c}__s") for c in cols],
-        *[F.sum(F.col(c).cast("double") * F.col(c).cast("double")).alias(f"{c}__q") for c in cols],
+        *[F.count(c).alias(f"{c}__n") for c in cols],
+        *[F.sum(off[c]).alias(f"{c}__s") for c in cols],
+        *[F.sum(off[c] * off[c]).alias(f"{c}__q") for c in cols],
     ).collect()  # one row per class
-    n = sum(r["_n"] for r in rows)
-    g = len(rows)
     out = {}
     for c in cols:
-        s_all = sum(r[f"{c}__s"] for r in rows)
-        q_all = sum(r[f"{c}__q"] for r in rows)
-        sstot = q_all - s_all * s_all / n
-        ssbn = sum(r[f"{c}__s"] ** 2 / r["_n"] for r in rows) - s_all * s_all / n
-        sswn = sstot - ssbn
+        found = [(r[f"{c}__n"], r[f"{c}__s"], r[f"{c}__q"]) for r in rows if r[f"{c}__n"]]
+        n, g = sum(x[0] for x in found), len(found)
+        s_all = sum(x[1] for x in found)
+        shift = s_all * s_all / n if n else 0.0
+        ssbn = sum(x[1] ** 2 / x[0] for x in found) - shift
+        sswn = sum(x[2] for x in found) - shift - ssbn
         dfb, dfw = g - 1, n - g
         if dfb <= 0 or dfw <= 0 or sswn == 0:
             out[c] = None

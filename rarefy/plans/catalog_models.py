@@ -108,20 +108,23 @@ def lr_adaptive(spark, sf):
 class ModelData:
     """Split, feature statistics and scaler fitted on the training rows only."""
 
-    def __init__(self, spark, sf, resample="smote", val_size=0.0):
-        tx = T.tx_events(spark, sf)
+    def __init__(self, spark, sf, resample="smote", val_size=0.0, tx=None):
+        """``tx``: transactions to use instead of the events under ``sf``; their V columns are features, too."""
+        tx = T.tx_events(spark, sf) if tx is None else tx
+        self.components = T.v_columns(tx)
+        self.features = MODEL_FEATURES + self.components
         d = SP.split_data(tx, "Class", TEST_SIZE, val_size, SPLIT_SEED)
         d = cut_lineage(d)
         raw_train = d.where(F.col("split") == "train").drop("split")
         self.stats = FE.fit_amount_stats(raw_train)
         self.prepare_raw = engineer_with(self.stats)
-        cols = ["row_id", *MODEL_FEATURES, "Class"]
+        cols = ["row_id", *self.features, "Class"]
         train = self.prepare_raw(raw_train).select(*cols)
-        self.scaler = fit_scaler(train, MODEL_FEATURES, "standard")
+        self.scaler = fit_scaler(train, self.features, "standard")
         self.scaler_stage = self.scaler.as_sql_transformer(cols)
         ts = self.scaler.transform(train)
         if resample:
-            ts = handle_imbalance(ts, MODEL_FEATURES, "Class", resample, SPLIT_SEED, count=False).data
+            ts = handle_imbalance(ts, self.features, "Class", resample, SPLIT_SEED, count=False).data
         self.train = cut_lineage(ts)
         self.test_raw = self.prepare_raw(d.where(F.col("split") == "test").drop("split")).select(*cols)
         self.test = cut_lineage(self.scaler.transform(self.test_raw))
@@ -129,7 +132,6 @@ class ModelData:
         if val_size > 0:
             self.val = self.scaler.transform(
                 self.prepare_raw(d.where(F.col("split") == "val").drop("split")).select(*cols))
-        self.features = MODEL_FEATURES
 
 
 def _metrics_row(spark, name, m: dict):

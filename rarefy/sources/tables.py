@@ -48,6 +48,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system that Spark reads is there."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def scan_transactions(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Load a transaction file with the fixed schema; fail if it is missing.
 
@@ -55,9 +61,7 @@ def scan_transactions(spark: SparkSession, path: str, fmt: str | None = None) ->
     schema. A ``row_id`` column is added when the file has none.
     """
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"no transaction file under {path}")
     if fmt == "csv":
         df = spark.read.schema(TX_SCHEMA).option("header", True).csv(path)

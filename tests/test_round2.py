@@ -43,3 +43,37 @@ def test_svm_trains_in_a_thread_and_errors_are_rows(spark):
     found = {r["model"]: r for r in table.collect()}
     assert results["SVM"] is not None and found["SVM"]["roc_auc"] > 0.9 and found["SVM"]["error"] is None
     assert results["NoSuchModel"] is None and "KeyError" in found["NoSuchModel"]["error"]
+
+
+def test_job_on_a_transaction_csv(spark, tmp_path):
+    """The job reads the 31-column file and trains on its components, too."""
+    n = 400
+    v = [(F.sin(F.col("id") * (i + 1)) + F.when(F.col("id") % 5 == 0, 1.5).otherwise(0.0)).alias(f"V{i}") for i in range(1, 29)]
+    rows = spark.range(n).select((F.col("id") * 60.0).alias("Time"), *v, (F.col("id") % 97 + 0.5).alias("Amount"),
+                                 (F.col("id") % 5 == 0).cast("int").alias("Class"))
+    path = str(tmp_path / "tx.csv")
+    rows.coalesce(1).write.option("header", True).csv(path)
+    from rarefy.plans.catalog_models import MODEL_FEATURES, ModelData
+    from rarefy.plans.job import load, run_job
+    md = ModelData(spark, path, resample="smote", tx=load(spark, path))
+    assert md.features == MODEL_FEATURES + [f"V{i}" for i in range(1, 29)]
+    assert md.train.groupBy("Class").count().select("count").distinct().count() == 1
+    table = run_job(spark, path, str(tmp_path / "out"), run_ensembling=False, models=["LogisticRegression"]).collect()
+    assert len(table) == 1 and table[0]["roc_auc"] > 0.9
+    assert (tmp_path / "out" / "eda_report").is_dir()
+
+
+def test_f_scores_with_a_large_mean(spark):
+    from rarefy.operators.select import f_scores
+    d = spark.range(1000).select((F.col("id") % 2).cast("int").alias("Class"), (F.col("id") % 7).cast("double").alias("x"))
+    near = f_scores(d, ["x"])["x"]
+    far = f_scores(d.withColumn("x", F.col("x") + 1e9), ["x"])["x"]
+    assert abs(near - far) < 1e-6 * max(1.0, near)
+
+
+def test_poisson_draws_have_the_whole_tail(spark):
+    from rarefy.operators.ensemble_fit import _poisson_weight
+    u = spark.range(20_000).select(((F.col("id") + 0.5) / 20_000).alias("u"))
+    for lam in (0.8, 30.0):
+        r = u.select(_poisson_weight(F.col("u"), lam).alias("w")).agg(F.avg("w").alias("m"), F.max("w").alias("x")).first()
+        assert abs(r["m"] - lam) < 0.01 * lam and (lam < 1 or r["x"] > 40)
