@@ -275,7 +275,8 @@ def _blocking(nodes: DataFrame, num: int, den: int, cold: int, bucket_grams: int
 
     Rows that are crowded (many n-grams of more than ``cold`` rows) are counted among
     themselves again with a limit sixteen times as high; only those that are crowded
-    then, too, keep their edges."""
+    then, too, keep their edges. A task's own first row of an n-gram (see trimmed) stands
+    between them and the first row of all, so the rows that kept edges lead to keep theirs."""
     least = lambda size: F.when(size >= 10, F.floor(size / 20) + 2).otherwise(F.lit(1))  # noqa: E731  as need()
     grams = F.least(F.col("size"), F.col("size") - F.ceil(F.col("size") * num / den) + least(F.col("size")))  # as prefix()
     links, total = None, nodes.agg(F.sum(grams)).first()[0] or 0
@@ -297,7 +298,9 @@ def _blocking(nodes: DataFrame, num: int, den: int, cold: int, bucket_grams: int
         crowded = meta.where("crowded").select("node")
         total = meta.where("crowded").agg(F.sum("grams")).first()[0] or 0
         nodes = nodes.join(crowded, "node")
-    return links.unionByName(tally.where("hot AND a <> b").join(crowded.withColumnRenamed("node", "a"), "a").select("a", "b"))
+    edges = tally.where("hot AND a <> b").select("a", "b")
+    firsts = edges.join(crowded.withColumnRenamed("node", "a"), "a", "left_semi").select(F.col("b").alias("a"))
+    return links.unionByName(edges.join(crowded.withColumnRenamed("node", "a").unionByName(firsts), "a", "left_semi"))
 
 
 def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",

@@ -1,0 +1,33 @@
+"""Cases that earlier versions of the operators lost."""
+
+import struct
+
+import pytest
+
+
+@pytest.fixture
+def few_partitions(spark):
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "4", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_crowded_rows_meet_over_first_rows_that_are_not_crowded(spark, few_partitions):
+    """60 alike rows share 14 n-grams. Each task's first rows of these n-grams are longer rows with
+    7 of them (too few to be crowded with the limit of 16 rows) and 10 n-grams that a copy has, too."""
+    from rarefy.llm.graph import components
+    from rarefy.llm.jaccard import _blocking
+    gram = lambda *k: struct.pack(f"<{len(k)}Q", *(x << 40 for x in sorted(k)))
+    rows = []
+    for k in range(400):
+        pair = 1000 + 10 * (k // 2)
+        rows.append((k, 200, gram(*range(1 + k % 4 // 2 * 7, 8 + k % 4 // 2 * 7), *range(pair, pair + 10))))
+    rows += [(10_000 + k, 50, gram(*range(1, 15))) for k in range(60)]
+    nodes = spark.createDataFrame(rows, "node long, size long, keys binary")
+    links = _blocking(nodes, 80, 100, 1, 1_000_000)
+    root = {r["node"]: r["root"] for r in components(links).collect()}
+    assert len({root.get(10_000 + k, -k - 1) for k in range(60)}) == 1
