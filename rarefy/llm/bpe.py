@@ -95,16 +95,17 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[tuple[int, list, list]]:
-    """(block, doc ids, texts). A block's number is a hash of its first row and its
-    place in the task, so a repeated task gives the same numbers."""
+    """(block, doc ids, texts). A block's number is a hash of its rows and its place in
+    the task, so a repeated task gives the same numbers, and so do tasks of equal rows."""
     import xxhash
     ids, texts, size, count = [], [], 0, 0
 
     def done():
-        seed = f"{count}:{len(ids)}:{ids[0]}:{ids[-1]}:".encode()
-        h = xxhash.xxh64(seed)
-        for t in texts:
-            h.update((t or "").encode("utf-8"))
+        h = xxhash.xxh64(f"{count}:{len(ids)}:".encode())
+        for i, t in zip(ids, texts):
+            data = (t or "").encode("utf-8")
+            h.update(f"{i}:{len(data)}:".encode())
+            h.update(data)
         return h.intdigest() - (1 << 63), ids, texts
 
     for b in batches:
@@ -195,7 +196,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
                                               pa.array([y for _, y in out], pa.binary())], ["block", "first", "lengths", "ids"])
 
     def reassembled(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("first")
+        # blocks of equal rows share a number and have equal words: one row for each first
+        right = right.take(pa.array(np.unique(right.column("first").to_numpy(), return_index=True)[1]))
         lengths = np.concatenate([unpacked(x) for x in right.column("lengths").to_pylist()] or [np.zeros(0, np.int64)])
         ids = np.concatenate([unpacked(x) for x in right.column("ids").to_pylist()] or [np.zeros(0, np.int64)])
         ends = np.concatenate([[0], np.cumsum(lengths)])

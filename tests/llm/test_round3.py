@@ -1,5 +1,6 @@
 """Cases that earlier versions of the operators lost."""
 
+import base64
 import struct
 
 import pytest
@@ -31,3 +32,19 @@ def test_crowded_rows_meet_over_first_rows_that_are_not_crowded(spark, few_parti
     links = _blocking(nodes, 80, 100, 1, 1_000_000)
     root = {r["node"]: r["root"] for r in components(links).collect()}
     assert len({root.get(10_000 + k, -k - 1) for k in range(60)}) == 1
+
+
+def test_bpe_tasks_of_equal_rows(spark):
+    """Tasks that hold the same rows, and tasks whose texts are equal only when put together."""
+    import public_tokenizers as P
+    import tiktoken
+    from rarefy.llm import bpe
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    text = "one passage of several words, each of them different from all others"
+    for parts in ([[(1, text)]] * 2, [[(1, text), (2, None), (3, "a b c")]] * 3, [[(1, "ab cd"), (2, "ef gh")], [(1, "ab c"), (2, "def gh")]]):
+        docs = spark.createDataFrame(spark.sparkContext.parallelize([p for p in parts], len(parts)).flatMap(lambda p: p), "doc_id long, text string")
+        out = bpe.decode(bpe.encode(docs, ranks, P.PATTERN, buckets=5), ranks).collect()
+        want = [(i, enc.encode_ordinary(t or ""), (t or "").encode()) for p in parts for i, t in p]
+        assert sorted((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in out) == sorted(want)
