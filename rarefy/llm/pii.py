@@ -2,7 +2,7 @@
 
 A text is read twice. The base patterns run on the text as it is. Then
 transducers rewrite disguises (homoglyphs and full-width forms, spelled
-digits, ``at``/``dot`` in words or brackets) into a normalised text that
+digits, ``at``/``dot`` in words or brackets, ``at`` by itself before a domain) into a normalised text that
 remembers, for each of its characters, the source characters it came
 from. The same detectors run on the normalised text, and a match that a
 rewritten character takes part in is mapped back to source offsets.
@@ -111,14 +111,29 @@ _WORD = "(?:" + "|".join(_SPELLED) + ")"
 _DIGITS = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\x20])?(?:{_WORD}|[0-9]+)(?:[\x20,.-]{{1,2}}(?:{_WORD}|[0-9]+|dot|point)(?![A-Za-z])){{3,}}", re.I)
 _TOKEN = re.compile(rf"plus|{_WORD}|dot|point|[0-9]+", re.I)
 _HAS_SPELLED = re.compile(rf"(?<![A-Za-z]){_WORD}[\x20,.-]{{1,2}}(?:{_WORD}|[0-9]|dot|point)(?![A-Za-z])", re.I)
-_AT = r"(?:[\x20]*[\[({<][\x20]*(?:at|@|ät)[\x20]*[\])}>][\x20]*|[\x20]+(?:at|@)[\x20]+|[\x20]*@[\x20]*)"
+# Words for at and dot, top levels that a bare "at" needs behind it.
 _DOT = r"(?:[\x20]*[\[({<][\x20]*(?:dot|punkt|point|punto|\.)[\x20]*[\])}>][\x20]*|[\x20]+(?:dot|punkt)[\x20]+|\.)"
-_LABEL = r"[A-Za-z0-9-]+"
-#: a whole disguised address; the bare words need a dot disguise or a domain-like tail behind them
-_ADDRESS = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:{_DOT}[A-Za-z0-9_%+-]+){{0,3}}(?P<at>{_AT}){_LABEL}(?:{_DOT}{_LABEL})+", re.I)
-_AT_ONLY, _DOT_ONLY = re.compile(_AT, re.I), re.compile(_DOT, re.I)
-_HINT = re.compile(r"[\[({<][\x20]*(?:at|@|ät|dot|punkt|point|punto|\.)[\x20]*[\])}>]|[\x20](?:dot|punkt)[\x20]|[\x20]@|@[\x20]", re.I)
+_TOD = r"(?:[\x20]*[\])}>][\x20]*(?:tod|tknup|tniop|otnup|\.)[\x20]*[\[({<][\x20]*|[\x20]+(?:tod|tknup)[\x20]+|\.)"
+_LABEL = r"[A-Za-z0-9-]++"
+_AT = re.compile(r"[\[({<][\x20]*(?:at|@|ät)[\x20]*[\])}>]|(?<=[\x20])at(?=[\x20])|@", re.I)
+#: the domain of a disguised address, read forward from its at
+_TAIL = re.compile(rf"{_LABEL}(?:{_DOT}{_LABEL})++", re.I)
+#: its local part, read backward; any number of parts
+_LOCAL_BACK = re.compile(rf"[A-Za-z0-9_%+-]++(?:{_TOD}[A-Za-z0-9_%+-]++)*+", re.I)
+_DOT_ONLY = re.compile(_DOT, re.I)
+_TOP = frozenset("""com org net edu gov mil int info biz name pro mobi coop museum aero jobs travel app dev online site tech store shop blog cloud xyz
+ac ad ae af ag ai al am ao ar as at au aw az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ch ci ck cl cm cn co cr cu
+cv cy cz de dj dk dm do dz ec ee eg er es et eu fi fj fk fm fo fr ga gb gd ge gf gg gh gi gl gm gn gp gq gr gt gu gw gy hk hn hr ht hu id ie
+il im in io iq ir is it je jm jo jp ke kg kh ki km kn kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mq mr ms
+mt mu mv mw mx my mz na nc ne nf ng ni nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh
+si sk sl sm sn so sr ss st su sv sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws ye za zm zw""".split())
+#: what announces an address before a local part that is a plain word, and words that are none all the same
+_CUE = re.compile(r"(?<![A-Za-z])(?:e-?mail(?:s|ed|ing)?|mail(?:s|ed|ing)?|contact(?:s|ed|ing)?|writ(?:e|es|ing)|reach(?:es|ed|ing)?|address(?:es|ed)?)"
+                  r"(?:[\x20](?:me|us|him|her|them))?(?:[\x20](?:to|is|at|under|via))?(?:[\x20]?:)?[\x20]\Z", re.I)
+_NO_LOCAL = frozenset("""me us him her them you it this that these those one someone everyone anyone people
+information details address addresses form page server list account office only and or
+out back now here there directly""".split())
+_HINT = re.compile(r"[\[({<][\x20]*(?:at|@|ät|dot|punkt|point|punto|\.)[\x20]*[\])}>]|[\x20](?:dot|punkt|at)[\x20]|[\x20]@|@[\x20]", re.I)
 
 
 class Normalised:
@@ -177,17 +192,46 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _plausible(text: str, start: int, end: int, tail: str) -> bool:
+    """Whether [start, end) and ``tail`` around a bare "at" read as an address: a known top level,
+    and a local part that looks like one or is announced."""
+    local, top = text[start:end], tail.rsplit(".", 1)[1]
+    if top.lower() not in _TOP or not (top.islower() or top.isupper()) or not any(c.isalpha() for c in local):
+        return False
+    if any(c in "._" or c.isdigit() for c in local) or _DOT_ONLY.search(local):
+        return True
+    return local.lower() not in _NO_LOCAL and _CUE.search(text[max(0, start - 40):start]) is not None
+
+
 def _addresses(text: str) -> list[tuple[int, int, str]]:
-    out = []
-    for m in _ADDRESS.finditer(text):
-        bare = m["at"].strip().lower() == "at"
-        tail = text[m.end("at"):m.end()]
+    """From each at, the domain is read forward and the local part backward. What lies before an at
+    with a domain isn't read again, so the cost stays linear."""
+    out, done = [], 0
+    for m in _AT.finditer(text):
+        a, b = m.span()
+        if a < done:
+            continue
+        while a > done and text[a - 1] == " ":
+            a -= 1
+        while b < len(text) and text[b] == " ":
+            b += 1
+        domain = _TAIL.match(text, b)
+        if not domain:
+            continue
+        local = _LOCAL_BACK.match(text[done:a][::-1])
+        start, done = a - local.end() if local else a, a
+        if start and text[start - 1] in _LOCAL_SET:  # a stray dot before it: from the first disguised dot on
+            start += next((d.end() for d in _DOT_ONLY.finditer(text[start:a]) if d[0] != "."), a - start)
+        if start == a:
+            continue
+        tail = domain[0]
         disguised = [d for d in _DOT_ONLY.finditer(tail) if d[0] != "."]
-        if bare and not disguised:
+        if m[0].lower() == "at" and not disguised and not _plausible(text, start, a, tail):
             continue
-        if m["at"] != "@":
-            out.append((m.start("at"), m.end("at"), "@"))
-        for base, part in ((m.start(), text[m.start():m.start("at")]), (m.end("at"), tail)):
+        done = domain.end()
+        if text[a:b] != "@":
+            out.append((a, b, "@"))
+        for base, part in ((start, text[start:a]), (b, tail)):
             out += [(base + d.start(), base + d.end(), ".") for d in _DOT_ONLY.finditer(part) if d[0] != "."]
     return sorted(out)
 

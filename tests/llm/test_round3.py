@@ -48,3 +48,14 @@ def test_bpe_tasks_of_equal_rows(spark):
         out = bpe.decode(bpe.encode(docs, ranks, P.PATTERN, buckets=5), ranks).collect()
         want = [(i, enc.encode_ordinary(t or ""), (t or "").encode()) for p in parts for i, t in p]
         assert sorted((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in out) == sorted(want)
+
+
+def test_pii_bare_at_and_long_local_parts():
+    from rarefy.llm import pii
+    for before, address, after in (("write to ", "jane.doe at example.com", "."), ("", "jane_x at mail.example.co.uk", " now"), ("mail ", "jane at example.org", ""),
+                                   ("contact: ", "bob at example.com", ""), ("see ", "jane dot doe at example.com", ""), ("x ", "a.b.c.d.e [at] x [dot] y", ""),
+                                   ("or ", "a dot b dot c dot d dot e dot f at x dot com", "")):
+        base, found = pii.spans(before + address + after)
+        assert not base and found == [("email", len(before), len(before + address))]
+    for text in ("meet at example.com", "contact us at example.com", "in 2019 at example.com", "v1.2 ran at node.js", "He left.At noon.It rained", "see me.They at noon.It"):
+        assert pii.spans(text)[1] == []
