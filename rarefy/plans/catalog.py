@@ -30,7 +30,16 @@ def _spark_df(spark, rows, schema):
 # --- sources ------------------------------------------------------------
 
 def q_scan_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    return T.tx_events(spark, sf)
+    """The events written as a transaction file and scanned with the fixed schema. The file has no
+    key, so V1 and V2 carry the halves of row_id; the other components are empty."""
+    from .catalog_models import work_dir
+    path = work_dir(spark, "transactions") + ".csv"
+    halves = {"V1": F.shiftright("row_id", 32), "V2": F.col("row_id").bitwiseAND(F.lit(0xFFFFFFFF))}
+    tx = T.tx_events(spark, sf)
+    cols = {c: F.col(c) for c in tx.columns} | halves
+    tx.select(*[cols.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in T.TX_SCHEMA]).write.option("header", True).csv(path)
+    row_id = F.shiftleft(F.col("V1").cast("long"), 32) + F.col("V2").cast("long")
+    return T.scan_transactions(spark, path).select(row_id.alias("row_id"), "Time", "Amount", T.LABEL)
 
 
 def q_align_schema(spark, sf):

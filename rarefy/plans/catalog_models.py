@@ -360,8 +360,7 @@ def q_eda_report(spark, sf):
 
 def q_run_job(spark, sf):
     from .job import run_job
-    return run_job(spark, sf, out_dir=work_dir(spark, "job"), run_eda=False, run_ensembling=False,
-                   models=["LogisticRegression"])
+    return run_job(spark, sf, out_dir=work_dir(spark, "job"), run_tuning=True)
 
 
 QUERIES = {
