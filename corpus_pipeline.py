@@ -12,6 +12,8 @@ an empty result.
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -33,19 +35,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the document with the largest doc_id stays; of rows that
     repeat it, one. A row without doc_id stays."""
-    found = written(exact.exact_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id", "keep_id"))
-    gone = found.where("doc_id <> keep_id").select(F.col("doc_id").alias("_gone"))
-    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    if found.where("doc_id = keep_id").isEmpty():
-        return left
-    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
+    found = written(exact.exact_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id", "keep_id", "text_sha256"))
+    gone = found.where("doc_id <> keep_id").select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_gone_text"))
+    lowered = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    named = docs.withColumn("_digest", F.sha2(lowered, 256))
+    left = named.join(gone, (named["doc_id"] == gone["_gone"]) & (named["_digest"] == gone["_gone_text"]), "left_anti")
+    if not found.where("doc_id = keep_id").isEmpty():
+        left = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "_digest"]).unionByName(left.where("doc_id IS NULL"))
+    return left.drop("_digest")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by a Jaccard similarity of 0.8 or more on five-word
     shingles, the one with the smallest doc_id stays. A row without doc_id stays."""
-    gone = jaccard.jaccard_join(docs, n=5, num=80, den=100).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = (jaccard.jaccard_join(docs, n=5, num=80, den=100, keep_row=True).where("component_id <> doc_id")
+            .select(F.col("doc_id").alias("_gone"), F.col("row").alias("_gone_row")))
+    row = jaccard.row_hash(docs["doc_id"], docs["text"])
+    return docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (row == gone["_gone_row"]), "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

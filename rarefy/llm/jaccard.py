@@ -303,12 +303,18 @@ def _blocking(nodes: DataFrame, num: int, den: int, cold: int, bucket_grams: int
     return links.unionByName(edges.join(crowded.withColumnRenamed("node", "a").unionByName(firsts), "a", "left_semi"))
 
 
+def row_hash(doc_id, text):
+    """What tells rows of one doc_id and different texts apart."""
+    return F.xxhash64(doc_id.cast("long"), text.cast("string"))
+
+
 def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                  text_col: str = "text", block_rows: int = 1500, cold: int = 16,
-                 bucket_grams: int = 1_000_000, sample_rows: int = 8000) -> DataFrame:
+                 bucket_grams: int = 1_000_000, sample_rows: int = 8000, keep_row: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest doc_id reachable by
-    links, itself included), n_links (documents it links with, copies included)."""
-    d = documents(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
+    links, itself included), n_links (documents it links with, copies included), with
+    ``keep_row`` also row (see row_hash)."""
+    d = documents(docs, id_col, text_col).withColumn("row", row_hash(F.col("doc_id"), F.col("text")))
 
     shared = d.sparkSession.sparkContext.broadcast(common_grams(d, n, sample_rows))
 
@@ -386,6 +392,6 @@ def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_
                        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     named = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = classes.join(named, "root").select("node", "component_id", "n_links")
-    return (rows.select("doc_id", "size", "node").join(found, "node", "left")
-            .select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    return (rows.select("doc_id", "row", "size", "node").join(found, "node", "left")
+            .select("doc_id", *["row"] * keep_row, F.col("size").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))

@@ -59,3 +59,17 @@ def test_pii_bare_at_and_long_local_parts():
         assert not base and found == [("email", len(before), len(before + address))]
     for text in ("meet at example.com", "contact us at example.com", "in 2019 at example.com", "v1.2 ran at node.js", "He left.At noon.It rained", "see me.They at noon.It"):
         assert pii.spans(text)[1] == []
+
+
+def test_pipeline_dedup_of_rows_that_share_an_id(spark):
+    """A copy goes alone, not with the other texts of its doc_id; a repeated row elsewhere changes nothing."""
+    import corpus_pipeline
+    words = [f"w{k}" for k in range(60)]
+    own, near = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(1, "Copy of a text"), (2, "copy OF a text"), (1, "unique"), (1, ""), (3, "Twice"), (3, "tWice"), (3, None), (None, "x"), (None, "x")]
+    docs = lambda x: spark.createDataFrame(x, "doc_id long, text string")
+    left = [(r["doc_id"], (r["text"] or "").lower()) for r in corpus_pipeline.exact_dedup(spark, docs(rows), "").collect()]
+    assert sorted(left, key=repr) == sorted([(2, "copy of a text"), (1, "unique"), (3, "twice"), (3, ""), (None, "x"), (None, "x")], key=repr)
+    rows = [(4, own), (5, near), (5, "a text that stands on its own with words of no other document"), (6, "short")]
+    left = corpus_pipeline.near_dedup(spark, docs(rows), "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == sorted(r for r in rows if r[1] != near)
