@@ -7,7 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, collocations, decontaminate, exact, fm_dedup, jaccard, langid, pii, quality, suffix_dedup, warc
+from . import bpe, collocations, decontaminate, dualtree, exact, fm_dedup, jaccard, langid, pii, quality, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,10 +90,14 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dualtree.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_byte_bpe, op4_warc_revisits, op5_quality_classifier, op6_decontamination, op7_exact_dedup,
-                                   op8_pii, op9_language_id, op10_ngram_jaccard, op12_collocations)}
-ORACLES = {"op4_warc_revisits": warc.ORACLE, "op7_exact_dedup": exact.ORACLE, "op12_collocations": collocations.ORACLE}
+                                   op8_pii, op9_language_id, op10_ngram_jaccard, op11_ranked_search, op12_collocations)}
+ORACLES = {"op4_warc_revisits": warc.ORACLE, "op7_exact_dedup": exact.ORACLE, "op11_ranked_search": dualtree.ORACLE, "op12_collocations": collocations.ORACLE}
