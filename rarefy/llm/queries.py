@@ -7,7 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, collocations, decontaminate, dualtree, exact, fm_dedup, jaccard, langid, pii, quality, suffix_dedup, warc
+from . import bpe, collocations, decontaminate, dualtree, exact, fm_dedup, jaccard, langid, pii, quality, rpforest, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rpforest.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_byte_bpe, op4_warc_revisits, op5_quality_classifier, op6_decontamination, op7_exact_dedup,
-                                   op8_pii, op9_language_id, op10_ngram_jaccard, op11_ranked_search, op12_collocations)}
-ORACLES = {"op4_warc_revisits": warc.ORACLE, "op7_exact_dedup": exact.ORACLE, "op11_ranked_search": dualtree.ORACLE, "op12_collocations": collocations.ORACLE}
+                                   op8_pii, op9_language_id, op10_ngram_jaccard, op11_ranked_search, op12_collocations, op13_embedding_dedup)}
+ORACLES = {"op4_warc_revisits": warc.ORACLE, "op7_exact_dedup": exact.ORACLE, "op11_ranked_search": dualtree.ORACLE, "op12_collocations": collocations.ORACLE,
+           "op13_embedding_dedup": rpforest.ORACLE}
