@@ -56,28 +56,27 @@ def top_n_by(df: DataFrame, key: str, n: int, id_col: str = "row_id",
 DRAW_BLOCK = 100_000
 
 
-def _draws(ranked: DataFrame, m, id_col: str) -> DataFrame:
-    """(row_id, _rank, j) for j in [0, m): one row may own millions of draws
+def _draws(ranked: DataFrame, m, id_col: str, features) -> DataFrame:
+    """(row_id, _rank, features, j) for j in [0, m): one row may own millions of draws
     (tiny minority, huge majority), so the expansion is cut into blocks of at
     most DRAW_BLOCK draws that are hash-partitioned before being exploded."""
-    d = ranked.select(id_col, "_rank", m.cast("long").alias("_m")).where(F.col("_m") > 0)
+    d = ranked.select(id_col, "_rank", *features, m.cast("long").alias("_m")).where(F.col("_m") > 0)
     nblk = F.ceil(F.col("_m") / F.lit(DRAW_BLOCK)).cast("long")
-    blocks = d.select(id_col, "_rank", "_m", F.explode(F.sequence(F.lit(0).cast("long"), nblk - 1)).alias("_blk"))
+    blocks = d.select(id_col, "_rank", *features, "_m", F.explode(F.sequence(F.lit(0).cast("long"), nblk - 1)).alias("_blk"))
     blocks = blocks.repartition(id_col, "_blk")
     lo = F.col("_blk") * F.lit(DRAW_BLOCK)
     hi = F.least(lo + F.lit(DRAW_BLOCK), F.col("_m")) - 1
-    return blocks.select(id_col, "_rank", F.explode(F.sequence(lo, hi)).alias("j"))
+    return blocks.select(id_col, "_rank", *features, F.explode(F.sequence(lo, hi)).alias("j"))
 
 
 def _synthesize(base: DataFrame, draws: DataFrame, nbrs: DataFrame, features, label: str,
                 cls, k_eff: int, seed: int, n_min: int, id_col: str) -> DataFrame:
-    """draws: (row_id, _rank, j). Pick neighbour and gap by hash; interpolate."""
+    """draws: (row_id, _rank, features, j). Pick neighbour and gap by hash; interpolate."""
     key = F.concat_ws(":", F.col(id_col).cast("string"), F.col("j").cast("string"))
     d = draws.withColumn("_pick", (F.pmod(uniform_hash(key, seed, "nn"), F.lit(k_eff)) + 1).cast("int")) \
         .withColumn("_gap", unit_uniform(key, seed, "gap"))
     d = d.join(nbrs.select(F.col("q_id").alias(id_col), F.col("rank").alias("_pick"), "r_v"),
                on=[id_col, "_pick"])
-    d = d.join(base.select(id_col, *features), on=id_col)
     new = [(F.col(f) + F.col("_gap") * (F.col("r_v")[i] - F.col(f))).alias(f)
            for i, f in enumerate(features)]
     sid = (-(F.lit(1) + F.col("_rank") + F.lit(n_min) * F.col("j"))).cast("long").alias(id_col)
@@ -107,7 +106,7 @@ def smote(df: DataFrame, features, label: str = "Class", k: int = 5, seed: int =
                        [], "_h", id_col, "_rank", n_rows=n_min)
     per, extra = divmod(n_new, n_min)
     m = F.lit(per) + (F.col("_rank") < F.lit(extra)).cast("int")
-    draws = _draws(ranked, m, id_col)
+    draws = _draws(ranked, m, id_col, features)
     syn = _synthesize(base, draws, nbrs, features, label, mino, k_eff, seed, n_min, id_col)
     return base.unionByName(syn)
 
@@ -122,10 +121,12 @@ def adasyn(df: DataFrame, features, label: str = "Class", k: int = 5, seed: int
     strategy = 1.0 if sampling_strategy is None else sampling_strategy
     n_min = counts[mino]
     n_new = int(strategy * counts[majo]) - n_min
+    # rows with a null feature stay but seed nothing
+    minority = base.where(F.col(label) == F.lit(mino)).dropna(subset=list(features))
+    n_min = minority.count()
     k_eff = min(k, n_min - 1)
     if n_new <= 0 or k_eff < 1:
         return base
-    minority = base.where(F.col(label) == F.lit(mino))
     around = knn_join(minority, base, features, k, id_col, ref_cols=[label], exclude_self=True, **knn_kw)
     # majority share among the k neighbours, normalised over all minority rows:
     # kept as integer counts so the normalisation is exact
@@ -138,12 +139,10 @@ def adasyn(df: DataFrame, features, label: str = "Class", k: int = 5, seed: int
                      .cast("long").alias("_m"))
     ranked = hash_rank(minority.withColumn("_h", uniform_hash(id_col, seed, "adasyn")),
                        [], "_h", id_col, "_rank", n_rows=n_min).join(gen, on=id_col)
-    draws = _draws(ranked, F.col("_m"), id_col)
+    draws = _draws(ranked, F.col("_m"), id_col, features)
     nbrs = knn_join(minority, minority, features, k_eff, id_col, exclude_self=True,
                     with_vectors=True, **knn_kw)
-    # per-row draws can exceed n_min; ids stay unique through the (rank, j) pair
-    n_mult = n_new + n_min
-    syn = _synthesize(base, draws, nbrs, features, label, mino, k_eff, seed, n_mult, id_col)
+    syn = _synthesize(base, draws, nbrs, features, label, mino, k_eff, seed, n_min, id_col)
     return base.unionByName(syn)
 
 
@@ -174,10 +173,9 @@ def tomek_pairs(df: DataFrame, features, label: str = "Class", id_col: str = "ro
     base = df.select(id_col, *features, label)
     nn = knn_join(base, base, features, 1, id_col, ref_cols=[label], exclude_self=True, **knn_kw) \
         .select("q_id", "r_id", F.col(label).alias("_rl"))
-    lab = base.select(F.col(id_col).alias("q_id"), F.col(label).alias("_ql"))
-    a = nn.join(lab, on="q_id")
-    b = nn.select(F.col("q_id").alias("r_id"), F.col("r_id").alias("q_id"))
-    links = a.join(b, on=["q_id", "r_id"]).where(F.col("_ql") != F.col("_rl"))
+    # of a mutual pair, each row's label is its neighbour's neighbour label
+    back = nn.select(F.col("q_id").alias("r_id"), F.col("r_id").alias("q_id"), F.col("_rl").alias("_ql"))
+    links = nn.join(back, on=["q_id", "r_id"]).where(F.col("_ql") != F.col("_rl"))
     return links.select(F.col("q_id").alias(id_col), F.col("_ql").alias(label))
 
 
@@ -197,15 +195,13 @@ def enn(df: DataFrame, features, label: str = "Class", k: int = 3, strategy: str
     """Edited nearest neighbours ('all' rule): drop rows whose k neighbours are
     not all of their own class (only non-minority classes under 'auto')."""
     base = df.select(id_col, *features, label)
-    nn = knn_join(base, base, features, k, id_col, ref_cols=[label], exclude_self=True, **knn_kw) \
-        .select(F.col("q_id").alias(id_col), F.col(label).alias("_nl"))
-    j = nn.join(base.select(id_col, label), on=id_col)
-    bad = j.groupBy(id_col, label).agg(F.count_if(F.col("_nl") != F.col(label)).alias("_x")) \
-        .where(F.col("_x") > 0)
+    nn = knn_join(base, base, features, k, id_col, ref_cols=[label], exclude_self=True, **knn_kw)
+    around = nn.groupBy(F.col("q_id").alias(id_col)).agg(F.min(label).alias("_least"), F.max(label).alias("_most"))
+    keep = F.col("_least").isNull() | ((F.col("_least") == F.col(label)) & (F.col("_most") == F.col(label))) | F.col(label).isNull()
     if strategy == "auto":
         mino, _ = _minority_majority(class_counts(base, label))
-        bad = bad.where(F.col(label) != F.lit(mino))
-    return base.join(bad.select(id_col), on=id_col, how="left_anti")
+        keep = keep | (F.col(label) == F.lit(mino))
+    return base.join(around, on=id_col, how="left").where(keep).drop("_least", "_most")
 
 
 def smote_tomek(df, features, label="Class", seed=42, sampling_strategy=None, id_col="row_id", **kw):

@@ -103,7 +103,7 @@ def build_resample() -> dict:
                         "tot AS (SELECT sum(c) AS t FROM cn)",
                         "gen AS (SELECT q AS row_id, CAST(round_even(CAST(c AS DOUBLE) * CAST(n_new AS DOUBLE) / CAST(t AS DOUBLE), 0) AS BIGINT) AS g FROM cn, tot, prm)",
                         "dr AS (SELECT rk.*, unnest(range(g)) AS j FROM rk JOIN gen USING (row_id) WHERE g > 0)",
-                        _synth("(n_new + nmin)"),
+                        _synth("nmin"),
                         body='SELECT row_id, "Time_Hours", "Amount", "Class" FROM tx UNION ALL SELECT * FROM syn')
     return s
 

@@ -29,16 +29,16 @@ def _brute(X, ids, k, exclude_self):
     return out
 
 
-@pytest.mark.parametrize("cell_size,chunk", [(10_000, 4096), (40, 32)])
-def test_knn_matches_bruteforce_with_ties(spark, cell_size, chunk):
+@pytest.mark.parametrize("leaf_rows,fit_levels,group_rows", [(10_000, 8, 4096), (20, 2, 16)])
+def test_knn_matches_bruteforce_with_ties(spark, leaf_rows, fit_levels, group_rows):
     rng = np.random.default_rng(5)
     X = np.round(rng.normal(0, 1, (400, 3)), 1)       # coarse grid: many distance ties
     X[:60] = X[0]                                      # a block of identical points
     ids = np.arange(400) * 7 + 3
     pdf = pd.DataFrame(X, columns=["a", "b", "c"]).assign(row_id=ids)
     df = spark.createDataFrame(pdf)
-    got = knn_join(df, df, ["a", "b", "c"], 4, exclude_self=True, cell_size=cell_size,
-                   chunk=chunk).toPandas()
+    got = knn_join(df, df, ["a", "b", "c"], 4, exclude_self=True, leaf_rows=leaf_rows,
+                   fit_levels=fit_levels, fit_rows=100, group_rows=group_rows).toPandas()
     got = got.sort_values(["q_id", "rank"]).groupby("q_id").r_id.apply(list).to_dict()
     want = _brute(X, ids, 4, True)
     assert got == want
@@ -49,7 +49,7 @@ def test_knn_query_and_reference_differ(spark):
     Q, R = rng.random((50, 2)), rng.random((300, 2))
     qdf = spark.createDataFrame(pd.DataFrame(Q, columns=["x", "y"]).assign(row_id=np.arange(50)))
     rdf = spark.createDataFrame(pd.DataFrame(R, columns=["x", "y"]).assign(row_id=np.arange(1000, 1300)))
-    got = knn_join(qdf, rdf, ["x", "y"], 3, cell_size=20, chunk=16).toPandas()
+    got = knn_join(qdf, rdf, ["x", "y"], 3, leaf_rows=20).toPandas()
     D = np.sqrt(_sq(Q, R))
     for q, g in got.groupby("q_id"):
         want = list(1000 + np.lexsort((np.arange(300), D[q]))[:3])
