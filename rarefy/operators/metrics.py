@@ -3,7 +3,7 @@
 Threshold metrics are conditional sums in one pass. ROC-AUC is the
 tie-aware rank sum and average precision the step-wise sum over distinct
 thresholds; both first group rows by score (ties collapse map-side), then
-take running sums with ``ordered_cumsum`` (no single-partition window).
+take running sums with ``running_sums`` (no single-partition window).
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import ordered_cumsum
+from .ranking import running_sums
 
 
 def _counts(df: DataFrame, label: str, pred: str):
@@ -59,9 +59,8 @@ def _rank_metrics(tbl: DataFrame) -> DataFrame:
     Descending inclusive counts follow from the ascending ones:
     cum_desc(x) = total - cum_asc(x) + own(x).
     """
-    s = ordered_cumsum(tbl, "score", ["pos", "neg"], ascending=True)
-    tot = tbl.agg(F.sum("pos").cast("double").alias("P"), F.sum("neg").cast("double").alias("N")).first()
-    P, N = tot["P"] or 0.0, tot["N"] or 0.0
+    s, total = running_sums(tbl, "score", ["pos", "neg"])
+    P, N = float(total["pos"]), float(total["neg"])
     cpos_d = F.lit(P) - F.col("cum_pos") + F.col("pos")
     cneg_d = F.lit(N) - F.col("cum_neg") + F.col("neg")
     agg = s.agg(
@@ -117,11 +116,7 @@ def evaluate(df: DataFrame, label: str = "label", score: str = "score",
              pred: str = "prediction") -> DataFrame:
     """All metrics of a scored table in one row."""
     t = threshold_metrics(df, label, pred).first()
-    tbl = score_table(df, label, score).withColumnRenamed(score, "score").persist()
-    try:
-        r = _rank_metrics(tbl).first()
-    finally:
-        tbl.unpersist()
+    r = _rank_metrics(score_table(df, label, score).withColumnRenamed(score, "score")).first()
     auc, ap = r["roc_auc"], r["average_precision"]
     return df.sparkSession.createDataFrame(
         [(auc, ap, t["accuracy"], t["precision"], t["recall"], t["f1"], t["mcc"])],

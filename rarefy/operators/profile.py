@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .moments import co_moments, correlations
 from .quantiles import exact_quantiles
 
 
@@ -73,16 +74,10 @@ def class_distribution(df: DataFrame, label: str = "Class") -> DataFrame:
 
 
 def corr_pairs(df: DataFrame, cols) -> DataFrame:
-    """Pearson correlation of every pair i > j (lower triangle) in one pass."""
+    """Pearson correlation of every pair i > j (lower triangle) in one aggregate; null where it isn't defined."""
     cols = list(cols)
-    aggs, names = [], []
-    for i in range(len(cols)):
-        for j in range(i):
-            nm = f"{i}__{j}"
-            aggs.append(F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(nm))
-            names.append((nm, cols[i], cols[j]))
-    row = df.agg(*aggs).first()
-    data = [(a, b, row[nm]) for nm, a, b in names]
+    r = correlations(co_moments(df, cols))
+    data = [(cols[i], cols[j], None if math.isnan(r[i, j]) else float(r[i, j])) for i in range(len(cols)) for j in range(i)]
     return df.sparkSession.createDataFrame(data, "feature_a string, feature_b string, corr double")
 
 
@@ -122,25 +117,17 @@ def density_by_class(df: DataFrame, cols, label: str = "Class", bins: int = 50)
                                             F.stddev_samp("x").alias("sd"))
     hist = t.groupBy("feature", label, "bin", "lo", "hi").agg(F.count("*").alias("n"))
     center = lambda i: F.col("lo") + (i.cast("double") + F.lit(0.5)) * (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    # per (feature, class): at most `bins` (centre, count) pairs
-    per = (hist.withColumn("c", center(F.col("bin")))
-           .groupBy("feature", label, "lo", "hi")
-           .agg(F.array_sort(F.collect_list(F.struct("bin", "n", "c"))).alias("h"))
-           .join(stats, on=["feature", label]))
-    bw = F.col("sd") * F.pow(F.col("n_class").cast("double"), F.lit(-0.2))
-    out = per.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))) \
-        .withColumn("bw", bw) \
-        .withColumn("x", center(F.col("bin")))
-
-    def term(acc, s_):
-        z = (F.col("x") - s_["c"]) / F.col("bw")
-        return acc + s_["n"].cast("double") * F.exp(F.lit(-0.5) * (z * z))
-
-    kde = F.aggregate("h", F.lit(0.0), term)
+    # per (feature, class) at most bins x bins pairs of a filled bin and a bin of the grid
+    grid = (hist.select("feature", label, "lo", "hi").distinct().join(stats, on=["feature", label])
+            .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+            .withColumn("bw", F.col("sd") * F.pow(F.col("n_class").cast("double"), F.lit(-0.2))).withColumn("x", center(F.col("bin"))))
+    filled = hist.select("feature", label, F.col("bin").alias("_b"), F.col("n").alias("_n"), center(F.col("bin")).alias("_c"))
+    z = (F.col("x") - F.col("_c")) / F.col("bw")
+    out = (grid.join(filled, on=["feature", label]).groupBy("feature", label, "bin", "x", "bw", "n_class")
+           .agg(F.sum(F.col("_n").cast("double") * F.exp(F.lit(-0.5) * (z * z))).alias("kde"),
+                F.sum(F.when(F.col("_b") == F.col("bin"), F.col("_n")).otherwise(F.lit(0))).cast("long").alias("n")))
     norm = F.col("n_class").cast("double") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi))
-    nb = F.coalesce(F.element_at(F.map_from_arrays(F.col("h.bin"), F.col("h.n")), F.col("bin")), F.lit(0)).cast("long")
-    return out.select("feature", label, "bin", "x", nb.alias("n"),
-                      F.when(F.col("bw") > 0, kde / norm).alias("density"))
+    return out.select("feature", label, "bin", "x", "n", F.when(F.col("bw") > 0, F.col("kde") / norm).alias("density"))
 
 
 def box_stats(df: DataFrame, cols, label: str = "Class", approx: bool = False) -> DataFrame:

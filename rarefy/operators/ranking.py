@@ -6,11 +6,8 @@ aggregate (classes x 2^bits rows); their per-class running sums give each
 bucket's offset; the rank inside a bucket is a window over
 (class, bucket), i.e. many small partitions, never one per class.
 
-``ordered_cumsum``: running sums over a table ordered by any double key
-(the distinct-score table of AUC / AP). Range buckets come from
-approximate quantiles (their accuracy only affects balance, not
-correctness); per-bucket totals are collected (bounded by the bucket
-count) and turned into offsets; inside a bucket a window does the rest.
+``running_sums``: running sums over a table ordered by any key (the
+distinct-score table of AUC / AP), range-partitioned by Spark.
 """
 
 from __future__ import annotations
@@ -21,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import HASH_BITS
+from ..session import cut_lineage
 
 
 def _bucket_bits(n_rows: int, rows_per_bucket: int = 2000, max_bits: int = 20) -> int:
@@ -49,49 +47,36 @@ def hash_rank(df: DataFrame, part_cols, h_col: str, tie_col: str,
             .drop("_hb", "_off"))
 
 
-def ordered_cumsum(df: DataFrame, order_col: str, sum_cols, ascending: bool = True,
-                   n_buckets: int | None = None, prefix: str = "cum_",
-                   rows_per_bucket: int = 1_000_000, max_buckets: int = 65_536) -> DataFrame:
-    """Inclusive running sums of ``sum_cols`` in ``order_col`` order.
+def running_sums(df: DataFrame, order_col: str, sum_cols, ascending: bool = True, prefix: str = "cum_",
+                 n_parts: int | None = None, part_rows: int = 1_000_000) -> tuple[DataFrame, dict]:
+    """Inclusive running sums of ``sum_cols`` in ``order_col`` order, and the whole sums.
 
-    ``order_col`` must be distinct per row (aggregate ties first). Range
-    buckets are sized from the row count (about ``rows_per_bucket`` rows
-    each), their totals (one row per bucket, bounded) become offsets that
-    join back as a broadcast, and a window inside each bucket adds the rest.
+    ``order_col`` must be distinct per row (aggregate ties first). The rows are
+    range-partitioned once and written; the totals of the partitions (one row each)
+    become offsets, and a window inside each partition adds the rest. ``df`` is
+    computed once.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    sum_cols = list(sum_cols)
-    spark = df.sparkSession
-    if n_buckets is None:
-        n = df.count()
-        n_buckets = max(16, min(max_buckets, int(math.ceil(n / rows_per_bucket))))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = sorted(set(e for e in df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets))
-                       if e is not None and not math.isnan(e)))
-    splits = [-math.inf] + edges + [math.inf]
-    d = df.withColumn("_k", F.col(order_col).cast("double"))
-    d = Bucketizer(splits=splits, inputCol="_k", outputCol="_bd",
-                   handleInvalid="keep").transform(d)
-    d = d.withColumn("_b", F.col("_bd").cast("int")).drop("_bd", "_k")
-    tot = {r["_b"]: r for r in d.groupBy("_b").agg(
-        *[F.sum(c).alias(c) for c in sum_cols]).collect()}  # one row per bucket
-    nb = len(splits)  # includes the NaN bucket index len(splits)-1
-    order = range(nb) if ascending else range(nb - 1, -1, -1)
-    run = {c: 0 for c in sum_cols}
-    rows = []
-    for b in order:
-        rows.append((b, *[run[c] for c in sum_cols]))
-        for c in sum_cols:
-            if b in tot and tot[b][c] is not None:
-                run[c] += tot[b][c]
-    typ = {c: ("long" if all(isinstance(r[i + 1], int) for r in rows) else "double")
-           for i, c in enumerate(sum_cols)}
-    rows = [(r[0], *[(v if typ[c] == "long" else float(v)) for c, v in zip(sum_cols, r[1:])]) for r in rows]
-    offs = spark.createDataFrame(rows, "_b int, " + ", ".join(f"_o_{c} {typ[c]}" for c in sum_cols))
-    ob = F.col(order_col).asc() if ascending else F.col(order_col).desc()
-    w = Window.partitionBy("_b").orderBy(ob).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.join(F.broadcast(offs), on="_b")  # <= max_buckets + 2 rows
+    sum_cols, spark = list(sum_cols), df.sparkSession
+    held = df.persist()
+    n = held.count()
+    parts = n_parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // part_rows))
+    order = F.col(order_col).asc() if ascending else F.col(order_col).desc()
+    ranged = cut_lineage(held.repartitionByRange(parts, order).withColumn("_b", F.spark_partition_id()))
+    held.unpersist()
+    run, rows = [0] * len(sum_cols), []
+    for r in ranged.groupBy("_b").agg(*[F.sum(c).alias(c) for c in sum_cols]).orderBy("_b").collect():
+        rows.append((r["_b"], *run))
+        run = [a + (r[c] or 0) for a, c in zip(run, sum_cols)]
+    kinds = [ranged.select(F.sum(c)).dtypes[0][1] for c in sum_cols]
+    rows = [(r[0], *[float(v) if k == "double" else v for v, k in zip(r[1:], kinds)]) for r in rows]
+    offsets = spark.createDataFrame(rows, "_b int, " + ", ".join(f"_o_{c} {k}" for c, k in zip(sum_cols, kinds)))
+    w = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.join(F.broadcast(offsets), on="_b")  # one row per partition
     for c in sum_cols:
-        d = d.withColumn(prefix + c, F.col(f"_o_{c}") + F.sum(c).over(w))
-    return d.drop("_b", *[f"_o_{c}" for c in sum_cols])
+        out = out.withColumn(prefix + c, F.col(f"_o_{c}") + F.sum(c).over(w))
+    return out.drop("_b", *[f"_o_{c}" for c in sum_cols]), dict(zip(sum_cols, run))
+
+
+def ordered_cumsum(df: DataFrame, order_col: str, sum_cols, ascending: bool = True, **kw) -> DataFrame:
+    """The running sums of ``running_sums`` alone."""
+    return running_sums(df, order_col, sum_cols, ascending, **kw)[0]

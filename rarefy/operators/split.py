@@ -1,8 +1,10 @@
 """Stratified / random splits, k folds and random under-sampling.
 
-All randomness is ``md5(row_id:seed)``; the cut per class is an exact
-rank (see ``ranking.hash_rank``) so every class gets exactly
-``ceil(fraction * n_class)`` test rows, without a per-class window.
+All randomness is ``md5(row_id:seed)``. A class is cut at the exact order
+statistic of its hashes (histogram narrowing, see ``quantiles``), so it gets
+exactly the wanted number of rows, and applying the cuts is a projection:
+rows never move. Rows with one id, or of ids with one 60-bit hash, stay on one
+side; rows without a class are train rows, in fold k - 1, and not sampled.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import uniform_hash
-from .ranking import hash_rank
+from .quantiles import values_at
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
@@ -28,13 +30,23 @@ def _by_class(label: str, values: dict, default=0):
     return F.coalesce(F.element_at(m, F.col(label)), F.lit(default))
 
 
-def _ranked(df: DataFrame, label: str | None, seed: int, id_col: str, salt: str = ""):
-    d = df.withColumn("_h", uniform_hash(id_col, seed, salt))
-    if label is None:
-        n = d.count()
-        return hash_rank(d, [], "_h", id_col, "_rank", n_rows=n), {None: n}
-    counts = class_counts(d, label)
-    return hash_rank(d, [label], "_h", id_col, "_rank", n_rows=sum(counts.values())), counts
+def _cuts(df: DataFrame, label: str | None, seed: int, salt: str, id_col: str, sizes: dict) -> tuple:
+    """(hash column, {class: hashes}): for each class, the largest hash among its first ``size`` rows in hash
+    order, -1 for none. Without a label the one class is None."""
+    h = uniform_hash(id_col, seed, salt)
+    by = [] if label is None else [label]
+    wants = {(() if label is None else (c,)): [n - 1 for n in s] for c, s in sizes.items() if label is None or c is not None}
+    found = values_at(df.select(*by, h.alias("_h")), "_h", wants, by)
+    return h, {(g[0] if g else None): [-1 if v is None else v for v in vals] for g, vals in found.items()}
+
+
+def _at(label: str | None, cuts: dict, i: int):
+    """The i-th cut of a row's class (-1 for a null class)."""
+    return F.lit(cuts[None][i]) if label is None else _by_class(label, {c: v[i] for c, v in cuts.items()}, -1)
+
+
+def _sizes(df: DataFrame, label: str | None) -> dict:
+    return {None: df.count()} if label is None else class_counts(df, label)
 
 
 def split_data(df: DataFrame, label: str = "Class", test_size: float = 0.2,
@@ -46,33 +58,36 @@ def split_data(df: DataFrame, label: str = "Class", test_size: float = 0.2,
     with ``val_size > 0`` the next ``ceil(val_size / (1 - test_size) * rest)``
     are validation.
     """
-    d, counts = _ranked(df, label if stratify else None, seed, id_col)
-    k_test = {c: math.ceil(test_size * n) for c, n in counts.items()}
+    by = label if stratify else None
+    counts = _sizes(df, by)
     val_adj = val_size / (1 - test_size) if val_size > 0 else 0.0
-    k_val = {c: (math.ceil(val_adj * (n - k_test[c])) if val_size > 0 else 0)
-             for c, n in counts.items()}
-    if stratify:
-        kt, kv = _by_class(label, k_test), _by_class(label, k_val)
-    else:
-        kt, kv = F.lit(k_test[None]), F.lit(k_val[None])
-    split = F.when(F.col("_rank") < kt, F.lit("test")) \
-        .when(F.col("_rank") < kt + kv, F.lit("val")).otherwise(F.lit("train"))
-    return d.withColumn("split", split).drop("_h", "_rank")
+    sizes = {}
+    for c, n in counts.items():
+        test = math.ceil(test_size * n)
+        sizes[c] = [test, test + (math.ceil(val_adj * (n - test)) if val_size > 0 else 0)]
+    h, cuts = _cuts(df, by, seed, "", id_col, sizes)
+    split = F.when(h <= _at(by, cuts, 0), F.lit("test")).when(h <= _at(by, cuts, 1), F.lit("val")).otherwise(F.lit("train"))
+    return df.withColumn("split", split)
 
 
 def stratified_kfold(df: DataFrame, label: str = "Class", k: int = 5, seed: int = 42,
                      id_col: str = "row_id") -> DataFrame:
-    """Add ``fold`` = (rank in class by hash) mod k: shuffled, class-balanced folds."""
-    d, _ = _ranked(df, label, seed, id_col, salt="fold")
-    return d.withColumn("fold", F.pmod(F.col("_rank"), F.lit(k)).cast("int")).drop("_h", "_rank")
+    """Add ``fold``: each class in hash order is cut into k parts, the first ``n mod k`` one row larger."""
+    counts = _sizes(df, label)
+    ends = {c: [(f + 1) * (n // k) + min(f + 1, n % k) for f in range(k - 1)] for c, n in counts.items()}
+    h, cuts = _cuts(df, label, seed, "fold", id_col, ends)
+    fold = sum(((h > _at(label, cuts, f)).cast("int") for f in range(k - 1)), F.lit(0))
+    return df.withColumn("fold", fold)
 
 
 def random_under(df: DataFrame, label: str = "Class", seed: int = 42,
                  sampling_strategy: float | None = None, id_col: str = "row_id") -> DataFrame:
     """Keep all minority rows and ``int(n_min / strategy)`` rows of every other class."""
     strategy = 1.0 if sampling_strategy is None else sampling_strategy
-    d, counts = _ranked(df, label, seed, id_col, salt="under")
+    counts = {c: n for c, n in class_counts(df, label).items() if c is not None}
+    if not counts:
+        return df.limit(0)
     n_min = min(counts.values())
     minority = min((c for c in counts), key=lambda c: (counts[c], c))
-    keep = {c: (n if c == minority else min(n, int(n_min / strategy))) for c, n in counts.items()}
-    return d.where(F.col("_rank") < _by_class(label, keep)).drop("_h", "_rank")
+    h, cuts = _cuts(df, label, seed, "under", id_col, {c: [n if c == minority else min(n, int(n_min / strategy))] for c, n in counts.items()})
+    return df.where(h <= _at(label, cuts, 0))

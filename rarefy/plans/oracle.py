@@ -352,7 +352,9 @@ def build() -> dict:
     s["stratified_split"] = with_(TX_EVENTS, _split_sql(VAL_SIZE), body='SELECT row_id, "Class", split FROM sp')
     s["random_split"] = with_(TX_EVENTS, _split_sql(0.0, stratify=False), body="SELECT row_id, split FROM sp")
     s["stratified_kfold"] = with_(TX_EVENTS, f"h AS (SELECT *, {md5_hash('row_id', SPLIT_SEED, 'fold')} AS h FROM tx_events)",
-                                  body='SELECT row_id, "Class", CAST((row_number() OVER (PARTITION BY "Class" ORDER BY h, row_id) - 1) % 5 AS INTEGER) AS fold FROM h')
+                                  "r AS (SELECT *, row_number() OVER (PARTITION BY \"Class\" ORDER BY h, row_id) - 1 AS rk, count(*) OVER (PARTITION BY \"Class\") AS n FROM h)",
+                                  body='SELECT row_id, "Class", CAST(CASE WHEN rk < (n // 5 + 1) * (n % 5) THEN rk // (n // 5 + 1) '
+                                       'ELSE n % 5 + (rk - (n // 5 + 1) * (n % 5)) // (n // 5) END AS INTEGER) AS fold FROM r')
     base_split = _split_sql(0.0)
     std_fit = ('fit AS (SELECT avg("Time") AS mt, stddev_pop("Time") AS st, avg("Amount") AS ma, stddev_pop("Amount") AS sa '
                "FROM sp WHERE split = 'train')")

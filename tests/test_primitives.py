@@ -63,7 +63,7 @@ def test_ordered_cumsum(spark):
     v = rng.integers(0, 5, 3000)
     df = spark.createDataFrame(pd.DataFrame({"k": k, "v": v}))
     for asc in (True, False):
-        got = ordered_cumsum(df, "k", ["v"], ascending=asc, n_buckets=16).toPandas()
+        got = ordered_cumsum(df, "k", ["v"], ascending=asc, n_parts=16).toPandas()
         ref = pd.DataFrame({"k": k, "v": v}).sort_values("k", ascending=asc)
         ref["cum_v"] = ref["v"].cumsum()
         a = got.set_index("k")["cum_v"].sort_index()
