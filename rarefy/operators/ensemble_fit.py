@@ -1,31 +1,43 @@
 """Ensembles of fitted models: voting, stacking, bagging, weighted.
 
-Member scores are columns of one DataFrame (each member's ``transform``
-joined on ``row_id``); the combination is column arithmetic.
+Member scores are columns of one DataFrame; the combination is column arithmetic.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import unit_uniform
+from ..sources.tables import path_exists
 from .ensemble import hard_vote, soft_vote, weighted_vote
 from .metrics import class_report, confusion_matrix, evaluate
-from .models import PRESETS, FittedModel, SparkSessionRef, fit_model, weight_column
+from .models import PRESETS, FittedModel, SparkSessionRef, fit_model, load_model, weight_column
 from .split import stratified_kfold
 
 
+def _chains(model: FittedModel) -> bool:
+    """Whether a model's transform adds columns and keeps all others."""
+    return model.kind in ("lr", "rf", "gbt") and model.stage is None and not any(isinstance(s, SQLTransformer) for s in model.pipeline.stages)
+
+
 def member_scores(models: dict, df: DataFrame, label: str = "Class") -> DataFrame:
-    """row_id, label and one score column per member."""
-    out = df.select("row_id", F.col(label).alias("label"))
+    """row_id, label and one score column per member. Members that only add columns are one projection
+    after the other; the others (neighbours, their own scaling) are joined by row_id."""
+    out = df.withColumn("_label", F.col(label))
+    for name, m in models.items():
+        if _chains(m):
+            out = m.transform(out).withColumnRenamed("score", f"s_{name}").drop("prediction")
+    out = out.select("row_id", F.col("_label").alias("label"), *[f"s_{n}" for n, m in models.items() if _chains(m)])
     for name, m in models.items():
-        s = m.transform(df).select("row_id", F.col("score").alias(f"s_{name}"))
-        out = out.join(s, on="row_id")
-    return out
+        if not _chains(m):
+            out = out.join(m.transform(df).select("row_id", F.col("score").alias(f"s_{name}")), on="row_id")
+    return out.select("row_id", "label", *[f"s_{n}" for n in models])
 
 
 @dataclass
@@ -59,6 +71,18 @@ class Ensemble:
         ss.createDataFrame([(self.kind, k, float(v)) for k, v in (self.weights or {"": 0.0}).items()],
                            "kind string, member string, weight double") \
             .coalesce(1).write.mode("overwrite").json(os.path.join(path, "_weights"))
+        about = dict(kind=self.kind, voting=self.voting, members=list(self.members), weights=self.weights, meta=self.meta is not None)
+        ss.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.mode("overwrite").text(os.path.join(path, "_ensemble"))
+
+
+def load_ensemble(path: str) -> Ensemble:
+    """Restore a saved ensemble with its members, weights and meta model; a missing path raises FileNotFoundError."""
+    spark = SparkSessionRef.get()
+    if not path_exists(spark, os.path.join(path, "_ensemble")):
+        raise FileNotFoundError(f"no saved ensemble under {path}")
+    about = json.loads(spark.read.text(os.path.join(path, "_ensemble")).first()[0])
+    return Ensemble(about["kind"], {n: load_model(os.path.join(path, n)) for n in about["members"]}, about["weights"],
+                    load_model(os.path.join(path, "_meta")) if about["meta"] else None, about["voting"])
 
 
 def fit_members(names, train, features, label="Class", presets=None, parallelism: int = 4):

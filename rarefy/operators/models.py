@@ -46,6 +46,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC,  # noqa: E402
 from pyspark.ml.feature import SQLTransformer, VectorAssembler  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
+from .feature_stage import FeatureStage  # noqa: E402
 from .metrics import evaluate  # noqa: E402
 
 # Model presets. The four boosters map onto MLlib's GBT with
@@ -94,9 +95,12 @@ class FittedModel:
     pipeline: PipelineModel | None
     extra: dict = field(default_factory=dict)
     knn_train: DataFrame | None = None
+    stage: FeatureStage | None = None
 
     def transform(self, df: DataFrame, keep=("row_id",)) -> DataFrame:
-        """Add ``score`` (P(class 1), or decision value) and ``prediction``."""
+        """Add ``score`` (P(class 1), or decision value) and ``prediction``. A model with a feature stage takes raw rows."""
+        if self.stage is not None:
+            df = self.stage.transform(df)
         if self.kind == "knn":
             out = knn_classify(self.knn_train, df, self.features, self.label, self.extra["k"])
             return out.drop("label").join(df, on="row_id")
@@ -128,7 +132,7 @@ class FittedModel:
     def save(self, path: str):
         """One artefact directory: the PipelineModel (scaler stage included) + metadata."""
         meta = dict(name=self.name, kind=self.kind, features=self.features, label=self.label,
-                    extra=self.extra)
+                    extra=self.extra, stage=self.stage and self.stage.to_dict())
         if self.pipeline is not None:
             self.pipeline.write().overwrite().save(os.path.join(path, "pipeline"))
         if self.knn_train is not None:
@@ -160,7 +164,7 @@ def load_model(path: str) -> FittedModel:
     if meta["kind"] == "knn":
         knn = spark.read.parquet(os.path.join(path, "knn_train"))
     return FittedModel(meta["name"], meta["kind"], meta["features"], meta["label"], pipe,
-                       meta["extra"], knn)
+                       meta["extra"], knn, FeatureStage.from_dict(meta["stage"]) if meta.get("stage") else None)
 
 
 def rff_params(n_in: int, d_out: int, gamma: float, seed: int) -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
@@ -15,6 +16,7 @@ from ..operators import profile as P
 from ..operators import select as S
 from ..operators import split as SP
 from ..operators import tune as TU
+from ..operators.feature_stage import fit_stage
 from ..operators.resample import handle_imbalance
 from ..operators.scale import fit_scaler
 from ..session import checkpoint_dir, cut_lineage
@@ -96,13 +98,12 @@ def stacked(spark, sf):
 def lr_grid(spark, sf):
     md = model_data(spark, sf)
     return _memo(spark, sf, "lr_grid",
-                 lambda: TU.grid_search("LogisticRegression", LR_GRID, md.train, md.features))
+                 lambda: TU.grid_search("LogisticRegression", LR_GRID, md.train, md.features, known=lr_known(spark, sf)))
 
 
-def lr_adaptive(spark, sf):
-    md = model_data(spark, sf)
-    return _memo(spark, sf, "lr_adaptive",
-                 lambda: TU.adaptive_search("LogisticRegression", md.train, md.features, n_trials=8, batch=4))
+def lr_known(spark, sf):
+    """Scores of the classes of points that a search of this session has fitted (same rows, folds and seed)."""
+    return _memo(spark, sf, "lr_known", dict)
 
 
 class ModelData:
@@ -191,10 +192,21 @@ def q_train_many(spark, sf):
 
 
 def q_write_comparison(spark, sf):
+    """Comparison tables of models, ensembles and tuning as CSV, read back: rows, and whether they are the same."""
     md = model_data(spark, sf)
     out = work_dir(spark, "comparison")
-    MD.train_many(md.train, md.test, md.features, "Class", names=["LogisticRegression"], save_dir=out)
-    return spark.read.option("header", True).option("inferSchema", True).csv(os.path.join(out, "model_comparison"))
+    tables = {"models": MD.comparison_table(spark, trained(spark, sf, ENSEMBLE_MEMBERS)),
+              "ensembles": EF.compare_ensembles(ENSEMBLE_MEMBERS, md.train, md.test, md.features, "Class", ("voting", "weighted"), members=members(spark, sf)),
+              "tuning": lr_grid(spark, sf)[1].select("point", "rank", "mean_score")}
+    found = None
+    for name, table in tables.items():
+        path = os.path.join(out, f"{name}_comparison")
+        table.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+        back = spark.read.schema(table.schema).option("header", True).csv(path)
+        row = table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("comparison"), "n").crossJoin(  # one row by one row
+            table.exceptAll(back).unionByName(back.exceptAll(table)).agg((F.count(F.lit(1)) == 0).alias("same")))
+        found = row if found is None else found.unionByName(row)
+    return found
 
 
 def q_feature_importance(spark, sf):
@@ -204,78 +216,132 @@ def q_feature_importance(spark, sf):
 
 
 def _saved_model(spark, sf):
-    md = model_data(spark, sf)
-    path = work_dir(spark, "model")
-    MD.train_model("LogisticRegression", md.train, md.features, "Class", None, save_path=path,
-                   scaler_stage=md.scaler_stage)
-    return md, MD.load_model(path)
+    """(model data, the model as fitted, its path): scaler and classifier as one artefact."""
+    def make():
+        md = model_data(spark, sf)
+        path = work_dir(spark, "model")
+        r = MD.train_model("LogisticRegression", md.train, md.features, "Class", None, save_path=path, scaler_stage=md.scaler_stage)
+        return md, r.model, path
+    return _memo(spark, sf, "saved_model", make)
 
 
 def q_save_model(spark, sf):
-    """Fit and save (scaler stage + classifier in one PipelineModel); list the artefact."""
-    md = model_data(spark, sf)
-    path = work_dir(spark, "model")
-    r = MD.train_model("LogisticRegression", md.train, md.features, "Class", None, save_path=path,
-                       scaler_stage=md.scaler_stage)
-    stages = [type(s_).__name__ for s_ in r.model.pipeline.stages]
-    return spark.createDataFrame([(i, st) for i, st in enumerate(stages)], "position int, stage string")
+    """Fit and save (scaler stage + classifier in one PipelineModel); list the stages that were written."""
+    path = _saved_model(spark, sf)[2]
+    saved = spark.read.json(os.path.join(path, "pipeline", "stages", "*", "metadata")).select("class", F.col("_metadata.file_path").alias("file"))
+    return saved.select(F.regexp_extract("file", r"stages/(\d+)_", 1).cast("int").alias("position"), F.substring_index("class", ".", -1).alias("stage"))
 
 
 def q_load_model(spark, sf):
-    """Load the saved artefact and score raw (unscaled) test rows."""
-    md, m = _saved_model(spark, sf)
-    return m.transform(md.test_raw).select("row_id", "score", "prediction")
+    """Load the saved artefact and score unscaled test rows: does it agree with the model in memory."""
+    md, m, path = _saved_model(spark, sf)
+    return _agreement(m.transform(md.test_raw), MD.load_model(path).transform(md.test_raw))
 
 
 def q_save_scaler(spark, sf):
-    """Persist the fitted scaler alone as an MLlib stage, reload and apply it."""
+    """Persist the fitted scaler alone as an MLlib stage, reload and apply it: is each row as the fitted scaler gives it."""
     from pyspark.ml import PipelineModel
     md = model_data(spark, sf)
     path = work_dir(spark, "scaler")
     PipelineModel(stages=[md.scaler_stage]).write().overwrite().save(path)
-    return PipelineModel.load(path).transform(md.test_raw).select("row_id", *md.features)
+    loaded = PipelineModel.load(path).transform(md.test_raw).select("row_id", F.struct(*md.features).alias("_loaded"))
+    here = md.scaler.transform(md.test_raw).select("row_id", F.struct(*[F.col(c).cast("double") for c in md.features]).alias("_here"))
+    return here.join(loaded, "row_id", "full").select("row_id", F.coalesce(F.col("_here") == F.col("_loaded"), F.lit(False)).alias("agrees"))
+
+
+def _agreement(a, b, keys=("row_id",)):
+    """Rows of a with whether b gives the same score and prediction."""
+    other = b.select(*keys, F.col("score").alias("_score"), F.col("prediction").alias("_prediction"))
+    same = (F.abs(F.col("score") - F.col("_score")) < 1e-9) & (F.col("prediction") == F.col("_prediction"))
+    return a.join(other, list(keys), "full").select(*keys, F.coalesce(same, F.lit(False)).alias("agrees"))
 
 
 def q_save_weighted(spark, sf):
-    """Weighted ensemble saved as member models plus a weights table; read the weights back."""
+    """A weighted ensemble saved with members and weights, restored, and both scored: do they agree, row by row."""
     md = model_data(spark, sf)
-    e = EF.weighted(ENSEMBLE_MEMBERS, md.train, md.features, "Class", members=members(spark, sf))
+    e = EF.weighted(ENSEMBLE_MEMBERS, md.train, md.features, "Class", weights={n: float(i + 1) for i, n in enumerate(ENSEMBLE_MEMBERS)}, members=members(spark, sf))
     path = work_dir(spark, "weighted")
     e.save(path)
-    return spark.read.json(os.path.join(path, "_weights"))
+    return _agreement(e.transform(md.test), EF.load_ensemble(path).transform(md.test))
+
+
+def raw_model(spark, sf):
+    """One artefact that scores raw transactions: feature stage (fitted on the training rows) and classifier."""
+    def make():
+        d = SP.split_data(T.tx_events(spark, sf), "Class", TEST_SIZE, 0.0, SPLIT_SEED)
+        raw = cut_lineage(d.where(F.col("split") == "train").drop("split"))
+        stage = fit_stage(raw)
+        m = MD.fit_model("LogisticRegression", cut_lineage(stage.transform(raw)), stage.inputs)
+        m.stage = stage
+        path = work_dir(spark, "raw")
+        m.save(path)
+        return m, path
+    return _memo(spark, sf, "raw_model", make)
+
+
+def q_raw_score(spark, sf):
+    """Raw transactions in a CSV file, scored by the loaded artefact: do they agree with the fitted one."""
+    m, path = raw_model(spark, sf)
+    tx = T.tx_events(spark, sf)
+    file = os.path.join(work_dir(spark, "transactions"), "raw.csv")
+    T.align_schema(tx, keep=("Class",)).select(*T.CONTRACT, "Class").write.option("header", True).csv(file)
+    # the file has no row key: its rows are told apart by time and amount
+    key = lambda df: df.withColumn("row_id", F.xxhash64("Time", "Amount"))
+    scored = lambda model, df: model.transform(key(df)).select("row_id", "score", "prediction").distinct()
+    both = _agreement(scored(m, tx), scored(MD.load_model(path), T.scan_transactions(spark, file)))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.min(F.col("agrees").cast("int")).alias("all_agree"))
 
 
 def q_save_search(spark, sf):
-    """Best model of a grid search plus all search results, saved and read back."""
+    """Best model of a grid search plus all search results, saved and read back: has each point all fold scores and
+    their mean, and is the loaded model the first in rank."""
     best, res = lr_grid(spark, sf)
     path = work_dir(spark, "search")
     best.save(os.path.join(path, "best_model"))
     res.write.mode("overwrite").parquet(os.path.join(path, "results"))
-    MD.load_model(os.path.join(path, "best_model"))
-    return spark.read.parquet(os.path.join(path, "results"))
+    loaded, saved = MD.load_model(os.path.join(path, "best_model")), spark.read.parquet(os.path.join(path, "results"))
+    first = saved.where("rank = 1").orderBy("point").first()
+    whole = (F.size("fold_scores") == 5) & (F.abs(F.aggregate("fold_scores", F.lit(0.0), lambda a, x: a + x) / 5 - F.col("mean_score")) < 1e-12)
+    return saved.select("point", "params", whole.alias("whole"), (F.col("rank") >= 1).alias("ranked"),
+                        F.lit(json.dumps(loaded.extra["best_params"], default=str) == first["params"]).alias("best_restored"))
 
 
 def q_batch_score(spark, sf):
-    md, m = _saved_model(spark, sf)
+    md, m, _ = _saved_model(spark, sf)
     rows = md.prepare_raw(T.tx_events(spark, sf)).select("row_id", *MODEL_FEATURES, "Class")
     out = m.transform(rows)
     return out.select("row_id", "score", "prediction", risk_band("score", "prediction").alias("risk_band"))
 
 
+STREAM_FILES = 6
+
+
 def q_stream_score(spark, sf):
+    """Events that arrive as files, scored by a stream that is stopped and started again: does each row come
+    once, with the score of the batch."""
     from ..streaming import stream_score
-    md, m = _saved_model(spark, sf)
+    m, _ = raw_model(spark, sf)
     ev = T.read_table(spark, sf, "events")
     t0 = T.fit_t0(ev)
+    base = work_dir(spark, "stream")
+    source, sink = os.path.join(base, "source"), os.path.join(base, "sink")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(STREAM_FILES))
 
-    def prepare(src):
-        return md.prepare_raw(T.events_to_tx(src, t0)).select("row_id", *MODEL_FEATURES, "Class")
+    def start(**kw):
+        return stream_score(spark, source, ev.schema, lambda src: T.events_to_tx(src, t0), m, sink, os.path.join(base, "checkpoint"), max_files_per_trigger=1, **kw)
 
-    base = work_dir(spark, "stream")
-    q = stream_score(spark, sf, ev.schema, prepare, m, os.path.join(base, "sink"),
-                     os.path.join(base, "checkpoint"), file_glob="events.parquet")
-    q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "sink"))
+    def arrive(files):
+        ev.where(part.isin(files)).repartition(len(files), part).write.mode("append").parquet(source)
+
+    first = STREAM_FILES // 2
+    arrive(list(range(first)))
+    q = start(available_now=False)  # stopped while it runs, after a batch at least
+    while q.isActive and not q.recentProgress:
+        q.awaitTermination(0.2)
+    q.stop()
+    arrive(list(range(first, STREAM_FILES)))
+    start().awaitTermination()
+    return _agreement(spark.read.parquet(sink), m.transform(T.events_to_tx(ev, t0)))
 
 
 def _ens_query(kind):
@@ -300,7 +366,6 @@ def q_compare_ensembles(spark, sf):
 
 def q_param_grids(spark, sf):
     """Every grid point with its MLlib parameters for the actual training size."""
-    import json
     n_train = model_data(spark, sf).train.count()
     rows = []
     for m, g in TU.param_grids().items():
@@ -310,7 +375,7 @@ def q_param_grids(spark, sf):
     return spark.createDataFrame(rows, "model string, point int, params string, mllib_params string")
 
 
-LR_GRID = {"C": [0.01, 0.1, 1, 10, 100], "penalty": ["l1", "l2"]}
+LR_GRID = TU.PARAM_GRIDS["LogisticRegression"]
 
 
 def q_grid_search(spark, sf):
@@ -319,19 +384,18 @@ def q_grid_search(spark, sf):
 
 def q_random_search(spark, sf):
     md = model_data(spark, sf)
-    _, res = TU.random_search("LogisticRegression", LR_GRID, md.train, md.features, n_iter=5)
+    _, res = TU.random_search("LogisticRegression", LR_GRID, md.train, md.features, known=lr_known(spark, sf))
     return res
 
 
 def q_adaptive_search(spark, sf):
-    return lr_adaptive(spark, sf)[1]
+    md = model_data(spark, sf)
+    return TU.adaptive_search("LogisticRegression", md.train, md.features)[1]
 
 
 def q_compare_tuning(spark, sf):
     md = model_data(spark, sf)
-    return TU.compare_tuning("LogisticRegression", LR_GRID, md.train, md.features,
-                             n_iter_random=5, n_trials_adaptive=8,
-                             grid_result=lr_grid(spark, sf), adaptive_result=lr_adaptive(spark, sf))
+    return TU.compare_tuning("LogisticRegression", LR_GRID, md.train, md.features, known=lr_known(spark, sf))
 
 
 def q_pca(spark, sf):
@@ -360,7 +424,7 @@ def q_eda_report(spark, sf):
 
 def q_run_job(spark, sf):
     from .job import run_job
-    return run_job(spark, sf, out_dir=work_dir(spark, "job"), run_tuning=True)
+    return run_job(spark, sf, out_dir=work_dir(spark, "job"))
 
 
 QUERIES = {
@@ -382,6 +446,7 @@ QUERIES = {
     "save_search": q_save_search,
     "batch_score": q_batch_score,
     "stream_score": q_stream_score,
+    "raw_score": q_raw_score,
     "train_ensemble": _ens_query("voting"),
     "stacking": _ens_query("stacking"),
     "bagging": _ens_query("bagging"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog, catalog_knn, catalog_models, oracle, oracle_knn
+from . import catalog, catalog_knn, catalog_models, oracle, oracle_knn, oracle_models
 
 
 def all_queries() -> dict:
@@ -15,5 +15,6 @@ def all_queries() -> dict:
 def all_oracles() -> dict:
     s = oracle.build()
     s.update(oracle_knn.build())
+    s.update(oracle_models.build())
     names = all_queries()
     return {k: v for k, v in s.items() if k in names}

@@ -26,8 +26,11 @@ def stream_score(spark: SparkSession, source: str, schema, prepare, model, sink:
                  file_glob: str | None = None):
     """Start the scoring stream; returns the StreamingQuery.
 
-    ``prepare(df) -> df`` maps source rows to model inputs (projection only).
-    With ``available_now`` the query processes what is there and stops.
+    ``prepare(df) -> df`` maps source rows to raw transactions or model inputs (projection
+    only). A model with a feature stage aligns them itself (``align_schema``).
+    With ``available_now`` the query processes what is there and stops. Started again with
+    the same checkpoint it goes on after the files it has committed, so a stream that was
+    stopped at any point gives each row once.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
