@@ -12,9 +12,13 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
+from ..session import ship_package
 from .quantiles import exact_quantiles
 
 
@@ -66,16 +70,17 @@ def mutual_info_binned(df: DataFrame, cols, label: str = "Class", n_bins: int =
     for c in cols:
         e = sorted(set(v for v in q[(c,)] if v is not None))
         interior[c] = e[1:-1]
-    # bin = number of interior edges strictly below x, as compiled comparisons
-    # in wide form; then one unpivot of the bin columns and a keyed count
-    def bin_of(c):
-        x = F.col(c).cast("double")
-        acc = F.lit(0)
-        for e in interior[c]:
-            acc = acc + (x > F.lit(float(e))).cast("int")
-        return F.when(x.isNotNull() & ~F.isnan(x), acc).alias(c)
-
-    wide = df.select(F.col(label), *[bin_of(c) for c in cols])
+    # bin = number of interior edges strictly below x. Bucketizer's binary search has left-closed bins, so it
+    # gets -x and the edges' negatives: its number counts the edges at or above x
+    cut = [c for c in cols if interior[c]]
+    wide = df.select(F.col(label).alias("_label"), *[(-F.col(c).cast("double")).alias(f"_x{i}") for i, c in enumerate(cols)])
+    bins = {c: F.when(F.col(f"_x{i}").isNotNull() & ~F.isnan(f"_x{i}"), F.lit(0)) for i, c in enumerate(cols)}
+    if cut:
+        at = {c: i for i, c in enumerate(cols)}
+        wide = Bucketizer(splitsArray=[[-math.inf, *sorted(-float(e) for e in interior[c]), math.inf] for c in cut], inputCols=[f"_x{at[c]}" for c in cut],
+                          outputCols=[f"_b{at[c]}" for c in cut], handleInvalid="keep").transform(wide)
+        bins |= {c: F.when(bins[c].isNotNull(), F.lit(len(interior[c])) - F.col(f"_b{at[c]}").cast("int")) for c in cut}
+    wide = wide.select(F.col("_label").alias(label), *[bins[c].alias(c) for c in cols])
     counts = (wide.unpivot([label], cols, "feature", "bin").where(F.col("bin").isNotNull())
               .groupBy("feature", "bin", label).count().collect())
     by_f = {}
@@ -138,14 +143,18 @@ class PCAModel:
     explained_variance_ratio: list
 
     def transform(self, df: DataFrame, prefix: str = "PCA_") -> DataFrame:
-        exprs = {}
-        for i, w in enumerate(self.components):
-            e = None
-            for c, m, wj in zip(self.columns, self.mean, w):
-                t = (F.col(c).cast("double") - F.lit(float(m))) * F.lit(float(wj))
-                e = t if e is None else e + t
-            exprs[f"{prefix}{i + 1}"] = e
-        return df.withColumns(exprs)
+        """One matrix product per Arrow batch (d x k literals in one expression would exceed the size of
+        compiled code). A row with a null gets nulls."""
+        ship_package(df.sparkSession)
+        mean, basis = np.array(self.mean, dtype=float), np.asarray(self.components, dtype=float).T
+
+        @pandas_udf("array<double>")
+        def project(x: pd.DataFrame) -> pd.Series:
+            out = (x.to_numpy(dtype=float) - mean) @ basis
+            return pd.Series([None if np.isnan(r).all() else r for r in out], dtype=object)
+
+        d = df.withColumn("_pca", project(F.struct(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(self.columns)])))
+        return d.withColumns({f"{prefix}{i + 1}": F.col("_pca")[i] for i in range(basis.shape[1])}).drop("_pca")
 
 
 def covariance(df: DataFrame, cols):

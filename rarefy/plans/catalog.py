@@ -19,7 +19,7 @@ from ..operators.scale import fit_scaler
 from ..sources import tables as T
 from .common import (ENSEMBLE_WEIGHTS, SPLIT_SEED, TEST_SIZE, VAL_SIZE, rnd, scorers)
 
-VCOLS = [f"V{i}" for i in range(1, 29)]
+VCOLS = [f"V{i}" for i in range(1, T.VECTOR_SIZE + 1)]
 LINE_COLS = ["V1", "V2", "V3", "V4", "Amount", "Class"]
 
 

@@ -400,14 +400,14 @@ def q_compare_tuning(spark, sf):
 
 def q_pca(spark, sf):
     tx = T.tx_vectors(spark, sf)
-    vcols = [f"V{i}" for i in range(1, 29)]
+    vcols = T.v_columns(tx)
     m = S.fit_pca(tx, vcols, 0.95)
     return m.transform(tx).select("row_id", *[f"PCA_{i + 1}" for i in range(len(m.components))])
 
 
 def q_pca_variance(spark, sf):
     tx = T.tx_vectors(spark, sf)
-    m = S.fit_pca(tx, [f"V{i}" for i in range(1, 29)], 0.95)
+    m = S.fit_pca(tx, T.v_columns(tx), 0.95)
     import numpy as np
     cum = np.cumsum(m.explained_variance_ratio).tolist()
     return spark.createDataFrame([(i + 1, float(r), float(c)) for i, (r, c) in

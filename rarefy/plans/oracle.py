@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import math
 
+from ..sources.tables import VECTOR_SIZE
 from .common import ENSEMBLE_WEIGHTS, SPLIT_SEED, TEST_SIZE, VAL_SIZE
 
-VCOLS = [f"V{i}" for i in range(1, 29)]
+VCOLS = [f"V{i}" for i in range(1, VECTOR_SIZE + 1)]
 LINE_COLS = ["V1", "V2", "V3", "V4", "Amount", "Class"]
 
 
@@ -31,7 +32,7 @@ TX_EVENTS = f"""tx_events AS (
   FROM events)"""
 
 TX_VECTORS = "tx_vectors AS (SELECT vec_id AS row_id, " + ", ".join(
-    f'CAST(embedding[{i + 1}] AS DOUBLE) AS "V{i + 1}"' for i in range(28)) + \
+    f'CAST(embedding[{i + 1}] AS DOUBLE) AS "V{i + 1}"' for i in range(VECTOR_SIZE)) + \
     ', CAST(label = 0 AS INTEGER) AS "Class" FROM embeddings)'
 
 TX_LINES = """tx_lines AS (SELECT l_quantity AS "V1", l_discount AS "V2", l_tax AS "V3",

@@ -49,22 +49,27 @@ def build() -> dict:
                             "mn AS (SELECT \"Class\" AS cmin FROM tx GROUP BY \"Class\" ORDER BY count(*), \"Class\" LIMIT 1)",
                             body='SELECT row_id, "Class" FROM nn, mn WHERE "Class" = cmin OR '
                                  'len(list_filter(labs, lambda v: v <> "Class")) = 0')
-    under = f"""h AS (SELECT *, {md5_hash('row_id', SPLIT_SEED, 'under')} AS h FROM tx),
-r AS (SELECT *, row_number() OVER (PARTITION BY "Class" ORDER BY h, row_id) - 1 AS rk, count(*) OVER (PARTITION BY "Class") AS n FROM h),
-cc AS (SELECT "Class", count(*) AS n FROM tx GROUP BY "Class"),
-mn AS (SELECT "Class" AS cmin, n AS nmin FROM cc ORDER BY n, "Class" LIMIT 1),
-mx AS (SELECT max(n) AS nmax FROM cc),
-ru AS (SELECT "Class", count(*) AS n FROM r, mn WHERE rk < (CASE WHEN "Class" = cmin THEN n ELSE least(n, nmin) END) GROUP BY "Class")"""
-    s["resample"] = with_(TX_EVENTS, TX, under, body=
-                                 "SELECT 'none' AS method, \"Class\", n AS n_before, n AS n_after FROM cc "
-                                 "UNION ALL SELECT 'random_under', cc.\"Class\", cc.n, ru.n FROM cc JOIN ru USING (\"Class\") "
-                                 "UNION ALL SELECT 'smote', \"Class\", n, CASE WHEN \"Class\" = cmin THEN nmax ELSE n END FROM cc, mn, mx")
     s.update(build_resample())
     s.update(build_combined())
     s.update(build_preprocess())
+    s["resample"] = _counts_sql(s)
     return s
 
 
+def _counts_sql(s: dict) -> str:
+    """Rows per class before and after each method, over the methods' own statements."""
+    under = with_(TX_EVENTS, TX, f"h AS (SELECT *, {md5_hash('row_id', SPLIT_SEED, 'under')} AS h FROM tx)",
+                  'r AS (SELECT *, row_number() OVER (PARTITION BY "Class" ORDER BY h, row_id) AS rk FROM h)',
+                  'mn AS (SELECT min(n) AS nmin FROM (SELECT count(*) AS n FROM tx GROUP BY "Class"))',
+                  body='SELECT row_id, "Class" FROM r, mn WHERE rk <= nmin')
+    after = {"none": with_(TX_EVENTS, TX, body='SELECT "Class" FROM tx'), "random_under": under, "smote": s["smote"], "adasyn": s["adasyn"],
+             "nearmiss": s["nearmiss3"], "smote_tomek": s["smote_tomek"], "smote_enn": s["smote_enn"]}
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS method, b.\"Class\", b.n AS n_before, coalesce(a.n, 0) AS n_after FROM "
+        f"(SELECT CAST(event_type = 'error' AS INTEGER) AS \"Class\", count(*) AS n FROM events GROUP BY 1) b "
+        f"LEFT JOIN (SELECT \"Class\", count(*) AS n FROM ({sql}) GROUP BY 1) a ON a.\"Class\" = b.\"Class\"" for m, sql in after.items())
+
+
 def _key_hash(salt: str, seed=SPLIT_SEED) -> str:
     return (f"('0x' || substr(md5(CAST(row_id AS VARCHAR) || ':' || CAST(j AS VARCHAR) || ':{seed}{salt}'), 1, 15))::BIGINT")
 

@@ -6,7 +6,7 @@ Here the same row shape is read from CSV / Parquet with an explicit schema
 
 * ``tx_events``  events: row_id=event_id, Time=seconds since the first
   event, Amount=value, Class=(event_type='error').
-* ``tx_vectors`` embeddings: row_id=vec_id, V1..V28=embedding[0..27],
+* ``tx_vectors`` embeddings: row_id=vec_id, V1..V64=embedding[0..63],
   Class=(label=0).
 * ``tx_lines``   lineitem: Amount=l_extendedprice, V1..V4=quantity,
   discount, tax, linenumber; Class=(returnflag='R'). No row key.
@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 # The transaction row contract (column order of the input file).
 CONTRACT = ["Time"] + [f"V{i}" for i in range(1, 29)] + ["Amount"]
 LABEL = "Class"
+#: components of an embedding, all of them features of ``tx_vectors``
+VECTOR_SIZE = 64
 
 TX_SCHEMA = T.StructType(
     [T.StructField(c, T.DoubleType(), True) for c in CONTRACT]
@@ -111,7 +113,7 @@ def tx_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
     return emb.select(
         F.col("vec_id").alias("row_id"),
-        *[F.col("embedding")[i].cast("double").alias(f"V{i + 1}") for i in range(28)],
+        *[F.col("embedding")[i].cast("double").alias(f"V{i + 1}") for i in range(VECTOR_SIZE)],
         (F.col("label") == 0).cast("int").alias(LABEL),
     )
 
