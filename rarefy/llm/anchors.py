@@ -91,14 +91,14 @@ def anchored(docs: DataFrame, symbols: Symbols) -> DataFrame:
         import xxhash
         for b in batches:
             ids, rows, texts = b.column("doc_id"), b.column("row"), b.column("text").to_pylist()
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, 1 << 15):  # arrays that stay in the processor's cache
                 buf, values, _, _, first, lengths = symbols.texts(texts[lo:hi])
                 text, anchor, a, z = contexts(values, first, lengths, symbols.width, symbols.k)
                 if not len(text):
                     continue
-                content = values if symbols.words else buf
-                digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(content[x:y + symbols.width].tobytes())
-                                                 for x, y in zip(a.tolist(), z.tolist())), "<i8").reshape(-1, 2)
+                content, unit = memoryview((values if symbols.words else buf).tobytes()), (8 if symbols.words else 1)
+                digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(content[x:y])
+                                                 for x, y in zip((a * unit).tolist(), ((z + symbols.width) * unit).tolist())), "<i8").reshape(-1, 2)
                 take = pa.array(text + lo)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(take), rows.take(take), pa.array(anchor.view(np.int64)), pa.array(digests[:, 0].copy()),
@@ -109,34 +109,45 @@ def anchored(docs: DataFrame, symbols: Symbols) -> DataFrame:
 
 
 def _contents(docs: DataFrame, chosen: DataFrame, symbols: Symbols) -> DataFrame:
-    """The symbols of each chosen context, read from the text of the document that stands for it."""
+    """The symbols of each chosen context, read from the text of the document that stands for it.
+    Of rows that repeat it in a task, one is read."""
     parts = chosen.groupBy("row").agg(F.collect_list(F.struct("anchor", "c0", "c1", "n", "first_id", "start", "windows")).alias("parts"))
 
     def cut(batches):
+        seen: set[int] = set()
         for b in batches:
             texts = b.column("text").to_pylist()
-            for i, wanted in enumerate(b.column("parts")):
-                wanted = wanted.as_py()
-                buf, _, starts, ends, _, _ = symbols.texts([texts[i]])
-                out = [buf[starts[p["start"]]:ends[p["start"] + p["windows"] + symbols.width - 2]].tobytes() for p in wanted]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p[c] for p in wanted], pa.int64()) for c in ("anchor", "c0", "c1", "n", "first_id")] + [pa.array(out, pa.binary())],
-                    ["anchor", "c0", "c1", "n", "first_id", "content"])
+            for row, text, wanted in zip(b.column("row").to_pylist(), texts, b.column("parts")):
+                if row in seen:
+                    continue
+                seen.add(row)
+                p = wanted.values
+                start = p.field("start").to_numpy()
+                end = start + p.field("windows").to_numpy() + symbols.width - 1
+                raw = text.encode("utf-8")
+                if symbols.words:
+                    starts, ends = word_spans(np.frombuffer(raw, np.uint8))
+                    start, end = starts[start], ends[end - 1]
+                out = [raw[x:y] for x, y in zip(start.tolist(), end.tolist())]
+                yield pa.RecordBatch.from_arrays([*(p.field(c) for c in ("anchor", "c0", "c1", "n", "first_id")), pa.array(out, pa.binary())],
+                                                 ["anchor", "c0", "c1", "n", "first_id", "content"])
 
     return docs.join(parts, "row").mapInArrow(frugal(cut), "anchor long, c0 long, c1 long, n long, first_id long, content binary")
 
 
-def _runs(keys: list[tuple[int, int, int]], values: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
-    """Runs of neighbouring windows with equal values, of those that occur more than once."""
-    rows = []
-    for key, (n, first) in zip(keys, values):
-        edge = np.flatnonzero(np.concatenate([[True], (n[1:] != n[:-1]) | (first[1:] != first[:-1])]))
-        for a, z in zip(edge.tolist(), np.append(edge[1:], len(n)).tolist()):
-            if n[a] > 1:
-                rows.append((*key, a, z - a, int(n[a]), int(first[a])))
-    names = [x for x, _ in _KEYS] + ["lo", "windows", "n", "first_id"]
-    kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.int64()] * 2
-    return pa.table([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds], names)
+def _runs(keys: list[np.ndarray], n: np.ndarray, first: np.ndarray, base: np.ndarray, windows: np.ndarray) -> pa.Table:
+    """Runs of neighbouring windows with equal values, of those that occur more than once.
+    ``base`` and ``windows``: where each context's windows begin in ``n`` and ``first``, and how many they are."""
+    context = np.repeat(np.arange(len(base)), windows)
+    lo = np.arange(len(context)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at = base[context] + lo
+    n, first = n[at], first[at]
+    edge = np.flatnonzero(np.concatenate([[True], (n[1:] != n[:-1]) | (first[1:] != first[:-1]) | (context[1:] != context[:-1])])) if len(n) else np.zeros(0, np.int64)
+    size = np.diff(np.append(edge, len(n)))
+    more = n[edge] > 1
+    edge, size = edge[more], size[more]
+    return pa.table([*(k[context[edge]] for k in keys), pa.array(lo[edge].astype(np.int32)), pa.array(size.astype(np.int32)), n[edge], first[edge]],
+                    [x for x, _ in _KEYS] + ["lo", "windows", "n", "first_id"])
 
 
 def repeated_windows(docs: DataFrame, symbols: Symbols, index: Callable, max_group: int = 2000,
@@ -145,8 +156,8 @@ def repeated_windows(docs: DataFrame, symbols: Symbols, index: Callable, max_gro
     first_id (smallest document that has the window; LAST_ID stands for null).
 
     ``docs`` has doc_id, row (a hash of doc_id and text) and text. ``index(contents, counts,
-    first_ids)`` gets the contexts of whole groups and gives two arrays for each context, with a
-    place for each of its windows: occurrences in all the contexts, and the smallest first_id."""
+    first_ids)`` gets the contexts of whole groups and gives two arrays over all places, occurrences
+    in all the contexts and the smallest first_id, and each context's first place and number of windows."""
     found = written(anchored(docs, symbols))
     distinct = found.groupBy("anchor", "c0", "c1").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("first_id"),
@@ -158,8 +169,13 @@ def repeated_windows(docs: DataFrame, symbols: Symbols, index: Callable, max_gro
     shards = max(1, -(-(size or 0) // shard_symbols))
 
     def indexed(table: pa.Table) -> pa.Table:
-        keys = list(zip(*(table.column(c).to_pylist() for c, _ in _KEYS)))
-        return _runs(keys, index(table.column("content").to_pylist(), table.column("n").to_numpy(), table.column("first_id").to_numpy()))
+        keys = [table.column(c).to_numpy() for c, _ in _KEYS]
+        # rows that repeat a document may have been read in several tasks: one of each context stays
+        order = np.lexsort(keys)
+        same = np.logical_and.reduce([k[order][1:] == k[order][:-1] for k in keys])
+        one = order[np.concatenate([[True], ~same])]
+        table, keys = table.take(pa.array(one)), [k[one] for k in keys]
+        return _runs(keys, *index(table.column("content").to_pylist(), table.column("n").to_numpy(), table.column("first_id").to_numpy()))
 
     runs = (_contents(docs, chosen.where("NOT large"), symbols).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
             .groupBy("shard").applyInArrow(indexed, _RUNS))
@@ -191,11 +207,12 @@ def _single_windows(contents: DataFrame, symbols: Symbols) -> DataFrame:
 
 
 def covered(runs, length: int, width: int) -> np.ndarray:
-    """Marks of the symbols that any window of the runs (start, windows) covers."""
+    """Marks of the symbols that any window of the runs (an Arrow array of start and windows, or None) covers."""
     edge = np.zeros(length + 1, dtype=np.int32)
-    for start, windows in runs:
-        edge[start] += 1
-        edge[min(length, start + windows - 1 + width)] -= 1
+    if runs is not None and len(runs):
+        start = runs.field("start").to_numpy()
+        np.add.at(edge, start, 1)
+        np.add.at(edge, np.minimum(length, start + runs.field("windows").to_numpy() - 1 + width), -1)
     return np.cumsum(edge[:-1]) > 0
 
 

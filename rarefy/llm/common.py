@@ -112,7 +112,7 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """(multiplier ** i, inverse ** i) modulo 2**64 for i in 0..n."""
-    size = max(1 << 16, 1 << int(n).bit_length())
+    size = max(1 << 16, 1 << int(n).bit_length(), *_POWERS)  # the longest stays
     if size not in _POWERS:
         _POWERS.clear()
         out = []

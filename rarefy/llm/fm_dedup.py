@@ -140,7 +140,7 @@ def index(width: int):
                 # the interval is one block of equal windows
                 block = np.searchsorted(edge, low, side="right") - 1
                 n[at], first[at] = total[block], least[block]
-        return [(n[a:a + m], first[a:a + m]) for a, m in zip(base[:-1].tolist(), (length - width + 1).tolist())]
+        return n, first, base[:-1], length - width + 1
 
     return run
 
@@ -166,7 +166,7 @@ def earlier_words(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, id_
             for text, found in zip(b.column("text").to_pylist(), b.column("runs")):
                 buf, _ = joined([text])
                 starts, ends = word_spans(buf)
-                out = covered([(r["start"], r["windows"]) for r in found.as_py() or []], len(starts), width)
+                out = covered(found.values, len(starts), width)
                 raw = buf.tobytes()
                 kept.append(b" ".join([raw[a:z] for a, z in zip(starts[~out].tolist(), ends[~out].tolist())]))
                 total.append(len(starts))

@@ -97,7 +97,7 @@ def index(width: int, stride: int):
         least = np.minimum.reduceat(first_ids[owner], np.flatnonzero(split))
         n, first = np.empty(len(block), dtype=np.int64), np.empty(len(block), dtype=np.int64)
         n[s.order], first[s.order] = total[block], least[block]
-        return [(n[a:a + m], first[a:a + m]) for a, m in zip(base[:-1].tolist(), (lengths - width + 1).tolist())]
+        return n, first, base[:-1], lengths - width + 1
 
     return run
 
@@ -118,7 +118,7 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, stride: int = STRIDE, an
             out = []
             for text, found in zip(b.column("text").to_pylist(), b.column("runs")):
                 buf = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
-                gone = covered([(r["start"], r["windows"]) for r in found.as_py() or []], len(buf), width)
+                gone = covered(found.values, len(buf), width)
                 edges = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) > 0 and bool(gone[0]))
                 out.append((buf[~gone].tobytes(), len(buf), int(gone.sum()), edges))
             kept, total, removed, count = (list(c) for c in zip(*out)) if out else ([], [], [], [])
