@@ -11,7 +11,9 @@ when den * overlap >= num * union.
    those of b, at least need = min(need(|a|), need(|b|)) are the same, where
    need(s) is a twentieth of s. Any order is right; common n-grams come last,
    which a bounded sample of documents tells, and then hashes decide.
-   Pairs are counted over these prefixes, in buckets of n-grams:
+   Rows whose first three n-grams are the same (near copies, for the order is
+   theirs too) are one block without counting, by an edge from each to its first
+   row. All other pairs are counted over the prefixes, in buckets of n-grams:
    * an n-gram of at most ``cold`` rows gives its pairs, and a pair is a
      candidate where its count can still reach the need and the sizes allow a link;
    * an n-gram of more rows gives no pairs, only an edge from each row to its
@@ -103,16 +105,18 @@ def common_grams(docs: DataFrame, n: int, sample_rows: int) -> np.ndarray:
     return np.sort(found["gram"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
+#: first n-grams of the order that make a row's label
+_LABEL = 3
 #: pairs that a task holds before it counts them
 _PAIRS = 250_000
 
 
-def counted(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, cold: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+def counted(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, labels: np.ndarray, cold: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (a, b, n) over the n-grams of 2 to ``cold`` rows whose sizes
-    allow a link (a pair may come more than once), and edges (row, first row of the
+    allow a link (a pair may come more than once) and whose labels differ, and edges (row, first row of the
     n-gram) over those of more, one for each n-gram."""
     order = np.lexsort((nodes, tokens))
-    tokens, nodes, sizes = tokens[order], nodes[order], sizes[order].astype(np.int64)
+    tokens, nodes, sizes, labels = tokens[order], nodes[order], sizes[order].astype(np.int64), labels[order]
     del order
     start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
     df = np.diff(np.append(start, len(tokens)))
@@ -124,7 +128,7 @@ def counted(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, cold: int,
         for lo in range(0, len(at), step):
             rows = at[lo:lo + step][:, None] + np.arange(d)
             a, b = rows[:, i].reshape(-1), rows[:, j].reshape(-1)
-            ok = den * np.minimum(sizes[a], sizes[b]) >= num * np.maximum(sizes[a], sizes[b])
+            ok = (den * np.minimum(sizes[a], sizes[b]) >= num * np.maximum(sizes[a], sizes[b])) & (labels[a] != labels[b])
             held.append(np.stack([nodes[a[ok]], nodes[b[ok]]], axis=1))
             size += len(held[-1])
             if size > _PAIRS:
@@ -159,15 +163,15 @@ def _tally(pairs: np.ndarray) -> np.ndarray:
     return np.column_stack([pairs[edge], np.diff(np.append(edge, len(pairs)))])
 
 
-def trimmed(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, cold: int) -> tuple[np.ndarray, ...]:
-    """What a task passes on (n-grams, rows, sizes): at most ``cold`` + 1 rows of each n-gram, and for the others
+def trimmed(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, labels: np.ndarray, cold: int) -> tuple[np.ndarray, ...]:
+    """What a task passes on (n-grams, rows, sizes, labels): at most ``cold`` + 1 rows of each n-gram, and for the others
     edges (row, first row) to the first one passed on, one for each n-gram."""
     order = np.lexsort((nodes, tokens))
-    tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
+    tokens, nodes, sizes, labels = tokens[order], nodes[order], sizes[order], labels[order]
     start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     first = np.repeat(start, np.diff(np.append(start, len(tokens))))
     beyond = np.arange(len(tokens)) - first > cold
-    return tokens[~beyond], nodes[~beyond], sizes[~beyond], np.stack([nodes[beyond], nodes[first[beyond]]], axis=1)
+    return tokens[~beyond], nodes[~beyond], sizes[~beyond], labels[~beyond], np.stack([nodes[beyond], nodes[first[beyond]]], axis=1)
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -231,26 +235,29 @@ def _tallies(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, buck
         return _tally(edges if named else edges[:, [0, 0]])
 
     def packed(batches):
-        """Rows of (bucket, n-grams, rows that have them, their sizes); edges go under negative buckets."""
+        """Rows of (bucket, n-grams, rows that have them, their sizes and labels); edges go under negative buckets."""
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def done():
-            tokens, own, sizes, edges = trimmed(*(np.concatenate(x) for x in zip(*held)), cold)
+            tokens, own, sizes, labels, edges = trimmed(*(np.concatenate(x) for x in zip(*held)), cold)
             edges = edge_tally(edges)
-            to = (tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-            cut = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))  # n-grams are sorted, so buckets are too
-            out = [(i, tokens[x:y].tobytes(), own[x:y].tobytes(), sizes[x:y].astype("<i4").tobytes()) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+            # prefixes hold the smallest hashes, so buckets go by the low half, which is even
+            to = (tokens & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)
+            order = np.argsort(to, kind="stable")
+            to, tokens, own, sizes, labels = to[order], tokens[order], own[order], sizes[order], labels[order]
+            cut = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))
+            out = [(i, tokens[x:y].tobytes(), own[x:y].tobytes(), sizes[x:y].astype("<i4").tobytes(), labels[x:y].tobytes()) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
             if len(edges):
-                out.append((-1 - int(own[0] % buckets), b"", edges.tobytes(), b""))
+                out.append((-1 - int(own[0] % buckets), b"", edges.tobytes(), b"", b""))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), *[pa.binary()] * 3))],
-                                              ["bucket", "grams", "nodes", "sizes"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), *[pa.binary()] * 4))],
+                                              ["bucket", "grams", "nodes", "sizes", "labels"])
 
         for b in batches:
             keys = [np.frombuffer(k, "<u8") for k in b.column("keys").to_pylist()]
             if keys:
                 each = [len(k) for k in keys]
-                held.append((np.concatenate(keys), np.repeat(b.column("node").to_numpy(), each), np.repeat(b.column("size").to_numpy(), each)))
+                held.append((np.concatenate(keys), *(np.repeat(b.column(c).to_numpy(), each) for c in ("node", "size", "label"))))
             if 4 * sum(len(x[0]) for x in held) > bucket_grams:
                 yield done()
         if held:
@@ -261,12 +268,13 @@ def _tallies(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, buck
         if table.column("bucket")[0].as_py() < 0:
             pairs, edges = np.zeros((0, 3), np.int64), own.reshape(-1, 3)
         else:
-            pairs, edges = counted(_values(table.column("grams"), "<u8"), own, _values(table.column("sizes"), "<i4"), cold, num, den)
+            pairs, edges = counted(_values(table.column("grams"), "<u8"), own, _values(table.column("sizes"), "<i4"),
+                                   _values(table.column("labels"), "<i8"), cold, num, den)
             edges = edge_tally(edges)
         both = np.concatenate([pairs, edges])
         return pa.table({"hot": np.repeat([False, True], [len(pairs), len(edges)]), "a": both[:, 0], "b": both[:, 1], "n": both[:, 2]})
 
-    return written(nodes.select("node", "size", "keys").mapInArrow(frugal(packed), "bucket int, grams binary, nodes binary, sizes binary")
+    return written(nodes.select("node", "size", "keys", "label").mapInArrow(frugal(packed), "bucket int, grams binary, nodes binary, sizes binary, labels binary")
                    .groupBy("bucket").applyInArrow(frugal_group(tallied), "hot boolean, a long, b long, n long"))
 
 
@@ -279,6 +287,10 @@ def _blocking(nodes: DataFrame, num: int, den: int, cold: int, bucket_grams: int
     between them and the first row of all, so the rows that kept edges lead to keep theirs."""
     least = lambda size: F.when(size >= 10, F.floor(size / 20) + 2).otherwise(F.lit(1))  # noqa: E731  as need()
     grams = F.least(F.col("size"), F.col("size") - F.ceil(F.col("size") * num / den) + least(F.col("size")))  # as prefix()
+    # rows with the same first n-grams, most of all near copies, are joined by one edge each, and their pairs aren't counted
+    nodes = nodes.withColumn("label", F.when(F.octet_length("keys") >= 8 * _LABEL, F.xxhash64(F.substring("keys", 1, 8 * _LABEL))).otherwise(F.col("node")))
+    alike = nodes.groupBy("label").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("label", "b")
+    alike = nodes.select("label", F.col("node").alias("a")).join(alike, "label").where("a <> b").select("a", "b")
     links, total = None, nodes.agg(F.sum(grams)).first()[0] or 0
     for limit in (cold, 16 * cold):
         # As few buckets as fit a task, for a pair is passed on once for each bucket that it shares
@@ -300,7 +312,7 @@ def _blocking(nodes: DataFrame, num: int, den: int, cold: int, bucket_grams: int
         nodes = nodes.join(crowded, "node")
     edges = tally.where("hot AND a <> b").select("a", "b")
     firsts = edges.join(crowded.withColumnRenamed("node", "a"), "a", "left_semi").select(F.col("b").alias("a"))
-    return links.unionByName(edges.join(crowded.withColumnRenamed("node", "a").unionByName(firsts), "a", "left_semi"))
+    return links.unionByName(alike).unionByName(edges.join(crowded.withColumnRenamed("node", "a").unionByName(firsts), "a", "left_semi"))
 
 
 def row_hash(doc_id, text):
@@ -309,8 +321,8 @@ def row_hash(doc_id, text):
 
 
 def jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                 text_col: str = "text", block_rows: int = 1500, cold: int = 16,
-                 bucket_grams: int = 1_000_000, sample_rows: int = 8000, keep_row: bool = False) -> DataFrame:
+                 text_col: str = "text", block_rows: int = 1500, cold: int = 4,
+                 bucket_grams: int = 2_500_000, sample_rows: int = 8000, keep_row: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest doc_id reachable by
     links, itself included), n_links (documents it links with, copies included), with
     ``keep_row`` also row (see row_hash)."""
