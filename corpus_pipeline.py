@@ -25,33 +25,46 @@ LEAST_SCORE = 0.4
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``docs`` has it."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for n in names:
+        while n in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with LEAST_SCORE or more stay. Texts without a letter go."""
     fields = [f"`{c}`" for c in docs.columns]
-    told = langid.predict(docs, langid.train(docs), keep=tuple(c for c in docs.columns if c != "doc_id"), names=("_lang_pred", "_score"))
-    return told.where((F.col("_lang_pred") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*fields)
+    lang, score = _free(docs, "lang_pred", "score")
+    told = langid.predict(docs, langid.train(docs), keep=tuple(c for c in docs.columns if c != "doc_id"), names=(lang, score))
+    return told.where((F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE)).select(*fields)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the document with the largest doc_id stays; of rows that
     repeat it, one. A row without doc_id stays."""
     found = written(exact.exact_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id", "keep_id", "text_sha256"))
-    gone = found.where("doc_id <> keep_id").select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_gone_text"))
+    digest, gone_id, gone_text = _free(docs, "digest", "gone", "gone_text")
+    gone = found.where("doc_id <> keep_id").select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_text))
     lowered = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    named = docs.withColumn("_digest", F.sha2(lowered, 256))
-    left = named.join(gone, (named["doc_id"] == gone["_gone"]) & (named["_digest"] == gone["_gone_text"]), "left_anti")
+    named = docs.withColumn(digest, F.sha2(lowered, 256))
+    left = named.join(gone, (named["doc_id"] == gone[gone_id]) & (named[digest] == gone[gone_text]), "left_anti")
     if not found.where("doc_id = keep_id").isEmpty():
-        left = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "_digest"]).unionByName(left.where("doc_id IS NULL"))
-    return left.drop("_digest")
+        left = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", digest]).unionByName(left.where("doc_id IS NULL"))
+    return left.drop(digest)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by a Jaccard similarity of 0.8 or more on five-word
     shingles, the one with the smallest doc_id stays. A row without doc_id stays."""
+    gone_id, gone_row = _free(docs, "gone", "gone_row")
     gone = (jaccard.jaccard_join(docs, n=5, num=80, den=100, keep_row=True).where("component_id <> doc_id")
-            .select(F.col("doc_id").alias("_gone"), F.col("row").alias("_gone_row")))
+            .select(F.col("doc_id").alias(gone_id), F.col("row").alias(gone_row)))
     row = jaccard.row_hash(docs["doc_id"], docs["text"])
-    return docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (row == gone["_gone_row"]), "left_anti")
+    return docs.join(gone, (docs["doc_id"] == gone[gone_id]) & (row == gone[gone_row]), "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
