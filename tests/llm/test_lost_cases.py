@@ -73,3 +73,70 @@ def test_pipeline_dedup_of_rows_that_share_an_id(spark):
     rows = [(4, own), (5, near), (5, "a text that stands on its own with words of no other document"), (6, "short")]
     left = corpus_pipeline.near_dedup(spark, docs(rows), "").collect()
     assert sorted((r["doc_id"], r["text"]) for r in left) == sorted(r for r in rows if r[1] != near)
+
+
+def test_repeated_rows_cost_as_much_as_copies(spark):
+    """Rows that repeat a document are read and indexed once: the runs are those of copies under other ids."""
+    from pyspark.sql import functions as F
+    from rarefy.llm import fm_dedup, suffix_dedup
+    from rarefy.llm.anchors import Symbols, repeated_windows
+    text = " ".join(f"word{k}" for k in range(120))
+    for symbols, index in ((Symbols(True, 50, 8), fm_dedup.index(50)), (Symbols(False, 400, 40), suffix_dedup.index(400, 50))):
+        found = []
+        for ids in (range(200), [7] * 200):
+            docs = spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string").repartition(5)
+            d = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+            runs = repeated_windows(d, symbols, index)
+            found.append((runs.count(), {r["n"] for r in runs.collect()}))
+        assert found[0] == found[1] and found[0][1] == {200}
+    out = suffix_dedup.repeated_bytes(spark.createDataFrame([(7, text)] * 300, "doc_id long, text string"))
+    assert {(r["n_bytes"], r["n_removed"], bytes(r["kept"])) for r in out.collect()} == {(len(text), len(text), b"")}
+    out = fm_dedup.earlier_words(spark.createDataFrame([(7, text)] * 300 + [(8, text)], "doc_id long, text string"))
+    assert {(r["doc_id"], r["n_removed"]) for r in out.collect()} == {(7, 0), (8, 120)}
+
+
+def test_bpe_of_rows_whose_order_in_a_task_differs_per_read(spark):
+    import public_tokenizers as P
+    import tiktoken
+    from pyspark.sql import functions as F
+    from rarefy.llm import bpe
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = [(i, f"text number {i} with words of its own: w{i * 7} x{i * 13}") for i in range(300)] + [(1, None), (None, "no id"), (2, "")]
+
+    def shuffled(batches):
+        import random
+        import pyarrow as pa
+        for b in batches:
+            order = list(range(b.num_rows))
+            random.shuffle(order)
+            yield b.take(pa.array(order))
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4, F.col("text")).mapInArrow(shuffled, "doc_id long, text string")
+    out = bpe.decode(bpe.encode(docs, ranks, P.PATTERN, block_chars=700, buckets=5), ranks).collect()
+    want = [(i, enc.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows]
+    assert sorted(((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in out), key=repr) == sorted(want, key=repr)
+
+
+def test_benchmark_items_without_an_id_count(spark):
+    from rarefy.llm import decontaminate
+    passage = "a passage of the benchmark that is long enough to be told from any other text, with some words more"
+    docs = spark.createDataFrame([(1, f"before {passage} after"), (2, "clean text"), (None, passage), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, passage), (5, None), (None, "")], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs, items).collect()) == [2, 3]
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, items).collect()} == {(1, None), (None, None)}
+
+
+def test_pipeline_stages_with_clashing_columns_nulls_and_empty_tables(spark):
+    import corpus_pipeline
+    schema = "doc_id long, text string, lang string, _score double, lang_pred string, score double, _digest string, digest string, gone long, gone_row long, _gone_text string, row long"
+    text = "several words of plain English text that the profile of the language can be told from, and some more of them"
+    rows = [(1, text, "en", *[None] * 9), (2, text, "en", *[None] * 9), (3, None, None, *[None] * 9), (None, "other words that stand in no other text", "en", *[None] * 9), (2, text, "en", *[None] * 9)]
+    docs = spark.createDataFrame(rows, schema)
+    for table in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:3]:
+            out = stage(spark, table, "")
+            assert out.columns == docs.columns, name
+            kept = {r["doc_id"] for r in out.collect()}
+            assert kept == ({1, 2, None} if name == "language ID" else {2, 3, None} if name == "exact dedup" else {1, 3, None}) if table is docs else not kept
