@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from .common import documents, frugal, partitions
 
@@ -95,8 +95,8 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[tuple[int, list, list]]:
-    """(block, doc ids, texts). A block's number is a hash of its rows and its place in
-    the task, so a repeated task gives the same numbers, and so do tasks of equal rows."""
+    """(block, doc ids, texts). A block's number is a hash of its rows and its place in the task, whose
+    rows are sorted, so a repeated task gives the same numbers, and so do tasks of equal rows."""
     import xxhash
     ids, texts, size, count = [], [], 0, 0
 
@@ -145,7 +145,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
            text_col: str = "text", block_chars: int = 8 << 20, buckets: int | None = None, keep_sha: bool = False) -> DataFrame:
     """One row per document: doc_id and ids (token ids in order), with ``keep_sha`` also
     text_sha256 (hex, of the text in UTF-8)."""
+    # both scans have to see a task's rows in one order, whatever order they come in
     d = documents(docs, id_col, text_col)
+    d = d.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     sc = d.sparkSession.sparkContext
     n = buckets or partitions(d)
     table = sc.broadcast(ranks)
