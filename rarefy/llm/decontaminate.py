@@ -235,7 +235,7 @@ class Segments:
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_grams: int) -> Iterator[list[tuple[int, str]]]:
     """Items in blocks; the driver holds one block at a time."""
-    rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL AND item_id IS NOT NULL")
+    rows = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     block, size = [], 0
     for r in rows.toLocalIterator():
         if block and size + len(r.text) > block_grams:
