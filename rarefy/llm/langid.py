@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import frugal, mix, prepared, slices
+from .common import frugal, frugal_group, mix, prepared, slices
 
 #: letter codes: 0 for a gap, a-z, and hashed classes for all other letters
 ALPHABET = 64
@@ -122,8 +122,9 @@ class Binder:
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang",
           dimension: int = DIMENSION, seed: int = 1) -> tuple[list[str], np.ndarray]:
     """(languages, unit prototypes). Counts of n-grams per language are summed in
-    Spark over all rows; what reaches the driver is ALPHABET ** 3 counts per
-    language at most. The mean of the prototypes, which all share, is taken off."""
+    Spark over all rows and bundled there, a language (ALPHABET ** 3 counts at most) in a task; one
+    prototype a language reaches the driver, after their number has been checked. The mean of the
+    prototypes, which all share, is taken off."""
     prepared(rows.sparkSession)
     d = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL")
 
@@ -140,17 +141,21 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang",
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(ids), pa.string()), pa.array(ids.astype(np.int32), pa.int32()),
                                               pa.array(n[ids], pa.int64())], ["lang", "gram", "n"])
 
+    def bundled(table: pa.Table) -> pa.Table:
+        """A language's prototype from its counts."""
+        table = table.sort_by("gram")
+        n = table.column("n").to_numpy().astype(np.float64)
+        vector = Binder(dimension, seed).bundle(table.column("gram").to_numpy(), n / np.sqrt((n ** 2).sum()))
+        return pa.table({"lang": table.column("lang").slice(0, 1), "vector": pa.array([vector.astype("<f4").tobytes()], pa.binary())})
+
+    if d.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"a model has at most {MAX_LANGUAGES} languages")
     summed = d.mapInArrow(frugal(run), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    pdf = summed.toPandas()
-    names = sorted(pdf["lang"].unique())
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"{len(names)} languages; a model has at most {MAX_LANGUAGES}")
-    binder = Binder(dimension, seed)
+    found = {r["lang"]: r["vector"] for r in summed.groupBy("lang").applyInArrow(frugal_group(bundled), "lang string, vector binary").collect()}
+    names = sorted(found)
     out = np.zeros((len(names), dimension), dtype=np.float32)
     for i, lang in enumerate(names):
-        own = pdf[pdf["lang"] == lang].sort_values("gram")
-        n = own["n"].to_numpy(dtype=np.float64)
-        out[i] = binder.bundle(own["gram"].to_numpy(), n / np.sqrt((n ** 2).sum()))
+        out[i] = np.frombuffer(found[lang], "<f4")
     if len(names) > 1:
         out -= out.mean(axis=0)
     norm = np.sqrt((out ** 2).sum(axis=1, keepdims=True))

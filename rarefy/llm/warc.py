@@ -24,6 +24,7 @@ result.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Fields of a not-modified response that don't replace stored ones
@@ -63,6 +64,18 @@ def merged(stored: Column, fresh: Column) -> Column:
     return F.map_concat(kept, allowed)
 
 
+def with_slots(records: DataFrame, slots: int) -> DataFrame:
+    """Adds slot: ``at`` cut at about even row counts (one sketch pass), so that a stray time doesn't
+    put the rest into one slot."""
+    times = records.select(F.col("at").cast("double").alias("_at")).where("_at IS NOT NULL")
+    edges = times.approxQuantile("_at", [i / slots for i in range(1, slots)], 1 / (8 * slots))
+    cuts = [-float("inf"), *sorted(set(edges)), float("inf")]
+    if len(cuts) < 3:
+        return records.withColumn("slot", F.lit(0.0))
+    return (Bucketizer(splits=cuts, inputCol="_at", outputCol="slot", handleInvalid="keep")
+            .transform(records.withColumn("_at", F.col("at").cast("double"))).drop("_at"))
+
+
 def resolve_revisits(records: DataFrame, slots: int = 512) -> DataFrame:
     """``records``: record_id, url, at (long), kind ('response' or 'revisit'), etag, last_modified,
     headers (map). One row per revisit: record_id, canonical_url, target_id, status, headers."""
@@ -71,9 +84,7 @@ def resolve_revisits(records: DataFrame, slots: int = 512) -> DataFrame:
         F.col("record_id").cast("long").alias("record_id"), canonical(F.col("url")).alias("url"), F.col("at").cast("long").alias("at"),
         F.col("kind").alias("kind"), F.regexp_replace("etag", "^W/", "").alias("etag"), F.col("last_modified").alias("last_modified"),
         F.coalesce(F.col("headers"), none).alias("headers"))
-    span = r.agg(F.min("at"), F.max("at")).first()
-    low, width = span[0] or 0, max(1, -(-((span[1] or 0) - (span[0] or 0) + 1) // slots))
-    r = r.withColumn("slot", F.floor((F.col("at") - low) / width))
+    r = with_slots(r, slots)
     full = (F.col("kind") == "response") & F.col("url").isNotNull() & F.col("at").isNotNull()
     capture = F.struct("record_id", "etag", "last_modified", "headers")
 

@@ -140,3 +140,25 @@ def test_pipeline_stages_with_clashing_columns_nulls_and_empty_tables(spark):
             assert out.columns == docs.columns, name
             kept = {r["doc_id"] for r in out.collect()}
             assert kept == ({1, 2, None} if name == "language ID" else {2, 3, None} if name == "exact dedup" else {1, 3, None}) if table is docs else not kept
+
+
+def test_a_stray_time_leaves_the_slots_even(spark):
+    from rarefy.llm import warc
+    rows = [(i, "http://a/", 1_700_000_000 + i, "response" if i % 2 else "revisit", "x", None, None) for i in range(1000)] + [(5000, "http://a/", 0, "response", "x", None, None), (5001, "http://a/", None, "revisit", "x", None, None)]
+    records = spark.createDataFrame(rows, "record_id long, url string, at long, kind string, etag string, last_modified string, headers map<string,string>")
+    sizes = [r["count"] for r in warc.with_slots(records, 64).groupBy("slot").count().collect()]
+    assert len(sizes) >= 60 and max(sizes) <= 40
+    got = {r["record_id"]: (r["target_id"], r["status"]) for r in warc.resolve_revisits(records, 64).collect()}
+    assert got[0] == (5000, "resolved") and got[5001] == (None, "no_target")
+    assert all(got[i] == (i - 1, "resolved") for i in range(2, 1000, 2))
+    assert warc.resolve_revisits(records.limit(0)).count() == 0
+
+
+def test_languages_are_counted_before_they_are_collected(spark):
+    from rarefy.llm import langid
+    many = spark.createDataFrame([(f"some words of language {k}", f"l{k}") for k in range(600)], "text string, lang string")
+    with pytest.raises(ValueError, match="512 languages"):
+        langid.train(many)
+    names, vectors = langid.train(many.where("lang < 'l2'"))
+    assert names == sorted({f"l{k}" for k in range(600) if f"l{k}" < "l2"}) and vectors.shape == (len(names), langid.DIMENSION)
+    assert langid.train(many.limit(0))[0] == []
