@@ -52,6 +52,8 @@ PARAM_GRIDS = {
                          "min_samples_leaf": [1, 2, 4]},
 }
 UNMAPPED = {"solver", "min_samples_split", "num_leaves", "gamma", "reg_alpha", "reg_lambda"}
+#: rows of a partition while searching
+PART_ROWS = 20_000
 #: deepest trees that MLlib grows
 MAX_DEPTH = 30
 FAMILY = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt",
@@ -176,6 +178,11 @@ def _assembled(train: DataFrame, features, label: str) -> tuple[VectorAssembler,
     return va, va.transform(train).select(*keep, label, "features")
 
 
+def _compact(df: DataFrame, n: int) -> DataFrame:
+    """Kept rows in partitions of PART_ROWS at least: a fit is many short jobs, whose tasks cost more than few rows."""
+    return df.coalesce(max(1, -(-n // PART_ROWS))).persist()
+
+
 def _refit(model_name, point, score, va, rows, features, label, counts, n) -> FittedModel:
     model, _ = _fit(model_name, to_mllib(model_name, point, n), rows, label, counts)
     return FittedModel(model_name, FAMILY[model_name], list(features), label, PipelineModel(stages=[va, model]),
@@ -192,9 +199,9 @@ def cross_validate(model_name: str, points, train: DataFrame, features, label: s
     spark = train.sparkSession
     points = list(points)
     va, rows = _assembled(train, features, label)
-    folded = stratified_kfold(rows, label, cv, seed).persist()
-    counts = class_counts(folded, label)
+    counts = class_counts(rows, label)
     n = sum(counts.values())
+    folded = _compact(stratified_kfold(rows, label, cv, seed), n)
     maps = [to_mllib(model_name, p, int(n * (cv - 1) / cv)) for p in points]
     keys = [json.dumps(m, sort_keys=True) for m in maps]
     found = _scored(model_name, maps, folded, label, counts, cv, scoring, parallelism, {} if known is None else known)
@@ -265,9 +272,9 @@ def adaptive_search(model_name, train, features, label="Class", n_trials=100, ti
     deadline = None if timeout is None else time.monotonic() + timeout
     space = SEARCH_SPACES[model_name]
     va, rows = _assembled(train, features, label)
-    folded = stratified_kfold(rows, label, cv, seed).persist()
-    all_counts = class_counts(folded, label)
+    all_counts = class_counts(rows, label)
     n = sum(all_counts.values())
+    folded = _compact(stratified_kfold(rows, label, cv, seed), n)
     points = [drawn_point(space, seed, t) for t in range(n_trials)]
     rungs = max(0, min(math.floor(math.log(max(1, n / min_rows), eta)), math.floor(math.log(max(1, n_trials), eta))))
     alive, out, last = list(range(n_trials)), [], []
@@ -276,6 +283,7 @@ def adaptive_search(model_name, train, features, label="Class", n_trials=100, ti
         part = folded if rung == rungs else folded.where(uniform_hash("row_id", seed, "rung") < F.lit(int(share * 2 ** HASH_BITS)))
         counts = all_counts if rung == rungs else class_counts(part, label)
         size = sum(counts.values())
+        part = part if rung == rungs else _compact(part, size)
         maps = {t: to_mllib(model_name, points[t], int(size * (cv - 1) / cv)) for t in alive}
         known: dict = {}
         if deadline is not None and not last:  # the first trial, whatever the time
@@ -288,6 +296,8 @@ def adaptive_search(model_name, train, features, label="Class", n_trials=100, ti
         alive = last[:max(1, math.ceil(len(last) / eta))]
         out += [(rung, share, size, t, json.dumps(points[t], default=str), float(np.mean(scores[t][0])), scores[t][0], t in alive) for t in last]
         best_score = float(np.mean(scores[last[0]][0]))
+        if rung < rungs:
+            part.unpersist()
         if deadline is not None and time.monotonic() > deadline:
             break
     fitted = _refit(model_name, points[last[0]], best_score, va, folded, features, label, all_counts, n)
@@ -297,14 +307,14 @@ def adaptive_search(model_name, train, features, label="Class", n_trials=100, ti
 
 
 def compare_tuning(model_name, grid, train, features, label="Class", n_iter_random=30,
-                   n_trials_adaptive=50, cv=5, parallelism=8, scoring="roc_auc", seed=42, known=None, save_dir=None) -> DataFrame:
+                   n_trials_adaptive=50, cv=5, parallelism=8, scoring="roc_auc", seed=42, known=None, save_dir=None, timeout=None) -> DataFrame:
     """Best cross-validated score of each search method, one table (with ``save_dir``, also as CSV)."""
     spark = train.sparkSession
     known = {} if known is None else known
     runs = [("grid", *grid_search(model_name, grid, train, features, label, cv, scoring, parallelism, seed, known)),
             ("random", *random_search(model_name, grid, train, features, label, n_iter_random, cv, scoring, parallelism, seed, known))]
     if model_name in SEARCH_SPACES:
-        runs.append(("adaptive", *adaptive_search(model_name, train, features, label, n_trials_adaptive, cv=cv, scoring=scoring, parallelism=parallelism, seed=seed)))
+        runs.append(("adaptive", *adaptive_search(model_name, train, features, label, n_trials_adaptive, timeout, cv, scoring, parallelism, seed)))
     rows = [(name, m.extra["best_score"], res.count(), json.dumps(m.extra["best_params"], default=str)) for name, m, res in runs]
     out = spark.createDataFrame(rows, "method string, best_cv_score double, n_evaluated long, best_params string").orderBy(F.desc("best_cv_score"), "method")
     if save_dir:

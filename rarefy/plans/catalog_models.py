@@ -375,6 +375,8 @@ def q_param_grids(spark, sf):
     return spark.createDataFrame(rows, "model string, point int, params string, mllib_params string")
 
 
+#: time limit of the adaptive searches of 100 and 50 trials
+SEARCH_SECONDS = 120
 LR_GRID = TU.PARAM_GRIDS["LogisticRegression"]
 
 
@@ -390,12 +392,12 @@ def q_random_search(spark, sf):
 
 def q_adaptive_search(spark, sf):
     md = model_data(spark, sf)
-    return TU.adaptive_search("LogisticRegression", md.train, md.features)[1]
+    return TU.adaptive_search("LogisticRegression", md.train, md.features, timeout=SEARCH_SECONDS)[1]
 
 
 def q_compare_tuning(spark, sf):
     md = model_data(spark, sf)
-    return TU.compare_tuning("LogisticRegression", LR_GRID, md.train, md.features, known=lr_known(spark, sf))
+    return TU.compare_tuning("LogisticRegression", LR_GRID, md.train, md.features, known=lr_known(spark, sf), timeout=SEARCH_SECONDS)
 
 
 def q_pca(spark, sf):
