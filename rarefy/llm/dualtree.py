@@ -5,8 +5,8 @@ The items are a query set against all documents, taken in blocks of at most
 
 1. One scan gives every document's number of terms and its counts of the
    block's terms (numbers of a sorted vocabulary); from it N, L and df follow.
-2. Each task packs its documents into a hierarchy: documents of similar length
-   share a leaf, ``fan`` nodes share a parent. A node holds the coordinate maxima of what
+2. Each task packs its documents into a hierarchy: documents with the same heaviest
+   term share a leaf, ``fan`` nodes share a parent. A node holds the coordinate maxima of what
    its documents score for each term. The items' hierarchy is made likewise:
    items with common terms share a node, whose coordinate maxima are 1 for the
    terms of any of its items. The product of a node pair's maxima bounds the
@@ -154,7 +154,11 @@ class Search:
         if not len(term) or not self.items:
             return
         value = self.scores(n, row, term, tf)
-        order = np.argsort(n, kind="stable")
+        # documents with the same heaviest term stand side by side, of these the ones of like length
+        heaviest = np.full(len(ids), -1, dtype=np.int64)
+        rise = np.argsort(value, kind="stable")
+        heaviest[row[rise]] = term[rise]
+        order = np.lexsort((n, heaviest))
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
         ids, row = ids[order], place[row]
