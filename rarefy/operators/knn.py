@@ -163,7 +163,7 @@ def _fitting(given, fc, levels: int):
     """What runs in the tasks of a fit: rows to their cells (each vector once a batch), and a cell's cuts."""
     def sampled(batches):
         for pdf in batches:
-            pdf = pdf.drop_duplicates()
+            pdf = pdf[np.isfinite(pdf.to_numpy(dtype=float)).all(axis=1)].drop_duplicates()
             pdf.insert(0, "cell", given.value.leaf(pdf.to_numpy(dtype=float)))
             yield pdf
 
@@ -251,12 +251,9 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     features, ref_cols = list(features), list(ref_cols)
     d = len(features)
     fc = _fcols(d)
-    whole = F.col(id_col).isNotNull()
-    for c in features:
-        whole = whole & F.coalesce(F.abs(F.col(c).cast("double")) < F.lit(math.inf), F.lit(False))  # NaN is above infinity
     vector = [F.col(c).cast("double").alias(f) for c, f in zip(features, fc)]
-    ref = reference.where(whole).select(F.col(id_col).cast("long").alias("r_id"), *vector, *[F.col(c) for c in ref_cols])
-    qry = query.where(whole).select(F.col(id_col).cast("long").alias("q_id"), *vector)
+    ref = reference.select(F.col(id_col).cast("long").alias("r_id"), *vector, *[F.col(c) for c in ref_cols])
+    qry = query.select(F.col(id_col).cast("long").alias("q_id"), *vector)
     need = k + (1 if exclude_self else 0)
     n = ref.agg(F.approx_count_distinct(F.xxhash64(*fc)).alias("n")).first()["n"]
     if n == 0:
@@ -265,11 +262,18 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     bare = spark.sparkContext.broadcast(tree)
 
     # references: copies go, then a leaf is one packed row (more only where it has over 8192 references)
-    matrix = lambda t: np.column_stack([t.column(f).to_numpy() for f in fc])
+    matrix = lambda t: np.column_stack([t.column(f).to_numpy(zero_copy_only=False) for f in fc])
+
+    def whole(b: pa.RecordBatch, key: str) -> pa.RecordBatch:
+        """Rows with an id and all features. A filter in the plan would repeat the features' expressions in it."""
+        keep = np.isfinite(matrix(b)).all(axis=1) & b.column(key).is_valid().to_numpy(zero_copy_only=False)
+        return b if keep.all() else b.filter(pa.array(keep))
+
     ref_fields = ref.schema.fields
 
     def capped(batches):
         for b in batches:
+            b = whole(b, "r_id")
             b = b.take(pa.array(smallest_ids(matrix(b), b.column("r_id").to_numpy(), need)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bare.value.leaf(matrix(b)))], [*b.schema.names, "leaf"])
 
@@ -287,6 +291,8 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
     blocks = (ref.mapInArrow(capped, T.StructType([*ref_fields, T.StructField("leaf", T.LongType())]))
               .groupBy("leaf").applyInArrow(packed, "leaf long, n long, low binary, high binary, body binary").persist(StorageLevel.MEMORY_AND_DISK))
     boxes = blocks.groupBy("leaf").agg(F.sum("n").alias("n"), F.collect_list("low").alias("low"), F.collect_list("high").alias("high")).collect()
+    if not boxes:
+        return _empty(spark, reference, ref_cols, with_vectors)
     corner = lambda parts, f: f([np.frombuffer(p) for p in parts], axis=0)
     tree.bound(np.array([r["leaf"] for r in boxes]), np.array([corner(r["low"], np.min) for r in boxes]),
                np.array([corner(r["high"], np.max) for r in boxes]), np.array([r["n"] for r in boxes]), d)
@@ -297,6 +303,7 @@ def knn_join(query: DataFrame, reference: DataFrame, features, k: int = 5,
 
     def homes(batches):
         for b in batches:
+            b = whole(b, "q_id")
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bare.value.leaf(matrix(b)))], [*b.schema.names, "leaf"])
 
     own = qry.mapInArrow(homes, T.StructType([*q_fields, T.StructField("leaf", T.LongType())])).persist(StorageLevel.MEMORY_AND_DISK)
