@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import unit_uniform, uniform_hash
+from ..session import cut_lineage
 from .knn import knn_join
 from .quantiles import order_statistics
 from .ranking import hash_rank
@@ -95,7 +96,8 @@ def smote(df: DataFrame, features, label: str = "Class", k: int = 5, seed: int =
     n_new = int(strategy * counts[majo]) - n_min
     base = df.select(id_col, *features, label)
     # rows with a null feature stay but seed nothing; the others make up the whole number
-    minority = base.where(F.col(label) == F.lit(mino)).dropna(subset=list(features))
+    # (written once: it is read by the count, both sides of the kNN join and the ranks, and features may be long expressions)
+    minority = cut_lineage(base.where(F.col(label) == F.lit(mino))).dropna(subset=list(features))
     n_min = minority.count()
     k_eff = min(k, n_min - 1)
     if n_new <= 0 or k_eff < 1:
@@ -122,7 +124,8 @@ def adasyn(df: DataFrame, features, label: str = "Class", k: int = 5, seed: int
     n_min = counts[mino]
     n_new = int(strategy * counts[majo]) - n_min
     # rows with a null feature stay but seed nothing
-    minority = base.where(F.col(label) == F.lit(mino)).dropna(subset=list(features))
+    # (written once: it is read by the count, both sides of the kNN join and the ranks, and features may be long expressions)
+    minority = cut_lineage(base.where(F.col(label) == F.lit(mino))).dropna(subset=list(features))
     n_min = minority.count()
     k_eff = min(k, n_min - 1)
     if n_new <= 0 or k_eff < 1:
