@@ -181,9 +181,12 @@ def bagging(name, train, features, label="Class", n_estimators: int = 10, max_sa
 
 def evaluate_ensemble(ens: Ensemble, test: DataFrame, label: str = "Class", name: str = "Ensemble"):
     """Metrics row, classification report and confusion matrix of an ensemble."""
-    out = ens.transform(test, label)
-    m = evaluate(out).withColumn("name", F.lit(name))
-    return m, class_report(out), confusion_matrix(out)
+    out = ens.transform(test, label).select("label", "score", "prediction").persist()  # all members score each row once
+    try:
+        m = evaluate(out).withColumn("name", F.lit(name))
+        return m, class_report(out), confusion_matrix(out)
+    finally:
+        out.unpersist()
 
 
 ENSEMBLE_TYPES = ("voting", "stacking", "bagging", "weighted")
