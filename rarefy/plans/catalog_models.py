@@ -83,9 +83,16 @@ def trained(spark, sf, names):
 
 
 def members(spark, sf):
+    """Members of the ensembles; a preset that this session has fitted to the same rows isn't fitted again."""
     md = model_data(spark, sf)
-    return _memo(spark, sf, "members",
-                 lambda: EF.fit_members(ENSEMBLE_MEMBERS, md.train, md.features, "Class"))
+
+    def make():
+        known = {n: _MEMO.get((id(spark), spark.sparkContext.applicationId, sf, ("fit", n))) for n in ENSEMBLE_MEMBERS}
+        todo = [n for n, r in known.items() if r is None]
+        fitted = EF.fit_members(todo, md.train, md.features, "Class") if todo else {}
+        return {n: fitted[n] if r is None else r.model for n, r in known.items()}
+
+    return _memo(spark, sf, "members", make)
 
 
 def stacked(spark, sf):
