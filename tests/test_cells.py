@@ -69,3 +69,11 @@ def test_frequent_values_have_their_own_bins_and_the_others_share_the_rest(spark
     assert [r["count(1)"] for r in got if r["min(x)"] == 0.0] == [4900]
     spread = [r["count"] for r in bins("by", "y").transform(df).groupBy("by").count().collect()]
     assert len(spread) == 32 and max(spread) < 200
+
+
+def test_a_forest_keeps_the_nodes_of_its_rows(spark):
+    df = _rows(spark)
+    m = MD.fit_model("RandomForest", df, FEATS, params={"numTrees": 4, "maxDepth": 4})
+    plain = MD.fit_model("RandomForest", df, FEATS, params={"numTrees": 4, "maxDepth": 4, "cacheNodeIds": False})
+    assert m.pipeline.stages[-1].getCacheNodeIds()
+    assert m.pipeline.stages[-1].toDebugString.split("\n")[1:] == plain.pipeline.stages[-1].toDebugString.split("\n")[1:]
