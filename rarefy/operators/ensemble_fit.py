@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import unit_uniform
+from ..session import SPREAD_LEAST, parts_side_by_side
 from ..sources.tables import path_exists
 from .ensemble import hard_vote, soft_vote, weighted_vote
 from .metrics import class_report, confusion_matrix, evaluate
@@ -106,12 +107,19 @@ def weighted(names, train, features, label="Class", weights=None, presets=None,
     return Ensemble("weighted", members, weights=w)
 
 
+def _for_folds(df: DataFrame, cv: int) -> DataFrame:
+    """Rows in the partitions of ``cv`` fits side by side: each level of a forest sends the sums of all
+    its nodes from every partition, so partitions beyond a fit's part of the cores only add to that. Few rows stay where they are."""
+    n = df.count()
+    return df if n < SPREAD_LEAST else df.coalesce(parts_side_by_side(n, df.sparkSession.sparkContext.defaultParallelism, cv))
+
+
 def stacking(names, train, features, label="Class", cv: int = 5, seed: int = 42,
              presets=None, members=None) -> Ensemble:
     """Out-of-fold member scores (k folds) feed a logistic meta model;
     members are then refitted on all training rows."""
     from concurrent.futures import ThreadPoolExecutor
-    folded = stratified_kfold(train, label, cv, seed).persist()
+    folded = _for_folds(stratified_kfold(train, label, cv, seed), cv).persist()
 
     def fold_scores(f):
         fit_rows = folded.where(F.col("fold") != f)

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import HASH_BITS, uniform_hash
+from ..session import parts_side_by_side
 from .models import FittedModel
 from .split import class_counts, stratified_kfold
 
@@ -52,8 +53,6 @@ PARAM_GRIDS = {
                          "min_samples_leaf": [1, 2, 4]},
 }
 UNMAPPED = {"solver", "min_samples_split", "num_leaves", "gamma", "reg_alpha", "reg_lambda"}
-#: rows of a partition while searching
-PART_ROWS = 20_000
 #: deepest trees that MLlib grows
 MAX_DEPTH = 30
 FAMILY = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt",
@@ -178,9 +177,15 @@ def _assembled(train: DataFrame, features, label: str) -> tuple[VectorAssembler,
     return va, va.transform(train).select(*keep, label, "features")
 
 
-def _compact(df: DataFrame, n: int) -> DataFrame:
-    """Kept rows in partitions of PART_ROWS at least: a fit is many short jobs, whose tasks cost more than few rows."""
-    return df.coalesce(max(1, -(-n // PART_ROWS))).persist()
+def _compact(df: DataFrame, n: int, parallelism: int) -> DataFrame:
+    """All of the n rows kept in the partitions of a search."""
+    return df.coalesce(parts_side_by_side(n, df.sparkSession.sparkContext.defaultParallelism, parallelism)).persist()
+
+
+def _share_of(folded: DataFrame, wanted, n: int, parallelism: int) -> DataFrame:
+    """The wanted n rows, dealt out by row_id: a coalesced partition would read many whole partitions of all rows."""
+    parts = parts_side_by_side(n, folded.sparkSession.sparkContext.defaultParallelism, parallelism)
+    return folded.where(wanted).repartition(parts, "row_id").persist()
 
 
 def _refit(model_name, point, score, va, rows, features, label, counts, n) -> FittedModel:
@@ -201,7 +206,7 @@ def cross_validate(model_name: str, points, train: DataFrame, features, label: s
     va, rows = _assembled(train, features, label)
     counts = class_counts(rows, label)
     n = sum(counts.values())
-    folded = _compact(stratified_kfold(rows, label, cv, seed), n)
+    folded = _compact(stratified_kfold(rows, label, cv, seed), n, parallelism)
     maps = [to_mllib(model_name, p, int(n * (cv - 1) / cv)) for p in points]
     keys = [json.dumps(m, sort_keys=True) for m in maps]
     found = _scored(model_name, maps, folded, label, counts, cv, scoring, parallelism, {} if known is None else known)
@@ -274,16 +279,16 @@ def adaptive_search(model_name, train, features, label="Class", n_trials=100, ti
     va, rows = _assembled(train, features, label)
     all_counts = class_counts(rows, label)
     n = sum(all_counts.values())
-    folded = _compact(stratified_kfold(rows, label, cv, seed), n)
+    folded = _compact(stratified_kfold(rows, label, cv, seed), n, parallelism)
     points = [drawn_point(space, seed, t) for t in range(n_trials)]
     rungs = max(0, min(math.floor(math.log(max(1, n / min_rows), eta)), math.floor(math.log(max(1, n_trials), eta))))
     alive, out, last = list(range(n_trials)), [], []
     for rung in range(rungs + 1):
         share = 1 / eta ** (rungs - rung)
-        part = folded if rung == rungs else folded.where(uniform_hash("row_id", seed, "rung") < F.lit(int(share * 2 ** HASH_BITS)))
-        counts = all_counts if rung == rungs else class_counts(part, label)
+        wanted = uniform_hash("row_id", seed, "rung") < F.lit(int(share * 2 ** HASH_BITS))
+        counts = all_counts if rung == rungs else class_counts(folded.where(wanted), label)
         size = sum(counts.values())
-        part = part if rung == rungs else _compact(part, size)
+        part = folded if rung == rungs else _share_of(folded, wanted, size, parallelism)
         maps = {t: to_mllib(model_name, points[t], int(size * (cv - 1) / cv)) for t in alive}
         known: dict = {}
         if deadline is not None and not last:  # the first trial, whatever the time
