@@ -11,6 +11,9 @@ when den * overlap >= num * union.
    those of b, at least need = min(need(|a|), need(|b|)) are the same, where
    need(s) is a twentieth of s. Any order is right; common n-grams come last,
    which a bounded sample of documents tells, and then hashes decide.
+   A row whose prefix shares fewer n-grams with any others than a link takes
+   has no link and is left out before pairs are formed: most pairs that texts
+   share by chance, which grow with the square of the rows, never come up.
    Rows whose first three n-grams are the same (near copies, for the order is
    theirs too) are one block without counting, by an edge from each to its first
    row. All other pairs are counted over the prefixes, in buckets of n-grams:
@@ -278,6 +281,66 @@ def _tallies(nodes: DataFrame, num: int, den: int, cold: int, buckets: int, buck
                    .groupBy("bucket").applyInArrow(frugal_group(tallied), "hot boolean, a long, b long, n long"))
 
 
+def _supported(nodes: DataFrame, buckets: int, bucket_grams: int) -> DataFrame:
+    """node, n: the n-grams of a row's prefix that another prefix has, too (rows without any are left out).
+    A task tells the n-grams that it has more than once itself, and passes them on without their rows."""
+    def packed(batches):
+        """Rows of (bucket, n-grams of one row, those rows, n-grams of more); counts of rows go under negative buckets."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def done():
+            tokens, own = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            if not len(tokens):
+                return []
+            order = np.argsort(tokens, kind="stable")
+            tokens, own = tokens[order], own[order]
+            start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+            df = np.diff(np.append(start, len(tokens)))
+            lone = np.repeat(df == 1, df)
+            rows, n = np.unique(own[~lone], return_counts=True)
+            own, more, tokens = own[lone], tokens[start[df > 1]], tokens[lone]
+            # prefixes hold the smallest hashes, so buckets go by the low half, which is even
+            cuts = []
+            for x in (tokens, more):
+                to = (x & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)
+                order = np.argsort(to, kind="stable")
+                cuts.append((order, np.searchsorted(to[order], np.arange(buckets + 1, dtype=np.uint64))))
+            (a, at), (b, bt) = cuts
+            tokens, own, more = tokens[a], own[a], more[b]
+            out = [(i, tokens[at[i]:at[i + 1]].tobytes(), own[at[i]:at[i + 1]].tobytes(), more[bt[i]:bt[i + 1]].tobytes())
+                   for i in range(buckets) if at[i + 1] > at[i] or bt[i + 1] > bt[i]]
+            if len(rows):
+                out.append((-1 - int(rows[0] % buckets), b"", rows.tobytes(), n.astype("<i8").tobytes()))
+            return [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), *[pa.binary()] * 3))], ["bucket", "grams", "nodes", "more"])]
+
+        for b in batches:
+            keys = [np.frombuffer(k, "<u8") for k in b.column("keys").to_pylist()]
+            if keys:
+                held.append((np.concatenate(keys), np.repeat(b.column("node").to_numpy(), [len(k) for k in keys])))
+            if 4 * sum(len(x[0]) for x in held) > bucket_grams:
+                yield from done()
+        if held:
+            yield from done()
+
+    def told(table: pa.Table) -> pa.Table:
+        own = _values(table.column("nodes"), "<i8")
+        if table.column("bucket")[0].as_py() < 0:
+            return pa.table({"node": own, "n": _values(table.column("more"), "<i8")})
+        tokens, more = _values(table.column("grams"), "<u8"), np.unique(_values(table.column("more"), "<u8"))
+        order = np.argsort(tokens, kind="stable")
+        tokens, own = tokens[order], own[order]
+        same = tokens[1:] == tokens[:-1]
+        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(tokens) else np.zeros(0, bool)
+        if len(more):
+            shared |= more[np.minimum(np.searchsorted(more, tokens), len(more) - 1)] == tokens
+        rows, n = np.unique(own[shared], return_counts=True)
+        return pa.table({"node": rows, "n": n.astype(np.int64)})
+
+    return (nodes.select("node", "keys").mapInArrow(frugal(packed), "bucket int, grams binary, nodes binary, more binary")
+            .groupBy("bucket").applyInArrow(frugal_group(told), "node long, n long").groupBy("node").agg(F.sum("n").alias("n")))
+
+
 def _blocking(nodes: DataFrame, num: int, den: int, cold: int, bucket_grams: int) -> DataFrame:
     """Pairs (a, b) whose components hold every linked pair.
 
@@ -287,6 +350,10 @@ def _blocking(nodes: DataFrame, num: int, den: int, cold: int, bucket_grams: int
     between them and the first row of all, so the rows that kept edges lead to keep theirs."""
     least = lambda size: F.when(size >= 10, F.floor(size / 20) + 2).otherwise(F.lit(1))  # noqa: E731  as need()
     grams = F.least(F.col("size"), F.col("size") - F.ceil(F.col("size") * num / den) + least(F.col("size")))  # as prefix()
+    # a linked row is at least num / den of the other one's size, and their prefixes share the need of the smaller one
+    total = nodes.agg(F.sum(grams)).first()[0] or 0
+    shared = _supported(nodes, max(1, -(-total // bucket_grams)), bucket_grams)
+    nodes = written(nodes.join(shared, "node").where(F.col("n") >= least(F.ceil(F.col("size") * num / den))).drop("n"))
     # rows with the same first n-grams, most of all near copies, are joined by one edge each, and their pairs aren't counted
     nodes = nodes.withColumn("label", F.when(F.octet_length("keys") >= 8 * _LABEL, F.xxhash64(F.substring("keys", 1, 8 * _LABEL))).otherwise(F.col("node")))
     alike = nodes.groupBy("label").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("label", "b")

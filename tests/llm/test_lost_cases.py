@@ -34,6 +34,36 @@ def test_crowded_rows_meet_over_first_rows_that_are_not_crowded(spark, few_parti
     assert len({root.get(10_000 + k, -k - 1) for k in range(60)}) == 1
 
 
+def test_rows_that_share_too_few_ngrams_are_not_paired(spark, few_partitions, monkeypatch):
+    """100 rows share one n-gram or two with others each, which is no link at their size; two linked rows stay."""
+    from rarefy.llm import jaccard
+    gram = lambda k: struct.pack(f"<{len(k)}Q", *(x << 40 for x in sorted(k)))
+    rows = [(k, 100, gram({*range(1000 * k + 10, 1000 * k + 35), k // 2 + 1, (k + 1) // 2 + 1})) for k in range(100)]
+    rows += [(200, 100, gram([*range(900_000, 900_027)])), (201, 100, gram([*range(900_001, 900_028)]))]
+    nodes = spark.createDataFrame(rows, "node long, size long, keys binary")
+    tallies, seen = jaccard._tallies, []
+    monkeypatch.setattr(jaccard, "_tallies", lambda *a, **k: seen.append(tallies(*a, **k)) or seen[-1])
+    links = jaccard._blocking(nodes, 80, 100, 4, 1_000_000)
+    assert {tuple(sorted(r)) for r in links.collect()} == {(200, 201)}
+    assert {tuple(sorted(r)) for r in seen[0].where("NOT hot").select("a", "b").collect()} == {(200, 201)}
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_shared_ngrams_are_counted_over_tasks(spark, few_partitions, buckets):
+    """N-grams that a task has once, or more often, and that other tasks have, too."""
+    from rarefy.llm.jaccard import _supported
+    rows = [(k, [x for x in range(1, 60) if (k * 7919 + x * x * 31) % 11 < 2 + k % 3] + [10_000 + k]) for k in range(40)]
+    df = {}
+    for _, g in rows:
+        for x in g:
+            df[x] = df.get(x, 0) + 1
+    held = [(k, struct.pack(f"<{len(g)}Q", *((x << 40) + x * 0x9E3779B1 % (1 << 32) for x in g))) for k, g in rows]
+    for parts in (1, 7, 40):
+        nodes = spark.createDataFrame(spark.sparkContext.parallelize(held, parts), "node long, keys binary")
+        found = {r["node"]: r["n"] for r in _supported(nodes, buckets, 1_000_000).collect()}
+        assert found == {k: n for k, g in rows if (n := sum(df[x] > 1 for x in g))}
+
+
 def test_bpe_tasks_of_equal_rows(spark):
     """Tasks that hold the same rows, and tasks whose texts are equal only when put together."""
     import public_tokenizers as P
