@@ -165,7 +165,8 @@ def nearmiss3(df: DataFrame, features, label: str = "Class", n_neighbors: int =
     near = knn_join(minority, majority, features, n_neighbors_ver3, id_col, **knn_kw)
     cand = near.select(F.col("r_id").alias(id_col)).distinct().join(majority, on=id_col)
     far = knn_join(cand, minority, features, n_neighbors, id_col, **knn_kw)
-    score = far.groupBy("q_id").agg(F.avg("dist").alias("_avg")).withColumnRenamed("q_id", id_col)
+    # written once: each pass that looks for the cut reads it
+    score = cut_lineage(far.groupBy("q_id").agg(F.avg("dist").alias("_avg")).withColumnRenamed("q_id", id_col))
     chosen = top_n_by(score, "_avg", n_keep, id_col, descending=True).select(id_col)
     return minority.unionByName(majority.join(chosen, on=id_col, how="left_semi"))
 
