@@ -123,3 +123,18 @@ def test_handle_imbalance_dispatch(spark):
     assert nm.after[1] == 20 and nm.after[0] <= 20
     with pytest.raises(ValueError):
         RS.handle_imbalance(df, ["x", "y"], "Class", "bogus")
+
+
+def test_rows_that_several_passes_read_are_written_once(spark, monkeypatch):
+    """The kNN join after SMOTE doesn't draw the rows anew in each of its passes, nor does NearMiss average its distances anew."""
+    from rarefy.operators import resample as RS
+    rows = [(i, float(i * 37 % 101), float(i * 53 % 89), int(i % 4 == 0)) for i in range(120)]
+    df = spark.createDataFrame(rows, "row_id long, x double, y double, Class int")
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    seen, knn, top = [], RS.knn_join, RS.top_n_by
+    monkeypatch.setattr(RS, "knn_join", lambda q, r, *a, **k: seen.append(plan(q) + plan(r)) or knn(q, r, *a, **k))
+    monkeypatch.setattr(RS, "top_n_by", lambda d, *a, **k: seen.append(plan(d)) or top(d, *a, **k))
+    for run, n in ((RS.smote_tomek, 2), (RS.smote_enn, 2), (RS.nearmiss3, 3)):
+        del seen[:]
+        assert run(df, ["x", "y"]).count() > 0
+        assert len(seen) == n and not any(w in seen[-1] for w in ("Generate", "Aggregate", "Join"))
