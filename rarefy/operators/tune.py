@@ -4,7 +4,8 @@ Points keep the original parameter names; ``to_mllib`` maps them onto MLlib
 parameters (those without an MLlib equal are listed in ``UNMAPPED`` and
 ignored). Points with equal mapped parameters are one class: it is fitted once
 per fold, and its scores go to all of its points. Fits of classes and folds run
-side by side (``parallelism``); results hold every fold's score, their mean,
+side by side (``parallelism``), those of logistic regressions in shared passes (``lr_batch``);
+results hold every fold's score, their mean,
 standard deviation and rank, and the mean score on the training folds. The
 best point is refitted on all training rows.
 
@@ -31,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import HASH_BITS, uniform_hash
-from ..session import parts_side_by_side
+from ..session import SPREAD_LEAST, parts_side_by_side
+from . import lr_batch
 from .models import FittedModel
 from .split import class_counts, stratified_kfold
 
@@ -55,6 +57,8 @@ PARAM_GRIDS = {
 UNMAPPED = {"solver", "min_samples_split", "num_leaves", "gamma", "reg_alpha", "reg_lambda"}
 #: deepest trees that MLlib grows
 MAX_DEPTH = 30
+#: so many logistic fits and more share their passes over the rows, as do those of many rows
+BATCH_FITS = 20
 FAMILY = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt",
           "LightGBM": "gbt", "GradientBoosting": "gbt", "CatBoost": "gbt"}
 
@@ -75,6 +79,13 @@ def _weight_name(point: dict) -> str:
     return "_w_bal" if cw in ("balanced", "balanced_subsample") else "_w_one"
 
 
+def _class_weights(name: str, counts: dict) -> dict:
+    """The weights of ``_weight`` by class."""
+    if name == "_w_bal":
+        return {c: sum(counts.values()) / (len(counts) * n) for c, n in counts.items()}
+    return {c: float(name.removeprefix("_w_spw_")) if name != "_w_one" and c == 1 else 1.0 for c in counts}
+
+
 def _weight(name: str, label: str, counts: dict):
     """The weight column of a name: balanced, one, or a factor on positives."""
     if name == "_w_one":
@@ -152,6 +163,13 @@ def _scored(model_name: str, maps: list[dict], folded: DataFrame, label: str, co
     calls over the same folds. After the deadline no further fit starts, and maps without all folds are missing."""
     ev = _evaluator(scoring, label)
     todo = [(k, m, f) for k, m in {json.dumps(m, sort_keys=True): m for m in maps}.items() if k not in known for f in range(cv)]
+    if FAMILY[model_name] == "lr" and scoring == "roc_auc" and deadline is None and set(counts) == {0, 1} \
+            and todo and (len(todo) >= BATCH_FITS or sum(counts.values()) >= SPREAD_LEAST):
+        new = {k: m for k, m, _ in todo}
+        got = lr_batch.fold_scores(list(new.values()), [_class_weights(m["weightCol"], counts) for m in new.values()], folded, label, cv)
+        if got is not None:
+            known.update(zip(new, got))
+            todo = []
 
     def one(job):
         key, mapped, fold = job
