@@ -61,8 +61,8 @@ def bin_edges(df: DataFrame, features, n: int, max_bins: int = 32) -> dict:
 
 
 def binned(df: DataFrame, features, label: str, max_bins: int = 32):
-    """(Bucketizer, its columns of cells with label and summed ``_w``, persisted), or None where cells don't
-    pay: few rows, rows with a null or infinite feature or without a class, or hardly any equal rows."""
+    """(Bucketizer, its columns of cells with label, summed ``_w`` and number of rows ``_n``, persisted), or None where cells
+    don't pay: few rows, rows with a null or infinite feature or without a class, or hardly any equal rows."""
     features = list(features)
     if max_bins > 2 ** BITS:
         return None
@@ -77,7 +77,7 @@ def binned(df: DataFrame, features, label: str, max_bins: int = 32):
     packed = stage.transform(df).select(label, "_w", *[
         sum((F.shiftleft(F.col(bin_column(f)).cast("long"), BITS * i) for i, f in enumerate(g)), F.lit(0).cast("long")).alias(f"_k{j}")
         for j, g in enumerate(groups)])
-    cells = packed.groupBy(label, *[f"_k{j}" for j in range(len(groups))]).agg(F.sum("_w").alias("_w")).select(label, "_w", *[
+    cells = packed.groupBy(label, *[f"_k{j}" for j in range(len(groups))]).agg(F.sum("_w").alias("_w"), F.count(F.lit(1)).alias("_n")).select(label, "_w", "_n", *[
         F.shiftright(F.col(f"_k{j}"), BITS * i).bitwiseAND(F.lit(2 ** BITS - 1)).cast("double").alias(bin_column(f))
         for j, g in enumerate(groups) for i, f in enumerate(g)]).persist()
     n_cells = cells.count()

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import unit_uniform
-from ..session import SPREAD_LEAST, parts_side_by_side
+from ..session import SPREAD_LEAST, cut_lineage, parts_side_by_side
 from ..sources.tables import path_exists
 from .ensemble import hard_vote, soft_vote, weighted_vote
 from .metrics import class_report, confusion_matrix, evaluate
@@ -125,7 +125,8 @@ def stacking(names, train, features, label="Class", cv: int = 5, seed: int = 42,
         fit_rows = folded.where(F.col("fold") != f)
         hold = folded.where(F.col("fold") == f)
         ms = fit_members(names, fit_rows, features, label, presets, parallelism=1)
-        return member_scores(ms, hold, label)
+        # written: each job of the meta model would send the trees of all folds to its tasks
+        return cut_lineage(member_scores(ms, hold, label))
 
     with ThreadPoolExecutor(max_workers=cv) as ex:
         parts = list(ex.map(fold_scores, range(cv)))

@@ -46,6 +46,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC,  # noqa: E402
 from pyspark.ml.feature import SQLTransformer, VectorAssembler  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
+from . import cell_trees  # noqa: E402
 from .cells import bin_column, binned  # noqa: E402
 from .feature_stage import FeatureStage  # noqa: E402
 from .metrics import evaluate  # noqa: E402
@@ -197,6 +198,24 @@ def rff_features(features, extra) -> "Column":
     return array_to_vector(rff(F.struct(*cols)))
 
 
+def _fit_cells(est, kind: str, data: DataFrame, features, label: str) -> PipelineModel | None:
+    """Trees fitted to cells: grown in tasks of their own, or by MLlib where these don't do (many cells, other parameters).
+    None where cells don't pay, and for a forest that isn't grown here."""
+    found = binned(data, features, label, est.getMaxBins())
+    if found is None:
+        return None
+    bins, cells = found
+    cols = bins.getOutputCols()
+    try:
+        va = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
+        about = cells.agg(F.count(F.lit(1)).alias("n"), F.collect_set(label).alias("classes")).first()
+        if cell_trees.suits(est, kind, about["n"]) and set(about["classes"]) == {0, 1}:
+            return PipelineModel(stages=[bins, va, cell_trees.grow(est, kind, cells, cols, label, est.getSeed())])
+        return None if kind == "rf" else PipelineModel(stages=[bins, *Pipeline(stages=[va, est]).fit(cells).stages])
+    finally:
+        cells.unpersist()
+
+
 def fit_model(name: str, train: DataFrame, features, label: str = "Class",
               val: DataFrame | None = None, preset: dict | None = None,
               scaler_stage=None, params: dict | None = None) -> FittedModel:
@@ -226,17 +245,18 @@ def fit_model(name: str, train: DataFrame, features, label: str = "Class",
         # the same trees; a row's node in each tree is kept from level to level instead of being sought from the root
         est = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="_w",
                                      **{"cacheNodeIds": True, "checkpointInterval": -1} | cfg)
+        # weights by class only: the rows of a cell have one weight
+        if scaler_stage is None and how in (None, "balanced", "scale_pos") and cell_trees.suits(est, kind, 0):
+            model = _fit_cells(est, kind, data, features, label)
+            if model is not None:
+                return FittedModel(name, kind, features, label, model, extra)
     elif kind == "gbt":
         if val is not None:
             cfg["validationIndicatorCol"] = "_is_val"
         est = GBTClassifier(featuresCol="features", labelCol=label, weightCol="_w", **cfg)
         if val is None and scaler_stage is None and est.getSubsamplingRate() == 1.0:
-            found = binned(data, features, label, est.getMaxBins())
-            if found is not None:
-                bins, cells = found
-                stages = [VectorAssembler(inputCols=bins.getOutputCols(), outputCol="features", handleInvalid="keep"), est]
-                model = PipelineModel(stages=[bins, *Pipeline(stages=stages).fit(cells).stages])
-                cells.unpersist()
+            model = _fit_cells(est, kind, data, features, label)
+            if model is not None:
                 return FittedModel(name, kind, features, label, model, extra)
     elif kind == "svm":
         var = data.select(*[F.var_pop(F.col(f).cast("double")).alias(f) for f in features]).first()
