@@ -57,7 +57,7 @@ PARAM_GRIDS = {
 UNMAPPED = {"solver", "min_samples_split", "num_leaves", "gamma", "reg_alpha", "reg_lambda"}
 #: deepest trees that MLlib grows
 MAX_DEPTH = 30
-#: so many logistic fits and more share their passes over the rows, as do those of many rows
+#: so many logistic fits and more of an adaptive search share their passes over few rows, too
 BATCH_FITS = 20
 FAMILY = {"LogisticRegression": "lr", "RandomForest": "rf", "XGBoost": "gbt",
           "LightGBM": "gbt", "GradientBoosting": "gbt", "CatBoost": "gbt"}
@@ -158,13 +158,13 @@ def _fit(model_name: str, mapped: dict, rows: DataFrame, label: str, counts: dic
 
 
 def _scored(model_name: str, maps: list[dict], folded: DataFrame, label: str, counts: dict, cv: int, scoring: str,
-            parallelism: int, known: dict, deadline: float | None = None) -> dict:
+            parallelism: int, known: dict, deadline: float | None = None, together: bool = False) -> dict:
     """{mapped parameters as JSON: (fold scores, training scores)} of the maps. ``known`` has those of earlier
-    calls over the same folds. After the deadline no further fit starts, and maps without all folds are missing."""
+    calls over the same folds. Logistic fits of many rows share their passes, and with ``together`` many fits of few rows. After the deadline no further fit starts, and maps without all folds are missing."""
     ev = _evaluator(scoring, label)
     todo = [(k, m, f) for k, m in {json.dumps(m, sort_keys=True): m for m in maps}.items() if k not in known for f in range(cv)]
     if FAMILY[model_name] == "lr" and scoring == "roc_auc" and deadline is None and set(counts) == {0, 1} \
-            and todo and (len(todo) >= BATCH_FITS or sum(counts.values()) >= SPREAD_LEAST):
+            and todo and (sum(counts.values()) >= SPREAD_LEAST or together and len(todo) >= BATCH_FITS):
         new = {k: m for k, m, _ in todo}
         got = lr_batch.fold_scores(list(new.values()), [_class_weights(m["weightCol"], counts) for m in new.values()], folded, label, cv)
         if got is not None:
@@ -311,7 +311,7 @@ def adaptive_search(model_name, train, features, label="Class", n_trials=100, ti
         known: dict = {}
         if deadline is not None and not last:  # the first trial, whatever the time
             _scored(model_name, [maps[alive[0]]], part, label, counts, cv, scoring, parallelism, known)
-        found = _scored(model_name, list(maps.values()), part, label, counts, cv, scoring, parallelism, known, deadline)
+        found = _scored(model_name, list(maps.values()), part, label, counts, cv, scoring, parallelism, known, deadline, together=True)
         scores = {t: found[k] for t, k in ((t, json.dumps(m, sort_keys=True)) for t, m in maps.items()) if k in found}
         if not scores:
             break

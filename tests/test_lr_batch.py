@@ -44,6 +44,7 @@ def _objective(model, mapped, rows, w):
 def test_many_logistic_fits_share_their_passes(spark, monkeypatch):
     fits, fit = [], TU._fit
     monkeypatch.setattr(TU, "_fit", lambda *a: fits.append(a[1]) or fit(*a))
+    monkeypatch.setattr(TU, "SPREAD_LEAST", 1)
     df = _data(spark)
     best, res = TU.grid_search("LogisticRegression", TU.PARAM_GRIDS["LogisticRegression"], df, FEATURES)
     rows = res.collect()
@@ -96,7 +97,15 @@ def test_roc_auc_is_exact_over_ranges_and_ties(spark, monkeypatch):
     folded.unpersist()
 
 
-def test_rows_that_only_mllib_can_judge_are_left_to_it(spark):
+def test_many_trials_of_few_rows_share_their_passes(spark, monkeypatch):
+    fits, fit = [], TU._fit
+    monkeypatch.setattr(TU, "_fit", lambda *a: fits.append(a[1]) or fit(*a))
+    _, res = TU.adaptive_search("LogisticRegression", _data(spark), FEATURES, n_trials=12, cv=3, min_rows=1000)
+    assert len(fits) == 1 and res.count() == 12  # the refit; 37 fits before
+
+
+def test_rows_that_only_mllib_can_judge_are_left_to_it(spark, monkeypatch):
+    monkeypatch.setattr(TU, "SPREAD_LEAST", 1)
     df = _data(spark).withColumn("b", F.when(F.col("row_id") == 7, F.lit(None)).otherwise(F.col("b")))
     folded, counts = _folded(df, 3)
     one = [{"regParam": 0.1, "elasticNetParam": 0.0, "weightCol": "_w_one"}]
